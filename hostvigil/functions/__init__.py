@@ -8,15 +8,15 @@ from hostvigil.functions.columns import (
     round_half_up,
     time_of_day,
 )
-from hostvigil.functions.records import decode_value, encode_record
+from hostvigil.functions.records import encode_record, parse_value
 
 __all__ = [
     "alert_label",
     "clock_of",
-    "decode_value",
     "encode_record",
     "finite_number",
     "is_number_text",
+    "parse_value",
     "round_half_up",
     "time_of_day",
 ]

@@ -20,8 +20,6 @@ def encode_record(*columns: str) -> Column:
     return text.cast("binary")
 
 
-def decode_value(value: Column) -> Column:
-    """A record's bytes as a struct of text fields; null unless they hold one JSON object."""
-    text = F.trim(value.cast("string"))
-    record = F.from_json(text, _ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"})
-    return F.when(text.startswith("{") & record["_corrupt"].isNull(), record)
+def parse_value(text: Column) -> Column:
+    """A record's JSON text as a struct of text fields, ``_corrupt`` set if it is malformed."""
+    return F.from_json(text, _ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"})

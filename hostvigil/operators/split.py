@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostvigil.functions import decode_value, encode_record, finite_number
+from hostvigil.functions import encode_record, finite_number, parse_value
 from hostvigil.schemas import METRICS, TOPICS
 
 
@@ -32,17 +32,25 @@ def from_records(records: DataFrame) -> DataFrame:
     Records that are no JSON object keep their bytes in ``raw`` and name a ``problem``; later
     records are unaffected. Absent and non-finite metrics are null.
     """
-    decoded = records.select("topic", "value", decode_value(F.col("value")).alias("record"))
+    texts = records.select("topic", F.trim(F.col("value").cast("string")).alias("text"))
+    # Only an object is a record, though the parser takes lists of them as well.
+    parsed = texts.withColumns(
+        {"record": parse_value(F.col("text")), "is_object": F.col("text").startswith("{")}
+    )
+    is_record = F.col("is_object") & F.col("record._corrupt").isNull()
+    decoded = parsed.withColumn("refused", ~F.coalesce(is_record, F.lit(False)))
+    refused = F.col("refused")
     return decoded.select(
         "topic",
-        F.col("record.ts").alias("ts"),
-        F.col("record.server_id").alias("server_id"),
+        *(F.when(~refused, F.col(f"record.{key}")).alias(key) for key in ("ts", "server_id")),
         *(
-            finite_number(F.col(f"record.{name}"), kind.simpleString()).alias(name)
+            F.when(~refused, finite_number(F.col(f"record.{name}"), kind.simpleString())).alias(
+                name
+            )
             for name, kind in METRICS.items()
         ),
-        F.when(F.col("record").isNull(), "undecodable").alias("problem"),
-        F.when(F.col("record").isNull(), F.col("value").cast("string")).alias("raw"),
+        F.when(refused, "undecodable").alias("problem"),
+        F.when(refused, F.col("text")).alias("raw"),
     )
 
 
