@@ -25,13 +25,13 @@ from hostvigil.sources.landed import read_landed, read_landed_topic
 
 @dataclass(frozen=True)
 class JobReport:
-    """What a run saw. Counts come from the run itself and are for reporting only: tasks
-    repeated after a lost executor may count twice."""
+    """What a run saw. All but ``windows`` are counted by the run as it goes and are for reporting
+    only: tasks repeated after a lost executor may count twice."""
 
     left_records: int
     right_records: int
     joined_records: int
-    earliest: str | None
+    earliest: str | None  # earliest joined time
     windows: int
     output: str | None  # where the result went; None if no file came out
 
@@ -59,14 +59,13 @@ def run_alert_job(
     left, left_seen = observe_rows(left, "left")
     right, right_seen = observe_rows(right, "right")
     matched, matched_seen = observe_matches(match_readings(left, right, rule), "matched")
-    labelled, windows_seen = observe_rows(
-        label_windows(window_matched(matched, rule), rule), "windows"
-    )
+    labelled = label_windows(window_matched(matched, rule), rule)
 
     staged = scratch_dir(spark, rule.name)
     write_table(labelled, staged)
-    windows = windows_seen.get["rows"]
-    result = format_alerts(spark.read.schema(labelled.schema).parquet(staged), rule, ordered=True)
+    stored = spark.read.schema(labelled.schema).parquet(staged)
+    windows = stored.count()  # from file footers
+    result = format_alerts(stored, rule, ordered=True)
     if single_file and windows <= SINGLE_FILE_ROWS:
         written = publish_single_csv(result, out)
     else:

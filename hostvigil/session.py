@@ -20,6 +20,11 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     )
+    # Stages found empty at run time would otherwise be dropped together with their counters.
+    builder = builder.config(
+        "spark.sql.adaptive.optimizer.excludedRules",
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
+    )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
