@@ -4,6 +4,7 @@ from hostvigil.functions.columns import (
     alert_label,
     clock_of,
     finite_number,
+    is_finite,
     is_number_text,
     round_half_up,
     time_of_day,
@@ -15,6 +16,7 @@ __all__ = [
     "clock_of",
     "encode_record",
     "finite_number",
+    "is_finite",
     "is_number_text",
     "parse_value",
     "round_half_up",

@@ -29,11 +29,16 @@ def is_number_text(text: Column) -> Column:
     return text.rlike(NUMBER_PATTERN)
 
 
+def is_finite(value: Column) -> Column:
+    """Whether a number is neither not-a-number nor infinite; null for null."""
+    # NaN sorts above every number, so one comparison finds NaN and both infinities.
+    return F.abs(value) < F.lit(float("inf"))
+
+
 def finite_number(text: Column, kind: str = "double") -> Column:
     """Text as a number; null where it is no number or not finite."""
     value = F.trim(text).try_cast(kind)
-    # NaN sorts above every number, so one comparison drops NaN and both infinities.
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(is_finite(value), value)
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:

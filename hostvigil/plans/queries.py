@@ -21,7 +21,7 @@ from hostvigil.session import scratch_dir
 from hostvigil.sinks.tables import write_table
 from hostvigil.sources.events import wide_from_events
 from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
-from hostvigil.sources.wide_csv import parse_lines, read_wide_csv, record_lines
+from hostvigil.sources.wide_csv import read_wide_csv
 from hostvigil.streaming.continuous import continuous_alerts, start_alerts
 from hostvigil.streaming.landing import start_landing
 
@@ -115,7 +115,9 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(damage == 5, F.lit("  "))
         .otherwise(line)
     )
-    checked = parse_lines(record_lines(numbered.select(damaged_line.alias("value"))))
+    folder = scratch_dir(spark, "damaged-csv")
+    numbered.select(damaged_line.alias("value")).write.text(folder)
+    checked = read_wide_csv(spark, folder)
     times = mark_bad_times(usable(checked))
     value = encode_record(*TOPICS["topic-cpu"].names).cast("string")
     damaged_value = (

@@ -2,49 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hostvigil.functions import finite_number, is_number_text
+from hostvigil.functions import finite_number, is_finite, is_number_text
 from hostvigil.schemas import WIDE
 
-# What begins a header line, and the characters trimmed off line ends.
+# What begins a header line, and the blanks trimmed off the start of a line.
 HEADER_PREFIX = "ts"
 LINE_BLANKS = " \t\r\n\f\x0b"
 
+_METRICS = WIDE.names[2:]
+_WITH_RAW = T.StructType([*WIDE.fields, T.StructField("raw", T.StringType())])
 
-def record_lines(lines: DataFrame) -> DataFrame:
-    """Trimmed lines that hold a record: neither blank nor a header, wherever they stand."""
-    value = F.col("value")
-    return lines.withColumn("value", F.btrim(value, F.lit(LINE_BLANKS))).filter(
-        (F.length(value) > 0) & ~value.startswith(HEADER_PREFIX)
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """Typed columns as the CSV reader sees them; ``raw`` holds lines it could not fit."""
+    # Headers may stand anywhere, or nowhere. All columns are parsed whichever are used: a line's
+    # field count goes unchecked if some are pruned.
+    reader = spark.read.schema(_WITH_RAW).options(
+        header=False,
+        quote="",
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord="raw",
+        columnPruning=False,
     )
+    rows = reader.csv(path)
+    return rows.withColumn("ts", F.ltrim(F.col("ts"), F.lit(LINE_BLANKS)))
+
+
+def _is_record() -> Column:
+    """Not a header; blank lines never leave the scan."""
+    return ~F.coalesce(F.col("ts").startswith(HEADER_PREFIX), F.lit(False))
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Wide columns plus ``problem`` and ``raw`` for lines that are no valid record.
+def _check(rows: DataFrame) -> DataFrame:
+    """Add ``problem``, complete ``raw`` for rows that have one, and null what is not finite.
 
-    Not-a-number and infinities are accepted and become null.
+    Nearly all rows fit and cost a few null tests. Only lines the scan could not fit are taken
+    apart again: they may merely spell not-a-number or infinity in a way it does not know.
     """
-    fields = F.split("value", ",", -1)
-    columns = [fields[i].alias(name) for i, name in enumerate(WIDE.names)]
-    checked = lines.select(
-        F.col("value").alias("raw"), F.size(fields).alias("n_fields"),
-        *(F.get(fields, i).alias(name) for i, name in enumerate(WIDE.names))
+    fits, fields = F.col("raw").isNull(), F.split("raw", ",", -1)
+    all_present, all_numbers = F.lit(True), F.lit(True)
+    for i, name in enumerate(_METRICS, start=2):
+        all_present &= F.col(name).isNotNull()
+        all_numbers &= is_number_text(F.get(fields, i))
+    problem = F.when(fits, F.when(~all_present, "not_a_number")).otherwise(
+        F.when(F.size(fields) != len(WIDE), "field_count").when(~all_numbers, "not_a_number")
     )
-    metrics = WIDE.names[2:]
-    numeric = F.lit(True)
-    for name in metrics:
-        numeric = numeric & is_number_text(F.col(name))
-    problem = F.when(F.col("n_fields") != len(columns), "field_count").when(
-        ~numeric, "not_a_number"
+    rebuilt = F.concat_ws(
+        ",", *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in WIDE.names)
     )
-    return checked.select(
+    metrics = {
+        name: F.when(fits, F.when(is_finite(F.col(name)), F.col(name))).otherwise(
+            finite_number(F.get(fields, i))
+        )
+        for i, name in enumerate(_METRICS, start=2)
+    }
+    return rows.select(
         "ts",
         "server_id",
-        *(finite_number(F.col(name)).alias(name) for name in metrics),
+        *(value.alias(name) for name, value in metrics.items()),
         problem.alias("problem"),
-        F.when(problem.isNotNull(), F.col("raw")).alias("raw"),
+        F.when(problem.isNotNull(), F.coalesce("raw", rebuilt)).alias("raw"),
     )
 
 
@@ -56,14 +77,14 @@ def fail_on_problem(checked: DataFrame) -> DataFrame:
     )
 
 
-def _without_first_record(lines: DataFrame, path: str) -> DataFrame:
-    if len(lines.inputFiles()) != 1:
+def _without_first_record(rows: DataFrame, path: str) -> DataFrame:
+    if len(rows.inputFiles()) != 1:
         raise ValueError(f"skip_first_record needs exactly one file, got more or none: {path}")
-    # The scan's first partition begins at the start of the file, so within it this is the line
-    # number, however the rest of the file is split.
-    numbered = lines.withColumn("line", F.monotonically_increasing_id())
-    first = record_lines(numbered).select("line").take(1)
-    return numbered.filter(F.col("line") != first[0].line) if first else lines
+    # The scan's first partition begins at the start of the file, so within it this is the row's
+    # position, however the rest of the file is split.
+    numbered = rows.withColumn("position", F.monotonically_increasing_id())
+    first = numbered.filter(_is_record()).select("position").take(1)
+    return numbered.filter(F.col("position") != first[0].position) if first else rows
 
 
 def read_wide_csv(
@@ -71,11 +92,13 @@ def read_wide_csv(
 ) -> DataFrame:
     """Read wide CSV files into wide columns plus ``problem`` and ``raw``.
 
-    ``skip_first_record`` drops the first record line after any header, ``strict`` turns
-    problems into errors.
+    Blank lines and lines beginning like a header are skipped wherever they stand. Lines with a
+    wrong number of fields or with text for a number get a ``problem`` (an error if ``strict``).
+    Not-a-number and infinities are accepted and become null. ``skip_first_record`` drops the
+    first record line after any header.
     """
-    lines = spark.read.text(path)
+    rows = _scan(spark, path)
     if skip_first_record:
-        lines = _without_first_record(lines, path)
-    checked = parse_lines(record_lines(lines))
+        rows = _without_first_record(rows, path)
+    checked = _check(rows.filter(_is_record()))
     return fail_on_problem(checked) if strict else checked

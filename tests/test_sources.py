@@ -76,18 +76,21 @@ def test_skip_first_record(spark, tmp_path):
 
 
 def test_bad_lines_are_quarantined(spark, tmp_path):
-    bad = [line("20:53:10") + ",6", "20:53:11,server_1,1", line("20:53:12", 1, 2, "x", 4, 5)]
+    bad = [line("20:53:10") + ",6", "20:53:11,server_1,1", line("20:53:12", 1, 2, "x", 4, 5),
+           line("20:53:13", "1.0", "2.0", "", "4.0", "5.0"), '"20:53:14,server_1",1,2,3,4,5']
     path = write(tmp_path / "w.csv", HEADER, line("20:53:00"), *bad,
                  line("20:53:20", "nan", 2, "inf", 4, 5))
     checked = read_wide_csv(spark, path)
     assert {tuple(r) for r in quarantined(checked).collect()} == {
         ("field_count", bad[0]), ("field_count", bad[1]), ("not_a_number", bad[2]),
+        ("not_a_number", bad[3]),
     }
     rows = {r.ts: r for r in usable(checked).collect()}
-    assert sorted(rows) == ["20:53:00", "20:53:20"]
+    assert sorted(rows) == ['"20:53:14', "20:53:00", "20:53:20"]  # quotes mean nothing
     assert rows["20:53:20"][2:] == (None, 2.0, None, 4.0, 5.0)
     counts = {r.problem: r.n for r in count_problems(checked).collect()}
-    assert counts == {"ok": 2, "field_count": 2, "not_a_number": 1}
+    assert counts == {"ok": 3, "field_count": 2, "not_a_number": 2}
+    assert usable(checked).select("server_id").count() == 3  # pruned columns change nothing
 
 
 @pytest.mark.parametrize("bad", [line("20:53:10") + ",6", "20:53:11,server_1,1",
