@@ -7,6 +7,7 @@ from hostvigil.functions.columns import (
     is_finite,
     is_number_text,
     round_half_up,
+    second_of_day,
     time_of_day,
 )
 from hostvigil.functions.records import encode_record, parse_value
@@ -20,5 +21,6 @@ __all__ = [
     "is_number_text",
     "parse_value",
     "round_half_up",
+    "second_of_day",
     "time_of_day",
 ]

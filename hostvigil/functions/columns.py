@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from hostvigil.config import AlertRule
 
-# The time-of-day format, and what counts as a number in the wide CSV.
+# The time-of-day format, the texts it reads, and what counts as a number in the wide CSV.
 CLOCK_FORMAT = "HH:mm:ss"
+CLOCK_PATTERN = r"\A([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z"
 NUMBER_PATTERN = (
     r"(?i)\A\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*\z"
 )
@@ -19,6 +20,15 @@ def time_of_day(ts: Column) -> Column:
     return F.try_to_timestamp(ts, F.lit(CLOCK_FORMAT))
 
 
+def second_of_day(ts: Column) -> Column:
+    """Seconds since midnight of the texts :func:`time_of_day` reads; null for anything else.
+
+    Several times cheaper than parsing by format, and free of time zones.
+    """
+    hours, minutes, seconds = (F.substring(ts, at, 2).try_cast("long") for at in (1, 4, 7))
+    return F.when(ts.rlike(CLOCK_PATTERN), hours * 3600 + minutes * 60 + seconds)
+
+
 def clock_of(timestamp: Column) -> Column:
     """A timestamp's time of day as ``HH:mm:ss`` text."""
     return F.date_format(timestamp, CLOCK_FORMAT)

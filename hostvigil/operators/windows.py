@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostvigil.config import DAY_SECONDS, AlertRule, clock_seconds, clock_text
-from hostvigil.functions import clock_of, time_of_day
+from hostvigil.functions import clock_of, second_of_day
 from hostvigil.operators.matching import merge_partials, merged_value, weigh
 
 # Window lengths per block: at 20, a thirtieth of the readings are copied.
@@ -57,19 +57,21 @@ def window_clock_times(matched: DataFrame, rule: AlertRule) -> DataFrame:
     """Windows of readings whose ``ts`` is time-of-day text; unreadable times are dropped."""
     size, slide = rule.size_seconds, rule.slide_seconds
     block_length = BLOCK_WINDOWS * size
-    parsed = matched.withColumn("time", time_of_day(F.col("ts")))
-    time = F.col("time")
-    second = (F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)).cast("long")
+    read = second_of_day(F.col("ts"))
+    # Unreadable times have no block, so they end at the explode. A filter for them would be
+    # pushed below the matching and read every reading's time instead of every matched key's.
     weighed = weigh(
-        parsed.filter(time.isNotNull()), rule, F.col("server_id"), second.alias("second")
+        matched, rule, F.col("server_id"), read.isNotNull().alias("readable"),
+        F.coalesce(read, F.lit(0)).alias("second"),
     )
-
     second = F.col("second")
     into_block = F.pmod(second, F.lit(block_length))
     own_block = second - into_block
-    # A reading's earliest window starts less than one size before it.
-    blocks = F.when(into_block < size, F.array(own_block, own_block - block_length)).otherwise(
-        F.array(own_block)
+    blocks = (
+        F.when(~F.col("readable"), F.array().cast("array<bigint>"))
+        # A reading's earliest window starts less than one size before it.
+        .when(into_block < size, F.array(own_block, own_block - block_length))
+        .otherwise(F.array(own_block))
     )
     placed = weighed.withColumn("block", F.explode(blocks)).repartition("server_id", "block")
 

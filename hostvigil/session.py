@@ -15,6 +15,8 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Most aggregations here meet each key a few times at most; a first small map only costs.
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -14,6 +14,7 @@ from hostvigil.functions import (
     finite_number,
     is_number_text,
     round_half_up,
+    second_of_day,
     time_of_day,
 )
 
@@ -34,6 +35,16 @@ def test_time_of_day_reads_only_full_padded_times(spark):
     ]
 
 
+def test_second_of_day_reads_the_same_texts(spark):
+    texts = ["20:53:00", "00:00:00", "23:59:59", "bad", "8:05:00", "24:00:00", "20:53", "", None,
+             "20:53:00 ", " 20:53:00", "20:53:00\n", "20:53:60", "20-53-00", "20:53:0Z",
+             "2024-01-01 20:53:00", "\u0662\u0660:53:00"]
+    df = column(spark, texts)
+    got = results(df, second_of_day(F.col("v")))
+    assert got[:3] == [75180, 0, 86399] and got[3:] == [None] * (len(texts) - 3)
+    assert [s is None for s in got] == [t is None for t in results(df, time_of_day(F.col("v")))]
+
+
 def test_rounding_is_half_up(spark):
     df = column(spark, [75.685, 75.695, 2.675, 0.125, -0.125, math.nan], "double")
     got = results(df, round_half_up(F.col("v")))

@@ -171,6 +171,8 @@ def test_plan_has_two_shuffles_and_no_join(spark, tmp_path):
     assert "Join" not in plan and "Cartesian" not in plan
     assert plan.count("GreaterThanOrEqual(ts,20:53:00),LessThan(ts,00:00:20)") == 2  # pushed
     assert "net_out" not in plan  # pruned
+    below_matching = plan.split("Union")[1]
+    assert "RLIKE" in plan and "RLIKE" not in below_matching  # times are read after matching
     assert plan_of(alerts(*tables, NET_DISK, ordered=True)).count("Exchange") == 3
 
 
