@@ -38,5 +38,5 @@ def publish_single_csv(df: DataFrame, path: str) -> bool:
     ]
     if not parts:
         return False
-    fs.delete(target, True)
+    fs.delete(target, False)  # an older file; a folder with content is an error
     return fs.rename(parts[0], target)

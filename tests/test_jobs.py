@@ -120,6 +120,13 @@ def test_single_file_publishing(spark, tmp_path):
     assert publish_single_csv(spark.range(3).repartition(3).orderBy("id"), str(path))
     assert path.read_text().split() == ["id", "0", "1", "2"]
 
+    folder = tmp_path / "kept"
+    folder.mkdir()
+    (folder / "notes.txt").write_text("mine")
+    with pytest.raises(Exception, match="not empty"):
+        publish_single_csv(spark.range(3), str(folder))
+    assert (folder / "notes.txt").read_text() == "mine"
+
 
 def test_records_of_all_topics_can_be_written_as_messages(spark):
     wide = spark.createDataFrame([("20:53:00", "s", 1.0, 2.0, 3.0, 4.0, 5.0)], WIDE)

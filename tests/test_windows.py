@@ -148,6 +148,17 @@ def test_both_plans_equal_the_definition(spark, rows, shape, cutoff):
         assert all(math.isclose(got[key], want[key]) for key in want)
 
 
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/New_York", "Africa/Monrovia"])
+def test_session_zone_does_not_matter(spark, zone):
+    cpu, mem = readings(spark, CPU_MEM, HAND)
+    want = alerts(cpu, mem, CPU_MEM, ordered=True).collect()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert alerts(cpu, mem, CPU_MEM, ordered=True).collect() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_partitioning_does_not_matter(spark):
     rows = [(clock_text(75180 + 3 * i), f"s{i % 3}", float(i % 90)) for i in range(300)]
     cpu, mem = readings(spark, CPU_MEM, rows)
