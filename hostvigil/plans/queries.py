@@ -263,8 +263,8 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous CPU and memory alerts over all events.
 
-    The stream is drained twice: once for the events, and once more for a closing reading a day
-    later, which moves the watermark past every window of the events.
+    A second source holds a closing reading a day later. Both are drained in one batch, after
+    which the watermark lies past every window of the events.
     """
     folder = scratch_dir(spark, "continuous")
     latest = F.max("ts") + F.make_dt_interval(days=F.lit(1))
@@ -276,17 +276,15 @@ def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         full_timestamp=True,
     )
-    closing.limit(0).write.parquet(f"{folder}/closing")
+    closing.write.parquet(f"{folder}/closing")
     stream = wide_from_events(_event_stream(spark, sf_dir), full_timestamp=True).unionByName(
         spark.readStream.schema(closing.schema).parquet(f"{folder}/closing")
     )
     result = continuous_alerts(*_pair(stream, CPU_MEM), CPU_MEM)
-    for drain in ("events", "closing"):
-        if drain == "closing":
-            closing.write.mode("append").parquet(f"{folder}/closing")
-        start_alerts(
-            result, f"{folder}/alerts", f"{folder}/checkpoint", available_now=True
-        ).awaitTermination()
+    query = start_alerts(
+        result, f"{folder}/alerts", f"{folder}/checkpoint", available_now=True
+    )
+    query.awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{folder}/alerts")
 
 
