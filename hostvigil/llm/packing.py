@@ -17,9 +17,11 @@ from __future__ import annotations
 import heapq
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,7 @@ SCHEMA = (
     "ids binary"
 )
 #: Words whose ids a Python worker remembers; beyond it the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 
 
 class WordIds:
@@ -51,7 +53,7 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.places: dict[str, int] = {}
         self.starts = np.zeros(1024, np.int64)
         self.lengths = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
@@ -61,7 +63,7 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
-    def remember(self, new: list[bytes], ids: list[list[int]]) -> None:
+    def remember(self, new: list[str], ids: list[list[int]]) -> None:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         at, total = len(self.places), int(lengths.sum())
         if at + len(new) > len(self.starts):
@@ -73,49 +75,32 @@ class WordIds:
             self.ids = np.concatenate([self.ids, np.zeros(more, np.uint32)])
         self.starts[at : at + len(new)] = self.used + starts_of(lengths)
         self.lengths[at : at + len(new)] = lengths
-        self.ids[self.used : self.used + total] = [i for one in ids for i in one]
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32)
         self.used += total
         self.places.update(zip(new, range(at, at + len(new)), strict=True))
 
-    def learn(self, unknown: list[bytes]) -> None:
-        """Encode words; a full stop or comma after an ASCII letter is a token run of its own."""
-        if len(self.places) + len(unknown) > REMEMBERED:
-            raise OverflowError
-        ended = {w for w in unknown if len(w) > 1 and w[-1:] in b".," and 97 <= w[-2] <= 122}
-        plain = {w for w in unknown if w not in ended} | {w[:-1] for w in ended}
-        plain |= {w[-1:] for w in ended}
-        new = [w for w in plain if w not in self.places]
-        self.remember(new, self.encode([w.decode() for w in new]))
-        joined = [w for w in ended if w not in self.places]
-        self.remember(joined, [self.known(w[:-1]) + self.known(w[-1:]) for w in joined])
-
-    def known(self, word: bytes) -> list[int]:
-        place = self.places[word]
-        start = self.starts[place]
-        return self.ids[start : start + self.lengths[place]].tolist()
-
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
         if not self.by_word:
             each = self.encode(texts)
             flat = np.fromiter((i for one in each for i in one), np.uint32)
             return flat, np.fromiter(map(len, each), np.int64, len(each))
-        split = [t.encode().lower().split() for t in texts]
-        all_words = pa.array([w for one in split for w in one], pa.binary()).dictionary_encode()
+        # A full stop or comma between an ASCII letter and a blank is a token run of its own.
+        lower = pc.ascii_lower(pa.array(texts, pa.large_string()))
+        apart = pc.replace_substring_regex(lower, r"([a-z])([.,])([ \n])", r"\1 \2\3")
+        split = pc.ascii_split_whitespace(apart)
+        all_words = split.flatten().dictionary_encode()
         different = all_words.dictionary.to_pylist()
-        unknown = [w for w in different if w not in self.places]
-        try:
-            self.learn(unknown)
-        except OverflowError:
+        new = [w for w in different if w not in self.places]
+        if len(self.places) + len(new) > REMEMBERED:
             self.forget()
-            for at in range(0, len(different), REMEMBERED // 4):
-                self.learn([w for w in different[at : at + REMEMBERED // 4]
-                            if w not in self.places])
+            new = different
+        self.remember(new, self.encode(new))
         places = np.fromiter(map(self.places.__getitem__, different), np.int64, len(different))
-        places = places[all_words.indices.to_numpy()] if len(different) else places
+        places = places[all_words.indices.to_numpy()]
         lengths = self.lengths[places]
         flat = self.ids[ranges(self.starts[places], lengths)]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
+        counts = split.value_lengths().to_numpy()
         upto = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(counts)
         return flat, upto[ends] - upto[ends - counts]
@@ -197,7 +182,7 @@ def pack_documents(
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in _slices(texts, buffer_tokens):
+            for low, high in _slices(texts, 4 * buffer_tokens):
                 flat, counts = word_ids(texts[low:high])
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1
