@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostvigil.llm import packing, secrets, toxicity
+from hostvigil.llm import packing, pii, quality_lines, secrets, toxicity, url_filter
 from hostvigil.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,11 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_quality_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of ``documents``; a document's source is its host."""
+    return quality_lines.judge_documents(table(spark, folder, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in ``documents``; the base kinds come first among equal starts."""
     spans = F.col("spans")
@@ -63,8 +68,31 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in ``documents``."""
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*pii.BASE))
+    return pii.find_personal_data(table(spark, folder, "documents")).select(
+        "doc_id",
+        *(count_kind(spans, kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict for every url of ``pages``."""
+    return url_filter.filter_urls(table(spark, folder, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict",
+        F.array_join("tokens", " ").alias("tokens"), "block_odds",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_lines": op1_quality_lines,
     "op2_secret_scan": op2_secret_scan,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
+    "op9_personal_data": op9_personal_data,
+    "op10_url_filter": op10_url_filter,
 }
