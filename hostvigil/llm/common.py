@@ -64,3 +64,12 @@ def starts_of(lengths: np.ndarray) -> np.ndarray:
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``starts[0], starts[0]+1, ...`` for the first length, then the next, in one array."""
     return np.repeat(starts - starts_of(lengths), lengths) + np.arange(int(lengths.sum()))
+
+
+def slices(lengths: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of runs that hold about ``most`` values each; a longer run is alone in its range."""
+    if not len(lengths):
+        return []
+    part = (np.cumsum(lengths) - 1) // most
+    edges = np.flatnonzero(np.diff(part, prepend=part[0])).tolist()
+    return list(zip([0, *edges], [*edges, len(lengths)], strict=True))

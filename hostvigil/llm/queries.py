@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostvigil.llm import packing, pii, quality_lines, secrets, toxicity, url_filter
+from hostvigil.llm import (
+    order_minhash,
+    packing,
+    pii,
+    quality_lines,
+    secrets,
+    toxicity,
+    url_filter,
+)
 from hostvigil.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +54,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near duplicates in ``documents``."""
+    return order_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), TOKENIZER).select(
@@ -91,6 +104,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_lines": op1_quality_lines,
     "op2_secret_scan": op2_secret_scan,
+    "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
     "op9_personal_data": op9_personal_data,
