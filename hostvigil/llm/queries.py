@@ -14,6 +14,7 @@ from hostvigil.llm import (
     pii,
     quality_lines,
     secrets,
+    substring_dedup,
     toxicity,
     url_filter,
 )
@@ -54,6 +55,15 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` without windows of 20 words that start earlier elsewhere."""
+    removed = F.aggregate("removed", F.lit(0), lambda n, s: n + s["length"])
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", removed.cast("long").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near duplicates in ``documents``."""
     return order_minhash.near_duplicates(table(spark, folder, "documents"))
@@ -104,6 +114,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_lines": op1_quality_lines,
     "op2_secret_scan": op2_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
