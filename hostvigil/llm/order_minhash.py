@@ -6,7 +6,7 @@ how often they occurred before, so that repeats count. Each of several hash func
 sequence is one sketch. Two documents share a sketch only if they share the picked k-mers in the
 same order, which makes sketches sensitive to edit similarity rather than to shared words alone.
 At a similarity of 0.8 between the sets of labelled k-mers, the chance to share none of the
-sketches is below 2e-6.
+sketches is 1e-5, and far less for closer texts.
 
 Documents that share a sketch are candidates; they are linked if an alignment of their words needs
 at most 0.2 edits per word of the longer one. Documents with the same words are one text
@@ -20,6 +20,7 @@ all pairs is made; a bucket of near copies costs as many alignments as it has te
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +35,21 @@ from hostvigil.llm.common import (
     ranges,
     slices,
     starts_of,
+    text_key,
     word_hashes,
-    words,
 )
 from hostvigil.llm.components import connected_components
 
 KMER = 5
-PICKED = 2
-SKETCHES = 13
+PICKED = 3
+SKETCHES = 16
 #: In units of the most edits of similar texts: two texts further apart than this from a third
 #: one and from its circle have no similar texts there. Twice, and a quarter for longer texts.
 FURTHEST = 2.5
 #: Texts in one block of a block against block comparison.
-BLOCK = 64
+BLOCK = 256
+#: Words are counted by this many hash values where a bound on the distance is enough.
+BAG = 512
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -138,9 +141,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         return most + 1
     if not len(a):
         return len(b)
-    top = int(max(a.max(), b.max())) + 1
-    shared = np.minimum(np.bincount(a, minlength=top), np.bincount(b, minlength=top)).sum()
-    if len(b) - shared > most:  # so many words of the longer one have no partner
+    if least_distance(a, b) > most:
         return most + 1
     width = max(8, len(b) - len(a) + 1)
     while True:
@@ -179,55 +180,78 @@ def banded(a: np.ndarray, b: np.ndarray, width: int) -> int:
     return int(row[m - n + width])
 
 
-def limit_of(n: int, m: int, similarity: float) -> int:
+def limit_of(n, m, similarity: float):
     """The most edits that leave two texts of n and m words similar enough."""
-    return int((1 - similarity) * max(n, m) + 1e-9)
+    return np.floor((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
+
+
+def least_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound: words of the longer text without a partner in the other."""
+    top = int(max(a.max(initial=0), b.max(initial=0))) + 1
+    shared = np.minimum(np.bincount(a, minlength=top), np.bincount(b, minlength=top)).sum()
+    return max(len(a), len(b)) - int(shared)
 
 
 def aligned(pairs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, distance, reach) of pairs (a, b, words_a, words_b).
+    """(a, b, distance, reach) of pairs (a, b, text_a, text_b).
 
-    ``reach`` is the most edits of similar texts; distances are exact up to ``FURTHEST`` times it.
+    ``reach`` is the most edits of similar texts. A distance up to it is exact, as is any up to
+    ``FURTHEST`` times it, unless it is a lower bound of more than one and a half times it.
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, reach = [], []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = encoded([x.split(" "), y.split(" ")])
-                reach.append(limit_of(len(x), len(y), similarity))
-                found.append(edit_distance(x, y, int(FURTHEST * reach[-1]) + 1))
+                x, y = encoded([split_words(x), split_words(y)])
+                most = int(limit_of(len(x), len(y), similarity))
+                distance = least_distance(x, y)
+                if distance <= 1.5 * most:
+                    distance = edit_distance(x, y, int(FURTHEST * most) + 1)
+                reach.append(most)
+                found.append(distance)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.int32()),
                  pa.array(reach, pa.int32())], ["a", "b", "distance", "reach"],
             )
 
-    return pairs.select("a", "b", "words_a", "words_b").mapInArrow(
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(
         align, "a long, b long, distance int, reach int"
     )
 
 
+def split_words(text: str) -> list[bytes]:
+    """The words of a text in lower case."""
+    return text.lower().encode().split()
+
+
 def compare_blocks(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Links (a, b) among the texts of one block or between those of two blocks of a bucket."""
-    codes = encoded([w.split(" ") for w in rows["words"]])
-    ids, block = rows["text_id"].tolist(), rows["block"].tolist()
-    part = rows["part"].tolist()
-    cross = len(set(block)) > 1
+    codes = encoded([split_words(t) for t in rows["text"]])
+    n = np.array([len(c) for c in codes])
+    bags = np.stack([np.bincount(c % BAG, minlength=BAG) for c in codes]).astype(np.int32)
+    ids, block = rows["text_id"].to_numpy(), rows["block"].to_numpy()
+    part = rows["part"].map({"rest": 0, "shell": 1, "rim": 2}).to_numpy()
+    cross = len(np.unique(block)) > 1
     out = []
-    for i in range(len(ids)):
-        for j in range(i):
-            if ids[i] == ids[j] or cross and block[i] == block[j]:
-                continue
-            if "rim" in (part[i], part[j]) and part[i] + part[j] not in ("rimshell", "shellrim"):
-                continue
-            most = limit_of(len(codes[i]), len(codes[j]), similarity)
-            if edit_distance(codes[i], codes[j], most) <= most:
+    for i in range(1, len(ids)):
+        others = slice(0, i)
+        most = limit_of(n[others], n[i], similarity)
+        shared = np.minimum(bags[others], bags[i]).sum(1)
+        near = (np.maximum(n[others], n[i]) - shared <= most) & (ids[others] != ids[i])
+        if cross:
+            near &= block[others] != block[i]
+        # Those at the rim have only those of the shell left to meet.
+        rim = (part[others] == 2) | (part[i] == 2)
+        near &= ~rim | (part[others] + part[i] == 3)
+        for j in np.flatnonzero(near).tolist():
+            if edit_distance(codes[i], codes[j], int(most[j])) <= most[j]:
                 out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n, values): each row's words as a digest and their sketches."""
+    """(doc_id, key, digest, n, values): each row's words as a digest, and their sketches."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,14 +261,17 @@ def sketched(docs: DataFrame) -> DataFrame:
             for low, high in slices(lengths, 100_000):
                 parts.append(sketches(hashes[upto[low] : upto[high]], lengths[low:high]))
             values = pa.array(np.concatenate(parts).ravel())
+            digests = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest()
+                       for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(lengths.astype(np.int32)),
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()),
+                 pa.array(lengths.astype(np.int32)),
                  pa.FixedSizeListArray.from_arrays(values, SKETCHES).cast(pa.list_(pa.int64()))],
-                ["doc_id", "digest", "n", "values"],
+                ["doc_id", "key", "digest", "n", "values"],
             )
 
-    return docs.select("doc_id", F.sha2("words", 256), word_hashes(F.col("words"))).mapInArrow(
-        sketch, "doc_id long, digest string, n int, values array<long>"
+    return docs.select("doc_id", "key", word_hashes(F.lower("text"))).mapInArrow(
+        sketch, "doc_id long, key long, digest binary, n int, values array<long>"
     )
 
 
@@ -257,18 +284,20 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     by their texts. Rows whose doc_id is null and texts without words are classes of their own
     and kept; class_id is then the doc_id. No rows give no rows; other columns are not looked at.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.array_join(words(F.lower(F.col("text").cast("string"))), " ").alias("words"),
-    )
-    classed = F.col("doc_id").isNotNull() & (F.col("words") != "")
-    members = pinned(sketched(rows.filter(classed)))
-    texts = members.groupBy("digest").agg(
-        F.min("doc_id").alias("text_id"), F.first("n").alias("n"),
-        F.first("values").alias("values"), F.count(F.lit(1)).alias("n_rows"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("key", text_key(F.col("text")))
+    every = pinned(sketched(rows))
+    classed = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    members = every.filter(classed)
+    texts = pinned(
+        members.groupBy("digest").agg(
+            F.min(F.struct("doc_id", "key")).alias("least"), F.first("n").alias("n"),
+            F.first("values").alias("values"), F.count(F.lit(1)).alias("n_rows"),
+        ).select("digest", F.col("least.doc_id").alias("text_id"), "least.key", "n", "values",
+                 "n_rows")
     )
-    texts = pinned(texts)
-    links = linked_texts(texts, rows.filter(classed), similarity)
+    links = linked_texts(texts, rows, similarity)
     components = connected_components(links)
     named = texts.join(components.withColumnRenamed("id", "text_id"), "text_id", "left").select(
         "digest", F.coalesce("component", "text_id").alias("class_id"), "n_rows"
@@ -278,7 +307,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     out = members.select("doc_id", "digest").join(named, "digest").select(
         "doc_id", "class_id", "n_class_rows", (F.col("doc_id") == F.col("class_id")).alias("kept")
     )
-    rest = rows.filter(~classed).select(
+    rest = every.filter(~classed).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_class_rows"),
         F.lit(True).alias("kept"),
     )
@@ -288,8 +317,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between different texts that share a sketch and are similar enough.
 
-    ``texts`` holds (digest, text_id, n, values) and ``rows`` (doc_id, words), where the rows of
-    doc_id ``text_id`` hold the text.
+    ``texts`` holds (text_id, key, n, values) and ``rows`` (doc_id, key, text); the rows with the
+    same id and key hold the text.
     """
     short = texts.select("text_id", "n", F.explode(F.array_distinct("values")).alias("bucket"))
     leaders = short.groupBy("bucket").agg(
@@ -304,14 +333,13 @@ def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFr
     longest = F.greatest("n_a", "n_b")
     close = F.abs(F.col("n_a") - F.col("n_b")) <= FURTHEST * (1 - similarity) * longest + 1
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    names = texts.select("digest", F.col("text_id").alias("doc_id")).join(ids, "doc_id")
+    names = texts.select(F.col("text_id").alias("doc_id"), "key").join(ids, "doc_id")
     held = pinned(
-        rows.withColumn("digest", F.sha2("words", 256)).join(names, ["doc_id", "digest"])
-        .select("doc_id", "words").dropDuplicates(["doc_id"])
+        rows.join(names, ["doc_id", "key"]).select("doc_id", "text").dropDuplicates(["doc_id"])
     )
     wide = (
         pairs.filter(close).select("a", "b")
-        .join(held.toDF("a", "words_a"), "a").join(held.toDF("b", "words_b"), "b")
+        .join(held.toDF("a", "text_a"), "a").join(held.toDF("b", "text_b"), "b")
     )
     measured = pinned(aligned(wide, similarity))
     links = measured.filter("distance <= reach").select("a", "b")
