@@ -21,6 +21,7 @@ all pairs is made; a bucket of near copies costs as many alignments as it has te
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,8 @@ SKETCHES = 16
 FURTHEST = 2.5
 #: Texts in one block of a block against block comparison.
 BLOCK = 256
+#: Edits up to which a distance is sought diagonal by diagonal, before the banded table.
+FEW = 24
 #: Words are counted by this many hash values where a bound on the distance is enough.
 BAG = 512
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -143,41 +146,69 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         return len(b)
     if least_distance(a, b) > most:
         return most + 1
-    width = max(8, len(b) - len(a) + 1)
-    while True:
-        width = min(width, most)
-        found = banded(a, b, width)
-        if found <= width:
-            return found
-        if width >= most:
-            return most + 1
-        width *= 3
-
-
-def banded(a: np.ndarray, b: np.ndarray, width: int) -> int:
-    """The edit distance if it is at most ``width``, else something above."""
+    found = few_edits(a, b, min(most, FEW))
+    if found <= min(most, FEW) or most <= FEW:
+        return min(found, most + 1)
+    return min(whole_table(a.tolist(), b.tolist()), most + 1)
+
+
+def few_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """The edit distance if it is at most ``most``, else ``most`` + 1.
+
+    For each number of edits, the furthest place reached on every diagonal, which then slides along
+    equal words to that diagonal's next difference.
+    """
     n, m = len(a), len(b)
-    size = 2 * width + 1  # column j of row i lies at j - i + width
-    far = n + m + 1
-    steps = np.arange(size)
-    padded = np.full(m + 2 * size + 2, -1, b.dtype)
-    padded[size : size + m] = b
-    row = np.where(steps >= width, steps - width, far)
-    row[steps - width > m] = far
-    for i in range(1, n + 1):
-        begin = i - 1 - width + size  # b[j - 1] for the first column of this row
-        same = padded[begin : begin + size] == a[i - 1]
-        new = row + ~same
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        columns = steps + (i - width)
-        new[(columns < 0) | (columns > m)] = far
-        if i <= width:
-            new[width - i] = i
-        row = np.minimum.accumulate(new - steps) + steps
-        row[columns > m] = far
-        if i % 16 == 0 and row.min() > width:
-            return width + 1
-    return int(row[m - n + width])
+    differences: dict[int, list[int]] = {}
+
+    def slide(k: int, i: int) -> int:
+        if k not in differences:
+            low, high = max(0, -k), min(n, m - k)
+            differ = np.flatnonzero(a[low:high] != b[low + k : high + k]) + low
+            differences[k] = [*differ.tolist(), high]
+        stops = differences[k]
+        return stops[bisect_left(stops, i)]
+
+    at = {0: slide(0, 0)}
+    if m == n and at[0] >= n:
+        return 0
+    for edits in range(1, most + 1):
+        new = {}
+        for k in range(max(-edits, -n), min(edits, m) + 1):
+            i = max(at.get(k, -2) + 1, at.get(k - 1, -2), at.get(k + 1, -2) + 1)
+            i = min(i, n, m - k)
+            if i >= max(0, -k):
+                new[k] = slide(k, i)
+        if new.get(m - n, -1) >= n:
+            return edits
+        at = new
+    return most + 1
+
+
+def whole_table(a: list[int], b: list[int]) -> int:
+    """The edit distance from all diagonals, a row of the table at a time in the bits of integers.
+
+    ``plus`` and ``minus`` hold where neighbouring cells of a row differ by 1 and by -1.
+    """
+    ones, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    equal: dict[int, int] = {}
+    for i, word in enumerate(a):
+        equal[word] = equal.get(word, 0) | 1 << i
+    plus, minus, distance = ones, 0, len(a)
+    for word in b:
+        same = equal.get(word, 0)
+        diagonal = (((same & plus) + plus) ^ plus) | same
+        up = minus | (ones & ~(diagonal | plus))
+        down = plus & diagonal
+        if up & last:
+            distance += 1
+        elif down & last:
+            distance -= 1
+        up = (up << 1 | 1) & ones
+        stay = same | minus
+        plus = (down << 1 & ones) | (ones & ~(stay | up))
+        minus = up & stay
+    return distance
 
 
 def limit_of(n, m, similarity: float):
@@ -226,27 +257,34 @@ def split_words(text: str) -> list[bytes]:
 
 
 def compare_blocks(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links (a, b) among the texts of one block or between those of two blocks of a bucket."""
+    """Links (a, b) between components of texts, within a block or between two of a bucket.
+
+    Texts of one component need no more links, so only others are aligned, likeliest first.
+    """
     codes = encoded([split_words(t) for t in rows["text"]])
     n = np.array([len(c) for c in codes])
     bags = np.stack([np.bincount(c % BAG, minlength=BAG) for c in codes]).astype(np.int32)
-    ids, block = rows["text_id"].to_numpy(), rows["block"].to_numpy()
+    names, component = np.unique(rows["component"].to_numpy(), return_inverse=True)
+    block = rows["block"].to_numpy()
     part = rows["part"].map({"rest": 0, "shell": 1, "rim": 2}).to_numpy()
     cross = len(np.unique(block)) > 1
     out = []
-    for i in range(1, len(ids)):
+    for i in range(1, len(codes)):
         others = slice(0, i)
         most = limit_of(n[others], n[i], similarity)
-        shared = np.minimum(bags[others], bags[i]).sum(1)
-        near = (np.maximum(n[others], n[i]) - shared <= most) & (ids[others] != ids[i])
+        apart = np.maximum(n[others], n[i]) - np.minimum(bags[others], bags[i]).sum(1)
+        near = apart <= most
         if cross:
             near &= block[others] != block[i]
         # Those at the rim have only those of the shell left to meet.
         rim = (part[others] == 2) | (part[i] == 2)
         near &= ~rim | (part[others] + part[i] == 3)
-        for j in np.flatnonzero(near).tolist():
-            if edit_distance(codes[i], codes[j], int(most[j])) <= most[j]:
-                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        near = np.flatnonzero(near & (component[others] != component[i]))
+        for j in near[np.argsort(apart[near] - most[near], kind="stable")].tolist():
+            u, v = component[i], component[j]
+            if u != v and edit_distance(codes[i], codes[j], int(most[j])) <= most[j]:
+                out.append((names[u], names[v]))
+                component[component == v] = u
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -297,8 +335,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         ).select("digest", F.col("least.doc_id").alias("text_id"), "least.key", "n", "values",
                  "n_rows")
     )
-    links = linked_texts(texts, rows, similarity)
-    components = connected_components(links)
+    components = text_components(texts, rows, similarity)
     named = texts.join(components.withColumnRenamed("id", "text_id"), "text_id", "left").select(
         "digest", F.coalesce("component", "text_id").alias("class_id"), "n_rows"
     )
@@ -314,8 +351,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     return out.unionByName(rest)
 
 
-def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between different texts that share a sketch and are similar enough.
+def text_components(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """(id, component) of texts linked because they share a sketch and are similar enough.
 
     ``texts`` holds (text_id, key, n, values) and ``rows`` (doc_id, key, text); the rows with the
     same id and key hold the text.
@@ -343,8 +380,13 @@ def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFr
     )
     measured = pinned(aligned(wide, similarity))
     links = measured.filter("distance <= reach").select("a", "b")
-    # What the first text of a bucket leaves open.
+    first = connected_components(links)
+    # What the first text of a bucket leaves open, where links have not settled it elsewhere.
     known = found.join(measured, ["a", "b"], "left")
+    for side in ("a", "b"):
+        of_side = first.toDF(side, f"component_{side}")
+        known = known.join(of_side, side, "left").withColumn(
+            f"component_{side}", F.coalesce(f"component_{side}", side))
     far = F.col("distance").isNull() | (F.col("distance") > F.floor(FURTHEST * F.col("reach")) + 1)
     known = known.withColumn(
         "part", F.when(F.col("distance") <= F.col("reach"), "near").when(far, "rest")
@@ -354,22 +396,25 @@ def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFr
         F.count_if(F.col("part") != "near").alias("open"),
         F.min(F.when(F.col("part") == "shell", F.col("distance"))).alias("shell_at"),
         F.max(F.greatest("n_a", "n_b")).alias("longest"),
-    ).filter("open > 1 or shell_at is not null")
+        F.min(F.least("component_a", "component_b")).alias("lowest"),
+        F.max(F.greatest("component_a", "component_b")).alias("highest"),
+    ).filter("(open > 1 or shell_at is not null) and lowest <> highest")
     # A near text can only be similar to one of the shell if its own distance makes up for it.
     rim = (F.col("part") == "near") & (
         F.col("distance") >= F.col("shell_at") - (1 - similarity) * F.col("longest") - 1
     )
-    opened = known.join(per_bucket, "bucket").filter((F.col("part") != "near") | rim).select(
-        "bucket", F.col("b").alias("text_id"),
-        F.when(F.col("part") == "near", "rim").otherwise(F.col("part")).alias("part"),
+    opened = pinned(
+        known.join(per_bucket, "bucket").filter((F.col("part") != "near") | rim).select(
+            "bucket", F.col("b").alias("text_id"), F.col("component_b").alias("component"),
+            F.when(F.col("part") == "near", "rim").otherwise(F.col("part")).alias("part"),
+        )
     )
-    opened = pinned(opened)
     blocks = opened.groupBy("bucket").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = opened.join(blocks, "bucket").withColumn(
         "block", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int")
     ).select(
-        "bucket", "text_id", "part", "block",
+        "bucket", "text_id", "component", "part", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     )
     rest = (
@@ -378,4 +423,8 @@ def linked_texts(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFr
                  F.greatest("block", "other").alias("j"))
         .applyInPandas(lambda rows: compare_blocks(rows, similarity), "a long, b long")
     )
-    return links.unionByName(rest)
+    second = connected_components(rest).toDF("component", "further")
+    return first.join(second, "component", "full").select(
+        F.coalesce("id", "component").alias("id"), F.coalesce("further", "component")
+        .alias("component"),
+    )
