@@ -9,11 +9,12 @@ with the least hash is its anchor, equal windows have equal anchors, and consecu
 the same anchor form a run. First, anchors are counted over all documents; runs whose anchor is
 unique cannot repeat and are done. The other runs are dealt to shards by their anchor. In a shard,
 the different runs are the reference: a suffix automaton over their words is built, earliest
-first, and the runs are streamed through it. A matching statistic of ``span`` or more means that
+first, and the runs are streamed through it (runs of an anchor that all have the same words need
+none, they can only be equal). A matching statistic of ``span`` or more means that
 the window ending there occurs in the reference, and the automaton's first end position says where
 first. The number of shards follows the number of such runs, so shards are of bounded size.
 
-Runs of an anchor that more than ``hot`` runs share are not put in one shard. Their different
+A shard's memory is bounded by ``hot``: runs of an anchor that more runs share are not put in one. Their different
 contents are cut into windows and each window goes by its own hash, with the least start taken
 before and after the shuffle; the anchor and the window hash together make 128 bits. So a passage
 that a third of all documents share costs a row per run and no group of that size.
@@ -253,36 +254,47 @@ class SuffixAutomaton:
 
 def match_shard(rows: pd.DataFrame, span: int) -> pd.DataFrame:
     """Spans of words of a shard's runs that are covered by windows with an earlier start."""
-    rows = rows.sort_values(["doc_id", "key", "start"], kind="stable")
-    different = rows.drop_duplicates("text")
+    rows = rows.sort_values(["doc_id", "key", "start"], kind="stable", ignore_index=True)
+    content = pd.factorize(rows["text"])[0]
+    heads = np.flatnonzero(~pd.Series(content).duplicated().to_numpy())  # in order of content
+    anchor = rows["anchor"].to_numpy()
+    # An anchor with one content needs no automaton: its windows are first where that is first.
+    several = pd.Series(anchor[heads]).duplicated(keep=False).to_numpy()
+    alone = ~several[content]
+    ids, keys, starts = (rows[c].to_numpy() for c in ("doc_id", "key", "start"))
+    first = heads[content]
+    later = alone & ((ids != ids[first]) | (keys != keys[first]) | (starts != starts[first]))
+    plain = rows.loc[later, ["doc_id", "key", "start"]].assign(
+        length=rows.loc[later, "windows"] + span - 1)
     codes: dict[str, int] = {}
-    automaton, begins, starts = SuffixAutomaton(), [], []
-    sequences = []
-    for text, doc_id, key, start in zip(different["text"], different["doc_id"], different["key"],
-                                        different["start"], strict=True):
-        sequence = [codes.setdefault(w, len(codes)) for w in text.split(" ")]
+    automaton, begins, sequences = SuffixAutomaton(), [], {}
+    shared = np.flatnonzero(several).tolist()
+    for c in shared:
+        text = rows["text"].iat[heads[c]]
+        sequences[c] = [codes.setdefault(w, len(codes)) for w in text.split(" ")]
         begins.append(automaton.count)
-        starts.append((doc_id, key, start))
-        automaton.add(sequence)
-        sequences.append(sequence)
-    begins = np.array(begins)
-    earliest: dict[str, list[tuple]] = {}  # (first window, windows, where the first of them was)
-    for text, sequence in zip(different["text"], sequences, strict=True):
+        automaton.add(sequences[c])
+    ends_at, owners = np.array(begins), heads[shared] if shared else heads[:0]
+    earliest: dict[int, list[tuple]] = {}  # (first window, windows, where the first of them was)
+    for c, sequence in sequences.items():
         ends = np.array(automaton.first_ends(sequence, span)) - span + 1
-        owner = np.searchsorted(begins, ends, side="right") - 1
+        owner = np.searchsorted(ends_at, ends, side="right") - 1
         cuts = np.flatnonzero((np.diff(ends) != 1) | (np.diff(owner) != 0)) + 1
         found = []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)], strict=True):
-            doc_id, key, start = starts[owner[a]]
-            found.append((a, b - a, (doc_id, key, start + int(ends[a] - begins[owner[a]]))))
-        earliest[text] = found
+            head = owners[owner[a]]
+            found.append((a, b - a, (int(ids[head]), int(keys[head]),
+                                     int(starts[head] + ends[a] - ends_at[owner[a]]))))
+        earliest[c] = found
     out = []
-    for text, doc_id, key, start in zip(rows["text"], rows["doc_id"], rows["key"], rows["start"],
-                                        strict=True):
-        for first, windows, where in earliest[text]:
-            if where < (doc_id, key, start + first):
-                out.append((doc_id, key, start + first, windows + span - 1))
-    return pd.DataFrame(out, columns=["doc_id", "key", "start", "length"]).astype(
+    rest = np.flatnonzero(~alone)
+    for c, doc_id, key, start in zip(content[rest].tolist(), ids[rest].tolist(),
+                                     keys[rest].tolist(), starts[rest].tolist(), strict=True):
+        for at, windows, where in earliest[c]:
+            if where < (doc_id, key, start + at):
+                out.append((doc_id, key, start + at, windows + span - 1))
+    out = pd.DataFrame(out, columns=["doc_id", "key", "start", "length"])
+    return pd.concat([plain, out]).astype(
         {"doc_id": "int64", "key": "int64", "start": "int32", "length": "int32"}
     )
 
@@ -322,7 +334,7 @@ def match_hot(hot: DataFrame, span: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, span: int = 20, hot: int = 8192) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 20, hot: int = 32768) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, removed, text.
 
     ``removed`` lists (start, length) of the words taken out, merged and in order; ``text`` is what
@@ -350,7 +362,7 @@ def remove_repeats(docs: DataFrame, span: int = 20, hot: int = 8192) -> DataFram
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     cold = (
         cut.filter("not is_hot").withColumn("shard", shard)
-        .select("shard", "doc_id", "key", "start", "text")
+        .select("shard", "anchor", "doc_id", "key", "start", "windows", "text")
         .groupBy("shard").applyInPandas(lambda part: match_shard(part, span), SPANS)
     )
     warm = match_hot(cut.filter("is_hot").select("anchor", "doc_id", "key", "start", "text"), span)
