@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostvigil.llm import (
+    mixing,
     order_minhash,
     packing,
     pii,
     quality_lines,
     secrets,
+    subspace_join,
     substring_dedup,
     toxicity,
     url_filter,
@@ -77,6 +79,25 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Integer weights of the mixture; names not listed weigh 1. The tables have no domain column, so
+#: a document's domain is the last digit of its source's number, three domains in all.
+MIX_WEIGHTS = {
+    "domain": {"d0": 2, "d1": 3, "d2": 1},
+    "lang": {"en": 6, "de": 2, "fr": 2, "es": 3},
+    "source": {"src0": 2},
+}
+
+
+def source_domain() -> Column:
+    digits = F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "([0-9])$", 1)
+    return F.concat(F.lit("d"), (F.coalesce(digits.try_cast("int"), F.lit(0)) % 3).cast("string"))
+
+
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the mixture of ``documents`` takes each of them."""
+    return mixing.mix(table(spark, folder, "documents"), source_domain(), MIX_WEIGHTS).drop("row")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of ``documents``, learnt from ``labels`` outside the held-out fold."""
     docs = table(spark, folder, "documents")
@@ -91,6 +112,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_subspace_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of ``embeddings``."""
+    return subspace_join.similar_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in ``documents``."""
     spans = F.col("spans")
@@ -117,7 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op5_packing": op5_packing,
+    "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
+    "op8_subspace_join": op8_subspace_join,
     "op9_personal_data": op9_personal_data,
     "op10_url_filter": op10_url_filter,
 }
