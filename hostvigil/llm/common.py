@@ -32,19 +32,21 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed once and kept in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``; a session without that setting gets one beside its
-    warehouse, on the same file system.
+    A session without that setting gets one beside its warehouse, on the same file system.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+            ).rstrip("/")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and kept in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from hostvigil.llm.common import BLANKS, pinned, text_key, word_hashes, words
 
@@ -45,7 +46,7 @@ def base_metrics(text: Column) -> dict[str, Column]:
     }
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def repeated_words(column: pd.Series) -> pd.Series:
     """Words covered by a run of three that the text has more than once, from word hashes."""
     out = []
