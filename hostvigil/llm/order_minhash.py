@@ -233,8 +233,8 @@ def aligned(pairs: DataFrame, similarity: float) -> DataFrame:
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, reach = [], []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = encoded([split_words(x), split_words(y)])
+            for left, right in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = encoded([split_words(left.as_py()), split_words(right.as_py())])
                 most = int(limit_of(len(x), len(y), similarity))
                 distance = least_distance(x, y)
                 if distance <= 1.5 * most:
