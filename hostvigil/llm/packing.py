@@ -32,8 +32,8 @@ SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
     "ids binary"
 )
-#: Words whose ids a Python worker remembers; beyond it the memory is emptied.
-REMEMBERED = 1_200_000
+#: Words whose ids a task remembers; beyond it the memory is emptied.
+REMEMBERED = 500_000
 
 
 class WordIds:
@@ -45,10 +45,7 @@ class WordIds:
     """
 
     def __init__(self, tokenizer_json: str, by_word: bool):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = _loaded(tokenizer_json)
         self.by_word = by_word
         self.forget()
 
@@ -175,14 +172,14 @@ def pack_documents(
     # A sequence id has the partition above bit 40 and the sequence within it below.
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_ids = _remembered(tokenizer, by_word)
+        word_ids = WordIds(tokenizer.value, by_word)
         base = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         tokens = made = 0
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in _slices(texts, 4 * buffer_tokens):
+            for low, high in _slices(texts, 2 * buffer_tokens):
                 flat, counts = word_ids(texts[low:high])
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1
@@ -205,20 +202,23 @@ def pack_documents(
         placed += [(i, a, n, full + s, o) for i, a, n, s, o in powers_of_two(left)]
         if placed:
             yield _rows(held, placed, base + made)
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         pack, SCHEMA
     )
 
 
-def _remembered(tokenizer, by_word: bool) -> WordIds:
-    """This worker's ids. They hang on ``sys``, which outlives the task in a worker process."""
-    store = sys.__dict__.setdefault("_hostvigil_word_ids", {})
-    key = (hash(tokenizer.value), by_word)
-    if key not in store:
+def _loaded(tokenizer_json: str):
+    """This worker's tokenizer. It hangs on ``sys``, which outlives the task in a worker process."""
+    from tokenizers import Tokenizer
+
+    store = sys.__dict__.setdefault("_hostvigil_tokenizers", {})
+    if tokenizer_json not in store:
         store.clear()
-        store[key] = WordIds(tokenizer.value, by_word)
-    return store[key]
+        store[tokenizer_json] = Tokenizer.from_str(tokenizer_json)
+        store[tokenizer_json].encode_special_tokens = True
+    return store[tokenizer_json]
 
 
 def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
