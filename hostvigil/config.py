@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
@@ -107,7 +108,7 @@ THRESHOLD_NAMES = {
 }
 
 
-def parse_thresholds(lines: list[str]) -> dict[str, AlertRule]:
+def parse_thresholds(lines: Iterable[str]) -> dict[str, AlertRule]:
     """Both standard rules, with the thresholds given as ``name: value`` lines applied."""
     rules = {rule.name: rule for rule in (CPU_MEM, NET_DISK)}
     for line in lines:
@@ -124,8 +125,5 @@ def parse_thresholds(lines: list[str]) -> dict[str, AlertRule]:
 
 def load_thresholds(spark: SparkSession, path: str) -> dict[str, AlertRule]:
     """Read a thresholds file from any file system Spark can reach."""
-    # A handful of lines; taking one more than a file may hold shows a wrong path early.
-    lines = [row.value for row in spark.read.text(path).take(101)]
-    if len(lines) > 100:
-        raise ValueError(f"{path} is not a thresholds file: more than 100 lines")
-    return parse_thresholds(lines)
+    # Line by line, so that a file of something else ends at its first line.
+    return parse_thresholds(row.value for row in spark.read.text(path).toLocalIterator())

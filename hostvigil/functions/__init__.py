@@ -10,7 +10,7 @@ from hostvigil.functions.columns import (
     second_of_day,
     time_of_day,
 )
-from hostvigil.functions.records import encode_record, parse_value
+from hostvigil.functions.records import encode_record, one_value, parse_value
 
 __all__ = [
     "alert_label",
@@ -19,6 +19,7 @@ __all__ = [
     "finite_number",
     "is_finite",
     "is_number_text",
+    "one_value",
     "parse_value",
     "round_half_up",
     "second_of_day",

@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 from hostvigil.schemas import METRICS
 
 # All fields are decoded as text: numbers may come quoted, and not-a-number must become null.
+_RECORD = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("ts", "server_id", *METRICS)]
+)
 _ENVELOPE = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("ts", "server_id", *METRICS, "_corrupt")]
+    [T.StructField("record", _RECORD), T.StructField("_corrupt", T.StringType())]
 )
 
 
@@ -21,5 +24,21 @@ def encode_record(*columns: str) -> Column:
 
 
 def parse_value(text: Column) -> Column:
-    """A record's JSON text as a struct of text fields, ``_corrupt`` set if it is malformed."""
-    return F.from_json(text, _ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"})
+    """A record's JSON text as a struct of text fields ``record``, ``_corrupt`` set if malformed.
+
+    The parser stops at the end of a value, so the text is read as a field's value: anything
+    after it then breaks the object around it.
+    """
+    return F.from_json(
+        F.concat(F.lit('{"record":'), text, F.lit("}")), _ENVELOPE,
+        {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"},
+    )
+
+
+def one_value(text: Column) -> Column:
+    """Whether the text is one JSON value: a comma could have slipped in fields of the object."""
+    values = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()),
+        {"allowSingleQuotes": "false"},
+    )
+    return F.coalesce(F.size(values) == 1, F.lit(False))

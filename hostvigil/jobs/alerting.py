@@ -19,7 +19,7 @@ from hostvigil.plans.alerts import (
 )
 from hostvigil.schemas import TOPICS
 from hostvigil.session import build_session, scratch_dir
-from hostvigil.sinks.tables import SINGLE_FILE_ROWS, publish_single_csv, write_table
+from hostvigil.sinks.tables import drop_table, publish_single_csv, write_table
 from hostvigil.sources.landed import read_landed, read_landed_topic
 
 
@@ -41,14 +41,14 @@ def run_alert_job(
     right: DataFrame,
     rule: AlertRule,
     out: str,
-    single_file: bool = True,
+    single_file: bool = False,
     full_counts: bool = False,
 ) -> JobReport:
     """Compute the alerts in one pass over the inputs and write them as CSV to ``out``.
 
     The unsorted result is first written to the shared scratch folder. Sorting and publishing
-    then start from that small table. ``out`` is one file if ``single_file`` is asked for and
-    the result is small enough for one task, else a folder of sorted parts.
+    then start from that small table, which is deleted in the end. ``out`` is a folder of sorted
+    parts, or one file written by one task if ``single_file`` asks for it.
 
     By default readings no kept window can hold are filtered in the scan, and counts are of the
     rest; ``full_counts`` reads and counts everything.
@@ -66,11 +66,12 @@ def run_alert_job(
     stored = spark.read.schema(labelled.schema).parquet(staged)
     windows = stored.count()  # from file footers
     result = format_alerts(stored, rule, ordered=True)
-    if single_file and windows <= SINGLE_FILE_ROWS:
+    if single_file:
         written = publish_single_csv(result, out)
     else:
         write_table(result, out, "csv")
         written = True
+    drop_table(spark, staged)
     earliest = matched_seen.get["earliest"]
     return JobReport(
         left_seen.get["rows"],
@@ -103,7 +104,10 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
         default="csv",
         help="'landing': both inputs name a table written by the land job",
     )
-    parser.add_argument("--parts", action="store_true", help="write a folder of sorted parts")
+    parser.add_argument(
+        "--single_file", action="store_true",
+        help="write one CSV file, in one task, rather than a folder of sorted parts",
+    )
     parser.add_argument("--full_counts", action="store_true", help="count readings before cutoff")
     parser.add_argument("--preview", action="store_true", help="show first input and result rows")
     return parser
@@ -129,7 +133,7 @@ def main(rule: AlertRule, left: str, right: str, argv: list[str] | None = None)
     if args.preview:
         show_inputs(left_table, right_table, rule)
     report = run_alert_job(
-        left_table, right_table, rule, args.out, not args.parts, args.full_counts
+        left_table, right_table, rule, args.out, args.single_file, args.full_counts
     )
     print(report)
     if args.preview and report.output:

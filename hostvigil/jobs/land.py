@@ -23,7 +23,6 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("hostvigil land")
     query = start_landing(stream_topics(spark, args.servers), args.table, args.checkpoint)
-    query.awaitTermination()
     print(f"landed {landed_rows(query)} messages")
     if args.csv:
         for topic in TOPICS:

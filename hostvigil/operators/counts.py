@@ -19,9 +19,15 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def observe_matches(matched: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Joined row count and earliest joined time of matched keys, as they pass."""
     seen = Observation(name)
+    ts = F.col("ts")
+    is_text = matched.schema["ts"].dataType.typeName() == "string"
+    # Keys whose time cannot be read match, but join nothing.
+    read = (time_of_day(ts) if is_text else ts).isNotNull()
     return (
         matched.observe(
-            seen, F.sum(joined_rows()).alias("rows"), F.min("ts").alias("earliest")
+            seen,
+            F.sum(F.when(read, joined_rows())).alias("rows"),
+            F.min(F.when(read, ts)).alias("earliest"),
         ),
         seen,
     )

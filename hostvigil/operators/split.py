@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostvigil.functions import encode_record, finite_number, parse_value
+from hostvigil.functions import encode_record, finite_number, one_value, parse_value
 from hostvigil.schemas import METRICS, TOPICS
 
 
@@ -32,19 +32,24 @@ def from_records(records: DataFrame) -> DataFrame:
     Records that are no JSON object keep their bytes in ``raw`` and name a ``problem``; later
     records are unaffected. Absent and non-finite metrics are null.
     """
-    texts = records.select("topic", F.trim(F.col("value").cast("string")).alias("text"))
+    texts = records.select(
+        "topic", F.btrim(F.col("value").cast("string"), F.lit(" \t\n\r")).alias("text")
+    )
     # Only an object is a record, though the parser takes lists of them as well.
     parsed = texts.withColumns(
-        {"record": parse_value(F.col("text")), "is_object": F.col("text").startswith("{")}
+        {
+            "parsed": parse_value(F.col("text")),
+            "is_object": F.col("text").startswith("{") & one_value(F.col("text")),
+        }
     )
-    is_record = F.col("is_object") & F.col("record._corrupt").isNull()
+    is_record = F.col("is_object") & F.col("parsed._corrupt").isNull()
     decoded = parsed.withColumn("refused", ~F.coalesce(is_record, F.lit(False)))
     refused = F.col("refused")
     return decoded.select(
         "topic",
-        *(F.when(~refused, F.col(f"record.{key}")).alias(key) for key in ("ts", "server_id")),
+        *(F.when(~refused, F.col(f"parsed.record.{key}")).alias(key) for key in ("ts", "server_id")),
         *(
-            F.when(~refused, finite_number(F.col(f"record.{name}"), kind.simpleString())).alias(
+            F.when(~refused, finite_number(F.col(f"parsed.record.{name}"), kind.simpleString())).alias(
                 name
             )
             for name, kind in METRICS.items()

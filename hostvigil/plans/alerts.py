@@ -24,6 +24,8 @@ def reachable_pair(
     On time-of-day text this compares the stored column with constants, which Parquet scans
     use to skip row groups.
     """
+    if has_timestamps(left) != has_timestamps(right):
+        raise ValueError("one side holds times of day and the other timestamps in column ts")
     clock = clock_of(F.col("ts")) if has_timestamps(left) else F.col("ts")
     return keep_reachable(left, rule, clock), keep_reachable(right, rule, clock)
 

@@ -182,9 +182,11 @@ ORACLES: dict[str, str] = {
     "cpu_mem_alerts": _alerts(CPU_MEM),
     "net_disk_alerts": _alerts(NET_DISK),
     "cpu_mem_alerts_timestamped": _alerts(CPU_MEM, stamped=True),
+    "net_disk_alerts_timestamped": _alerts(NET_DISK, stamped=True),
     "input_preview": f"SELECT * FROM ({_split('topic-cpu')}) ORDER BY ALL LIMIT 5",
     "alerts_preview": f"SELECT * FROM ({_alerts(CPU_MEM)}) ORDER BY ALL LIMIT 20",
     "alerts_csv_roundtrip": _alerts(CPU_MEM),
     "stream_landing": _split("topic-cpu"),
     "stream_cpu_mem_alerts": _alerts(CPU_MEM, stamped=True),
+    "stream_net_disk_alerts": _alerts(NET_DISK, stamped=True),
 }

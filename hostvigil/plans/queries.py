@@ -218,10 +218,14 @@ def alerts_query(rule: AlertRule) -> Query:
     return lambda spark, sf_dir: alerts(*_pair(_wide(spark, sf_dir), rule), rule, ordered=True)
 
 
-def cpu_mem_alerts_timestamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CPU and memory job over real timestamps, days kept apart."""
-    wide = wide_from_events(_events(spark, sf_dir), full_timestamp=True)
-    return alerts(*_pair(wide, CPU_MEM), CPU_MEM)
+def timestamped_query(rule: AlertRule) -> Query:
+    """A job over real timestamps, days kept apart."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wide = wide_from_events(_events(spark, sf_dir), full_timestamp=True)
+        return alerts(*_pair(wide, rule), rule)
+
+    return query
 
 
 def input_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,11 +264,12 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed_topic(spark, f"{folder}/table", "topic-cpu")
 
 
-def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Continuous CPU and memory alerts over all events.
+def stream_alerts(spark: SparkSession, sf_dir: str, rule: AlertRule) -> DataFrame:
+    """Continuous alerts of a rule over all events.
 
-    A second source holds a closing reading a day later. Both are drained in one batch, after
-    which the watermark lies past every window of the events.
+    A second source holds a closing reading a day later. The events are drained first; a second
+    run over the same checkpoint takes up their state and drains the closing reading, after which
+    the watermark lies past every window of the events.
     """
     folder = scratch_dir(spark, "continuous")
     latest = F.max("ts") + F.make_dt_interval(days=F.lit(1))
@@ -276,15 +281,17 @@ def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         full_timestamp=True,
     )
-    closing.write.parquet(f"{folder}/closing")
+    closing.limit(0).write.parquet(f"{folder}/closing")
     stream = wide_from_events(_event_stream(spark, sf_dir), full_timestamp=True).unionByName(
         spark.readStream.schema(closing.schema).parquet(f"{folder}/closing")
     )
-    result = continuous_alerts(*_pair(stream, CPU_MEM), CPU_MEM)
-    query = start_alerts(
-        result, f"{folder}/alerts", f"{folder}/checkpoint", available_now=True
-    )
-    query.awaitTermination()
+    result = continuous_alerts(*_pair(stream, rule), rule)
+    for last in (False, True):
+        if last:
+            closing.write.mode("append").parquet(f"{folder}/closing")
+        start_alerts(
+            result, f"{folder}/alerts", f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{folder}/alerts")
 
 
@@ -308,10 +315,12 @@ QUERIES: dict[str, Query] = {
     "cpu_mem_windows_cutoff": cpu_mem_windows_cutoff,
     "cpu_mem_alerts": alerts_query(CPU_MEM),
     "net_disk_alerts": alerts_query(NET_DISK),
-    "cpu_mem_alerts_timestamped": cpu_mem_alerts_timestamped,
+    "cpu_mem_alerts_timestamped": timestamped_query(CPU_MEM),
+    "net_disk_alerts_timestamped": timestamped_query(NET_DISK),
     "input_preview": input_preview,
     "alerts_preview": alerts_preview,
     "alerts_csv_roundtrip": alerts_csv_roundtrip,
     "stream_landing": stream_landing,
-    "stream_cpu_mem_alerts": stream_cpu_mem_alerts,
+    "stream_cpu_mem_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, CPU_MEM),
+    "stream_net_disk_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, NET_DISK),
 }

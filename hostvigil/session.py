@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,12 +34,10 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name for written intermediates and streaming checkpoints.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a session whose
-    executors share this machine may go without that setting.
+    It lies in the shared folder named by ``spark.checkpoint.dir``, or else beside the session's
+    warehouse, on the same file system.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="hostvigil-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/hostvigil/{name}-{uuid.uuid4().hex}"

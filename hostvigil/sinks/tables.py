@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-# A result of at most this many rows (some 100 MB of CSV) may be written by a single task.
-SINGLE_FILE_ROWS = 1_000_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -25,10 +24,11 @@ def _paths(spark: SparkSession, *names: str):
 def publish_single_csv(df: DataFrame, path: str) -> bool:
     """Write ``df`` as the one CSV file ``path``; False if no file came out.
 
-    One task writes everything: only for results known to be small, see SINGLE_FILE_ROWS.
+    One task writes everything, so this is for callers who ask for one file. An older file is
+    replaced only once the new one lies beside it; a folder of that name is an error.
     """
     spark = df.sparkSession
-    folder = f"{path}_output"
+    folder = f"{path}_{uuid.uuid4().hex}"
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
     fs, (source, target) = _paths(spark, folder, path)
     parts = [
@@ -37,6 +37,21 @@ def publish_single_csv(df: DataFrame, path: str) -> bool:
         if status.getPath().getName().startswith("part-")
     ]
     if not parts:
+        fs.delete(source, True)
         return False
-    fs.delete(target, False)  # an older file; a folder with content is an error
-    return fs.rename(parts[0], target)
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
+        fs.delete(source, True)
+        raise FileExistsError(f"{path} is a folder")
+    old = _paths(spark, f"{folder}/old")[1][0]
+    replaced = fs.exists(target) and fs.rename(target, old)
+    done = fs.rename(parts[0], target)
+    if replaced and not done:
+        fs.rename(old, target)
+    fs.delete(source, True)
+    return done
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by this run."""
+    fs, (folder,) = _paths(spark, path)
+    fs.delete(folder, True)

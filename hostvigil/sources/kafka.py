@@ -30,7 +30,13 @@ def read_topics(spark: SparkSession, servers: str, **kwargs) -> DataFrame:
     return spark.read.format("kafka").options(**options).load().select("topic", "value")
 
 
-def stream_topics(spark: SparkSession, servers: str, **kwargs) -> DataFrame:
-    """Messages as they come, as (topic, value); positions are kept in the checkpoint."""
-    options = kafka_options(servers, **kwargs)
+def stream_topics(
+    spark: SparkSession, servers: str, per_batch: int = 50_000_000, **kwargs
+) -> DataFrame:
+    """Messages as they come, as (topic, value); positions are kept in the checkpoint.
+
+    A batch reads at most ``per_batch`` messages, so a long backlog is drained in steps and a
+    failure repeats one of them.
+    """
+    options = kafka_options(servers, **kwargs) | {"maxOffsetsPerTrigger": str(per_batch)}
     return spark.readStream.format("kafka").options(**options).load().select("topic", "value")

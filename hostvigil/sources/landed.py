@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hostvigil.operators.split import readings_of
+from hostvigil.schemas import LANDED
 
 
 def read_landed(
@@ -22,8 +23,8 @@ def read_landed(
 
 
 def read_landed_topic(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """One topic of a table written by the streaming landing."""
-    return readings_of(spark.read.parquet(path), topic)
+    """One topic of a table written by the streaming landing; no rows if nothing has landed."""
+    return readings_of(spark.read.schema(LANDED).parquet(path), topic)
 
 
 def read_alerts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -72,8 +72,9 @@ def _check(rows: DataFrame) -> DataFrame:
 def fail_on_problem(checked: DataFrame) -> DataFrame:
     """Strict reading: the first bad line ends the query."""
     stop = F.raise_error(F.concat(F.col("problem"), F.lit(": "), F.col("raw")))
-    return checked.withColumn(
-        "problem", F.when(F.col("problem").isNotNull(), stop.cast("string"))
+    # In a filter, as a column could be pruned.
+    return checked.filter(
+        F.when(F.col("problem").isNotNull(), stop.cast("boolean")).otherwise(True)
     )
 
 

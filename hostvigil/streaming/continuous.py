@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hostvigil.config import AlertRule
@@ -18,11 +19,16 @@ def continuous_alerts(
     (server, window) in state until the watermark evicts them, never the joined pairs. Readings
     later than ``delay`` are dropped. The watermark is that of the slower side. Time-of-day text
     is refused: it jumps back a day at midnight, and everything after would count as late.
+    Timestamps without a zone are taken to be in the session's.
     """
     for readings in (left, right):
         if not has_timestamps(readings):
             raise ValueError("continuous alerts need real timestamps in column ts")
-    return alerts(left.withWatermark("ts", delay), right.withWatermark("ts", delay), rule)
+    left, right = (
+        readings.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+        for readings in (left, right)
+    )
+    return alerts(left, right, rule)
 
 
 def start_alerts(

@@ -31,5 +31,13 @@ def start_landing(
 
 
 def landed_rows(query: StreamingQuery) -> int:
-    """Messages read so far, as far back as the query's progress reaches."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    """Messages read by a query that ends by itself; waits for its end.
+
+    Spark keeps the last hundred progress reports only, so they are gathered as they come.
+    """
+    seen: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = bool(query.awaitTermination(1))
+        seen |= {p.batchId: p.numInputRows for p in query.recentProgress}
+    return sum(seen.values())

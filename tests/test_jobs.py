@@ -9,7 +9,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from hostvigil.config import CPU_MEM, NET_DISK
+from hostvigil.config import CPU_MEM, NET_DISK, load_thresholds
 from hostvigil.jobs import alerting
 from hostvigil.operators.split import to_records
 from hostvigil.schemas import CPU_MEM_ALERT, WIDE
@@ -45,7 +45,7 @@ def test_cpu_mem_job_writes_one_sorted_csv(spark, csvs, tmp_path):
     out = tmp_path / "alerts.csv"
     report = alerting.main(CPU_MEM, "cpu", "mem", [
         "--cpu_csv", csvs["cpu"], "--mem_csv", csvs["mem"], "--out", str(out), "--full_counts",
-        "--preview",
+        "--preview", "--single_file",
     ])
     assert out.read_text().splitlines() == [
         "server_id,window_start,window_end,avg_cpu,avg_mem,alert",
@@ -57,7 +57,7 @@ def test_cpu_mem_job_writes_one_sorted_csv(spark, csvs, tmp_path):
     # Running again replaces the file; without full counts, early readings are not looked at.
     report = alerting.main(CPU_MEM, "cpu", "mem", [
         "--cpu_csv", csvs["cpu"], "--mem_csv", csvs["mem"], "--out", str(out),
-        "--cpu_threshold", "85", "--mem_threshold", "9.5",
+        "--cpu_threshold", "85", "--mem_threshold", "9.5", "--single_file",
     ])
     assert report.joined_records == 3 and report.earliest == "20:53:00"
     assert [line.split(",")[-1] for line in out.read_text().splitlines()[1:]] == [
@@ -65,12 +65,33 @@ def test_cpu_mem_job_writes_one_sorted_csv(spark, csvs, tmp_path):
     ]
 
 
+def test_unreadable_times_join_nothing_in_the_report(spark, tmp_path):
+    cpu = write(tmp_path / "cpu.csv", "ts,server_id,cpu_pct", "20:53:00,s,1", "bad,s,2",
+                "ts,server_id,cpu_pct", ",s,3")
+    mem = write(tmp_path / "mem.csv", "ts,server_id,mem_pct", "20:53:00,s,1", "bad,s,2",
+                "ts,server_id,mem_pct", ",s,3")
+    for more in ([], ["--full_counts"]):
+        report = alerting.main(CPU_MEM, "cpu", "mem", [
+            "--cpu_csv", cpu, "--mem_csv", mem, "--out", str(tmp_path / "out"), *more,
+        ])
+        assert (report.joined_records, report.earliest) == (1, "20:53:00")
+    scratch = Path(scratch_dir(spark, "x").removeprefix("file:")).parent
+    assert not list(scratch.glob("cpu_mem-*"))
+
+
+def test_every_line_of_a_thresholds_file_counts(spark, tmp_path):
+    long = write(tmp_path / "long.txt", *["cpu_threshold: 1"] * 100, "mem_threshold: 7")
+    assert load_thresholds(spark, long)["cpu_mem"].right.threshold == 7
+    with pytest.raises(ValueError, match="not a threshold line"):
+        load_thresholds(spark, write(tmp_path / "bad.txt", "cpu_threshold: 1", "cpu_treshold: 2"))
+
+
 def test_net_disk_job_with_threshold_file(spark, csvs, tmp_path):
     limits = write(tmp_path / "limits.txt", "net_in_threshold: 6000", "disk_io_threshold: 5000")
     out = tmp_path / "alerts.csv"
     alerting.main(NET_DISK, "net", "disk", [
         "--net_csv", csvs["net"], "--disk_csv", csvs["disk"], "--out", str(out),
-        "--thresholds", limits, "--disk_threshold", "1100",
+        "--thresholds", limits, "--disk_threshold", "1100", "--single_file",
     ])
     assert out.read_text().splitlines() == [
         "server_id,window_start,window_end,max_net_in,max_disk_io,alert",
@@ -79,8 +100,7 @@ def test_net_disk_job_with_threshold_file(spark, csvs, tmp_path):
     ]
 
 
-def test_results_too_large_for_one_file_become_sorted_parts(spark, csvs, tmp_path, monkeypatch):
-    monkeypatch.setattr(alerting, "SINGLE_FILE_ROWS", 1)
+def test_results_are_sorted_parts_unless_one_file_is_asked_for(spark, csvs, tmp_path):
     out = tmp_path / "alerts"
     report = alerting.main(CPU_MEM, "cpu", "mem", [
         "--cpu_csv", csvs["cpu"], "--mem_csv", csvs["mem"], "--out", str(out),
@@ -95,7 +115,7 @@ def test_no_windows_still_give_a_header(spark, csvs, tmp_path):
     empty = write(tmp_path / "none.csv", "ts,server_id,cpu_pct")
     out = tmp_path / "alerts.csv"
     report = alerting.main(CPU_MEM, "cpu", "mem", [
-        "--cpu_csv", empty, "--mem_csv", csvs["mem"], "--out", str(out),
+        "--cpu_csv", empty, "--mem_csv", csvs["mem"], "--out", str(out), "--single_file",
     ])
     assert report.windows == 0 and report.joined_records == 0 and report.earliest is None
     assert out.read_text().splitlines() == [
@@ -119,11 +139,12 @@ def test_single_file_publishing(spark, tmp_path):
     path.write_text("old")
     assert publish_single_csv(spark.range(3).repartition(3).orderBy("id"), str(path))
     assert path.read_text().split() == ["id", "0", "1", "2"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["one.csv"]
 
     folder = tmp_path / "kept"
     folder.mkdir()
     (folder / "notes.txt").write_text("mine")
-    with pytest.raises(Exception, match="not empty"):
+    with pytest.raises(Exception, match="is a folder"):
         publish_single_csv(spark.range(3), str(folder))
     assert (folder / "notes.txt").read_text() == "mine"
 
@@ -135,7 +156,8 @@ def test_records_of_all_topics_can_be_written_as_messages(spark):
 
 def session_with(shared, master):
     """Just enough of a session to ask for its shared folder and master."""
-    conf = SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else None)
+    values = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: values.get(key) or default)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
@@ -143,9 +165,7 @@ def test_scratch_lies_in_the_shared_folder():
     cluster = session_with("hdfs:///shared/", "yarn")
     first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
     assert first.startswith("hdfs:///shared/hostvigil/x-") and first != second
-    assert scratch_dir(session_with(None, "local[2]"), "x")
-    with pytest.raises(RuntimeError):
-        scratch_dir(session_with(None, "yarn"), "x")
+    assert scratch_dir(session_with(None, "yarn"), "x").startswith("hdfs:///warehouse/_scratch/")
 
 
 def test_every_job_has_a_command_line():

@@ -16,7 +16,7 @@ from hostvigil.operators.quarantine import (
 from hostvigil.operators.split import from_records, readings_of, split_topic, to_records
 from hostvigil.schemas import CPU, DISK, MEM, NET, TOPICS, WIDE
 from hostvigil.sources.kafka import kafka_options
-from hostvigil.sources.landed import read_landed
+from hostvigil.sources.landed import read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
 
 HEADER = "ts,server_id,cpu_pct,mem_pct,net_in,net_out,disk_io"
@@ -185,3 +185,26 @@ def test_kafka_options():
         "minPartitions": "64",
     }
     assert kafka_options("b")["subscribe"] == "topic-cpu,topic-mem,topic-net,topic-disk"
+
+
+def test_records_are_one_json_object_each(spark):
+    good = '{"ts":"a","server_id":"s","cpu_pct":1}'
+    texts = [good, f"\n{good}\n", f"\t{good} ", good + good, good + " garbage", good + "," + good,
+             good + ',"ts":"b"', good.replace('"', "'"), f"[{good}]", "", None, good[:-1]]
+    records = spark.createDataFrame([("topic-cpu", t) for t in texts], "topic string, value string")
+    found = from_records(records).collect()
+    assert [r["problem"] is None for r in found] == [True] * 3 + [False] * 9
+    assert [r["ts"] for r in found] == ["a"] * 3 + [None] * 9
+
+
+def test_strict_reading_fails_whatever_is_asked_for(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text("a,s,1,2,3,4,5\na,s,1,2\n")
+    for ask in (lambda df: df.count(), lambda df: df.select("ts").collect()):
+        with pytest.raises(Exception, match="field_count"):
+            ask(read_wide_csv(spark, str(path), strict=True))
+
+
+def test_an_empty_landing_has_no_rows(spark, tmp_path):
+    (tmp_path / "landed").mkdir()
+    assert read_landed_topic(spark, str(tmp_path / "landed"), "topic-cpu").count() == 0
