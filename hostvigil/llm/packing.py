@@ -32,8 +32,8 @@ SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
     "ids binary"
 )
-#: Words whose ids a task remembers; beyond it the memory is emptied.
-REMEMBERED = 500_000
+#: Words whose ids are remembered; beyond it the memory is emptied.
+REMEMBERED = 1_200_000
 
 
 class WordIds:
@@ -158,6 +158,7 @@ def pack_documents(
     quadratic: float = 1 / 2048,
     buffer_tokens: int = 1 << 20,
     by_word: bool = True,
+    keep_words: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
@@ -165,6 +166,7 @@ def pack_documents(
     counts the document's ids before the piece and ``doc_tokens`` all its ids with ``end_id``.
     A null or empty text is one piece holding ``end_id`` alone; a null doc_id stays null. Rows
     that repeat are packed each. No rows give no rows; other columns are not looked at. The
+    ``keep_words`` lets a worker's next tasks use what it knows, for more memory between them. The
     tokenizer file is read on the driver and broadcast; vocabularies are a few MB.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -172,7 +174,7 @@ def pack_documents(
     # A sequence id has the partition above bit 40 and the sequence within it below.
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_ids = WordIds(tokenizer.value, by_word)
+        word_ids = (_kept if keep_words else WordIds)(tokenizer.value, by_word)
         base = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         tokens = made = 0
@@ -221,6 +223,16 @@ def _loaded(tokenizer_json: str):
     return store[tokenizer_json]
 
 
+def _kept(tokenizer_json: str, by_word: bool) -> WordIds:
+    """What this worker knows from earlier tasks; on ``sys`` as well."""
+    store = sys.__dict__.setdefault("_hostvigil_word_ids", {})
+    key = (hash(tokenizer_json), by_word)
+    if key not in store:
+        store.clear()
+        store[key] = WordIds(tokenizer_json, by_word)
+    return store[key]
+
+
 def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts that together hold about ``most`` characters."""
     low = held = 0

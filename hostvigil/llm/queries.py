@@ -75,7 +75,7 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` in sequences of at most 2048 tokens."""
     # Larger buffers look words up less often; the pipeline's executors hold other stages as well.
     docs = table(spark, folder, "documents")
-    return packing.pack_documents(docs, TOKENIZER, buffer_tokens=1 << 21).select(
+    return packing.pack_documents(docs, TOKENIZER, buffer_tokens=1 << 21, keep_words=True).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
