@@ -3,6 +3,7 @@
 from hostvigil.functions.columns import (
     alert_label,
     clock_of,
+    day_second,
     finite_number,
     is_finite,
     is_number_text,
@@ -15,6 +16,7 @@ from hostvigil.functions.records import encode_record, one_value, parse_value
 __all__ = [
     "alert_label",
     "clock_of",
+    "day_second",
     "encode_record",
     "finite_number",
     "is_finite",

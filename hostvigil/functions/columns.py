@@ -34,6 +34,11 @@ def clock_of(timestamp: Column) -> Column:
     return F.date_format(timestamp, CLOCK_FORMAT)
 
 
+def day_second(timestamp: Column) -> Column:
+    """Whole seconds since midnight by a timestamp's wall clock."""
+    return F.hour(timestamp) * 3600 + F.minute(timestamp) * 60 + F.second(timestamp)
+
+
 def is_number_text(text: Column) -> Column:
     """Whether a CSV field reads as a number (not-a-number and infinities included)."""
     return text.rlike(NUMBER_PATTERN)

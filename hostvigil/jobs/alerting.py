@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hostvigil.config import AlertRule, load_thresholds
-from hostvigil.operators.counts import observe_matches, observe_rows
-from hostvigil.operators.matching import join_readings, match_readings
+from hostvigil.operators.counts import observe_groups
+from hostvigil.operators.matching import (
+    group_readings,
+    joined_rows,
+    match_groups,
+    match_readings,
+    merged_value,
+    weigh,
+)
 from hostvigil.operators.preview import first_rows
+from hostvigil.operators.quarantine import bad_times, readable_time
 from hostvigil.plans.alerts import (
     format_alerts,
     label_windows,
@@ -28,12 +37,16 @@ class JobReport:
     """What a run saw. All but ``windows`` are counted by the run as it goes and are for reporting
     only: tasks repeated after a lost executor may count twice."""
 
-    left_records: int
-    right_records: int
+    left_records: int | None  # all readings; None if only reachable ones were looked at
+    right_records: int | None
     joined_records: int
     earliest: str | None  # earliest joined time
     windows: int
     output: str | None  # where the result went; None if no file came out
+    left_read: int  # readings the run looked at
+    right_read: int
+    left_bad_times: int  # unreadable times among these
+    right_bad_times: int
 
 
 def run_alert_job(
@@ -43,6 +56,7 @@ def run_alert_job(
     out: str,
     single_file: bool = False,
     full_counts: bool = False,
+    quarantine: str | None = None,
 ) -> JobReport:
     """Compute the alerts in one pass over the inputs and write them as CSV to ``out``.
 
@@ -50,15 +64,17 @@ def run_alert_job(
     then start from that small table, which is deleted in the end. ``out`` is a folder of sorted
     parts, or one file written by one task if ``single_file`` asks for it.
 
-    By default readings no kept window can hold are filtered in the scan, and counts are of the
-    rest; ``full_counts`` reads and counts everything.
+    By default readings no kept window can hold are filtered in the scan, and only the rest is
+    looked at; ``full_counts`` reads and counts everything. ``quarantine`` names a folder for all
+    readings with unreadable times, found in a pass of its own.
     """
     spark = left.sparkSession
+    if quarantine:
+        write_table(bad_times(left, right, rule), quarantine, "csv")
     if not full_counts:
         left, right = reachable_pair(left, right, rule)
-    left, left_seen = observe_rows(left, "left")
-    right, right_seen = observe_rows(right, "right")
-    matched, matched_seen = observe_matches(match_readings(left, right, rule), "matched")
+    grouped, seen = observe_groups(group_readings(left, right, rule), "readings")
+    matched = match_groups(grouped)
     labelled = label_windows(window_matched(matched, rule), rule)
 
     staged = scratch_dir(spark, rule.name)
@@ -72,23 +88,38 @@ def run_alert_job(
         write_table(result, out, "csv")
         written = True
     drop_table(spark, staged)
-    earliest = matched_seen.get["earliest"]
+    counts = seen.get
+    left_read, right_read = (int(counts[f"{side}_records"] or 0) for side in ("left", "right"))
+    earliest = counts["earliest"]
     return JobReport(
-        left_seen.get["rows"],
-        right_seen.get["rows"],
-        int(matched_seen.get["rows"] or 0),
-        None if earliest is None else str(earliest),
-        windows,
-        out if written else None,
+        left_records=left_read if full_counts else None,
+        right_records=right_read if full_counts else None,
+        joined_records=int(counts["joined_records"] or 0),
+        earliest=None if earliest is None else str(earliest),
+        windows=windows,
+        output=out if written else None,
+        left_read=left_read,
+        right_read=right_read,
+        left_bad_times=int(counts["left_bad_times"] or 0),
+        right_bad_times=int(counts["right_bad_times"] or 0),
     )
 
 
 def show_inputs(left: DataFrame, right: DataFrame, rule: AlertRule) -> None:
-    """Print schemas and first rows of both inputs and of their join."""
+    """Print schemas and first rows of both inputs and of their join, one row per joined key."""
     for readings in (left, right):
         readings.printSchema()
         first_rows(readings, 5).show(truncate=False)
-    first_rows(join_readings(left, right, rule), 5).show(truncate=False)
+    matched = match_readings(left, right, rule)
+    joined = weigh(
+        matched.filter(readable_time(matched)), rule, F.col("ts"), F.col("server_id"),
+        joined_rows().alias("joined_rows"),
+    ).select(
+        "ts", "server_id", "joined_rows",
+        merged_value("left", rule).alias(rule.left.metric),
+        merged_value("right", rule).alias(rule.right.metric),
+    )
+    first_rows(joined, 5).show(truncate=False)
 
 
 def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
@@ -108,32 +139,49 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
         "--single_file", action="store_true",
         help="write one CSV file, in one task, rather than a folder of sorted parts",
     )
+    parser.add_argument("--since", help="first day of arrival to read from a landing, yyyy-MM-dd")
+    parser.add_argument("--until", help="last day of arrival to read from a landing")
+    parser.add_argument("--cutoff", default=rule.cutoff,
+                        help="earliest window start kept, HH:mm:ss, or 'none'")
+    parser.add_argument("--size_seconds", type=int, default=rule.size_seconds)
+    parser.add_argument("--slide_seconds", type=int, default=rule.slide_seconds)
+    parser.add_argument("--quarantine", help="where to write readings with unreadable times")
     parser.add_argument("--full_counts", action="store_true", help="count readings before cutoff")
     parser.add_argument("--preview", action="store_true", help="show first input and result rows")
     return parser
 
 
-def _read(spark: SparkSession, path: str, topic: str, fmt: str) -> DataFrame:
-    if fmt == "landing":
-        return read_landed_topic(spark, path, topic)
-    return read_landed(spark, path, TOPICS[topic], fmt)
+def _read(spark: SparkSession, path: str, topic: str, args: argparse.Namespace) -> DataFrame:
+    if args.format == "landing":
+        return read_landed_topic(spark, path, topic, args.since, args.until)
+    return read_landed(spark, path, TOPICS[topic], args.format)
 
 
 def main(rule: AlertRule, left: str, right: str, argv: list[str] | None = None) -> JobReport:
     """Run a job from its command line; ``left`` and ``right`` prefix the flags of each side."""
-    args = _parser(rule, left, right).parse_args(argv)
+    parser = _parser(rule, left, right)
+    args = parser.parse_args(argv)
     flags = vars(args)
+    if args.format != "landing" and (args.since or args.until):
+        parser.error("--since and --until need --format landing")
     spark = build_session(f"hostvigil {rule.name}")
     if args.thresholds:
         rule = load_thresholds(spark, args.thresholds)[rule.name]
     rule = rule.with_thresholds(flags[f"{left}_threshold"], flags[f"{right}_threshold"])
+    rule = replace(
+        rule,
+        cutoff=None if args.cutoff == "none" else args.cutoff,
+        size_seconds=args.size_seconds,
+        slide_seconds=args.slide_seconds,
+    )
 
-    left_table = _read(spark, flags[f"{left}_csv"], rule.left.topic, args.format)
-    right_table = _read(spark, flags[f"{right}_csv"], rule.right.topic, args.format)
+    left_table = _read(spark, flags[f"{left}_csv"], rule.left.topic, args)
+    right_table = _read(spark, flags[f"{right}_csv"], rule.right.topic, args)
     if args.preview:
         show_inputs(left_table, right_table, rule)
     report = run_alert_job(
-        left_table, right_table, rule, args.out, args.single_file, args.full_counts
+        left_table, right_table, rule, args.out, args.single_file, args.full_counts,
+        args.quarantine,
     )
     print(report)
     if args.preview and report.output:

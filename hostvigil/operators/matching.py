@@ -4,7 +4,7 @@
 the right joins into m * n rows, but every later step only needs each side's aggregate weighted
 by the other side's row count. So both sides are aggregated per key in one shuffle, with partial
 aggregation before it, and no pair is ever built: a key holding a third of all rows costs one
-row per task that read it. ``join_readings`` is the join itself, for looking at joined rows.
+row per task that read it.
 """
 
 from __future__ import annotations
@@ -50,7 +50,11 @@ def group_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFr
 
 def match_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFrame:
     """The joined keys, each standing for ``left_rows * right_rows`` joined rows."""
-    grouped = group_readings(left, right, rule)
+    return match_groups(group_readings(left, right, rule))
+
+
+def match_groups(grouped: DataFrame) -> DataFrame:
+    """The keys that both sides have."""
     # Both conditions on the keys are pushed below the aggregate, down to the scans.
     return grouped.filter(F.col("ts").isNotNull() & F.col("server_id").isNotNull()).filter(
         (F.col("left_rows") > 0) & (F.col("right_rows") > 0)
@@ -89,17 +93,3 @@ def merged_value(name: str, rule: AlertRule) -> Column:
     if rule.aggregate == "max":
         return F.col(f"{name}_max")
     return F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n"))
-
-
-def join_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFrame:
-    """The joined rows themselves (ts, server_id, both metrics), m * n per key.
-
-    For previews and small inputs; alert plans go through :func:`match_readings`.
-    """
-    sides = [
-        side.select("ts", "server_id", F.col(spec.metric).cast(spec.metric_type))
-        for side, spec in ((left, rule.left), (right, rule.right))
-    ]
-    return sides[0].join(sides[1], ["ts", "server_id"], "inner").select(
-        "ts", "server_id", rule.left.metric, rule.right.metric
-    )

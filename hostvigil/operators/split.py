@@ -26,14 +26,15 @@ def to_records(wide: DataFrame) -> DataFrame:
     return wide.select(F.inline(records))
 
 
-def from_records(records: DataFrame) -> DataFrame:
+def from_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode (topic, value): text keys, numeric metrics, and why a record was refused.
 
     Records that are no JSON object keep their bytes in ``raw`` and name a ``problem``; later
-    records are unaffected. Absent and non-finite metrics are null.
+    records are unaffected. Absent and non-finite metrics are null. ``keep`` names columns to
+    carry along.
     """
     texts = records.select(
-        "topic", F.btrim(F.col("value").cast("string"), F.lit(" \t\n\r")).alias("text")
+        *keep, "topic", F.btrim(F.col("value").cast("string"), F.lit(" \t\n\r")).alias("text")
     )
     # Only an object is a record, though the parser takes lists of them as well.
     parsed = texts.withColumns(
@@ -46,6 +47,7 @@ def from_records(records: DataFrame) -> DataFrame:
     decoded = parsed.withColumn("refused", ~F.coalesce(is_record, F.lit(False)))
     refused = F.col("refused")
     return decoded.select(
+        *keep,
         "topic",
         *(F.when(~refused, F.col(f"parsed.record.{key}")).alias(key) for key in ("ts", "server_id")),
         *(

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from hostvigil.config import AlertRule
 from hostvigil.functions import alert_label, clock_of, round_half_up
 from hostvigil.operators.matching import match_readings
-from hostvigil.operators.windows import keep_reachable, window_clock_times, window_timestamps
+from hostvigil.operators.windows import (
+    keep_reachable,
+    window_clock_times,
+    window_slices,
+    window_timestamps,
+)
 
 
 def has_timestamps(readings: DataFrame) -> bool:
@@ -26,14 +31,14 @@ def reachable_pair(
     """
     if has_timestamps(left) != has_timestamps(right):
         raise ValueError("one side holds times of day and the other timestamps in column ts")
-    clock = clock_of(F.col("ts")) if has_timestamps(left) else F.col("ts")
-    return keep_reachable(left, rule, clock), keep_reachable(right, rule, clock)
+    return keep_reachable(left, rule), keep_reachable(right, rule)
 
 
 def window_matched(matched: DataFrame, rule: AlertRule) -> DataFrame:
     """Raw aggregates per (server, window)."""
-    make = window_timestamps if has_timestamps(matched) else window_clock_times
-    return make(matched, rule)
+    if not has_timestamps(matched):
+        return window_clock_times(matched, rule)
+    return (window_timestamps if matched.isStreaming else window_slices)(matched, rule)
 
 
 def metric_windows(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFrame:

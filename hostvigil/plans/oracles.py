@@ -1,9 +1,55 @@
-"""The registered queries as DuckDB SQL, joins and windows spelled out in full."""
+"""The registered queries as DuckDB SQL, joins and windows spelled out in full.
+
+Types, thresholds, labels and times are stated here anew rather than taken from the rules.
+"""
 
 from __future__ import annotations
 
-from hostvigil.config import CPU_MEM, NET_DISK, AlertRule, Side
-from hostvigil.schemas import TOPICS
+from typing import NamedTuple
+
+
+class Side(NamedTuple):
+    metric: str
+    metric_type: str
+    output: str
+    threshold: float
+
+
+class Job(NamedTuple):
+    name: str
+    left: Side
+    right: Side
+    aggregate: str
+    both_label: str
+    left_label: str
+    right_label: str
+
+
+CPU_MEM = Job(
+    "cpu_mem",
+    Side("cpu_pct", "FLOAT", "avg_cpu", 75.69),
+    Side("mem_pct", "FLOAT", "avg_mem", 74.28),
+    "avg",
+    "High CPU + Memory stress",
+    "CPU spike suspected",
+    "Memory saturation suspected",
+)
+NET_DISK = Job(
+    "net_disk",
+    Side("net_in", "DOUBLE", "max_net_in", 6477.4),
+    Side("disk_io", "DOUBLE", "max_disk_io", 1176.57),
+    "max",
+    "Network flood + Disk thrash suspected",
+    "Possible DDoS",
+    "Disk thrash suspected",
+)
+# Metrics and types by topic.
+TOPICS = {
+    "topic-cpu": {"cpu_pct": "FLOAT"},
+    "topic-mem": {"mem_pct": "FLOAT"},
+    "topic-net": {"net_in": "DOUBLE", "net_out": "DOUBLE"},
+    "topic-disk": {"disk_io": "DOUBLE"},
+}
 
 _WIDE_COLUMNS = """
     'server_' || (user_id % 20) AS server_id,
@@ -16,8 +62,6 @@ _CLOCK = "strftime(ts, '%H:%M:%S')"
 _WIDE = f"SELECT {_CLOCK} AS ts, {_WIDE_COLUMNS} FROM events"
 _WIDE_STAMPED = f"SELECT date_trunc('second', ts) AS ts, {_WIDE_COLUMNS} FROM events"
 
-_SQL_TYPES = {"float": "FLOAT", "double": "DOUBLE"}
-
 
 def _round2(value: str) -> str:
     """Decimal rounding of a double's shortest text, ties away from zero."""
@@ -26,10 +70,10 @@ def _round2(value: str) -> str:
 
 
 def _metric(side: Side) -> str:
-    return f"{side.metric}::{_SQL_TYPES[side.metric_type]}"
+    return f"{side.metric}::{side.metric_type}"
 
 
-def _joined(rule: AlertRule, wide: str) -> str:
+def _joined(rule: Job, wide: str) -> str:
     return f"""
         wide AS ({wide}),
         l AS (SELECT ts, server_id, {_metric(rule.left)} AS a FROM wide),
@@ -37,32 +81,29 @@ def _joined(rule: AlertRule, wide: str) -> str:
         joined AS (SELECT ts, server_id, a, b FROM l JOIN r USING (ts, server_id))"""
 
 
-def _windows(rule: AlertRule, stamped: bool = False) -> str:
+def _windows(rule: Job, stamped: bool = False, wide: str | None = None) -> str:
     """CTEs ending in ``windows``: server, window start and both raw aggregates."""
     time = "ts" if stamped else "('1970-01-01 ' || ts)::TIMESTAMP"
-    size, slide = rule.size_seconds, rule.slide_seconds
-    offsets = ", ".join(f"({step * slide})" for step in range(size // slide))
-    start = f"(floor(epoch({time}) / {slide})::BIGINT * {slide} - o.k) * 1000000"
-    return f"""{_joined(rule, _WIDE_STAMPED if stamped else _WIDE)},
+    start = f"(floor(epoch({time}) / 10)::BIGINT * 10 - o.k) * 1000000"
+    return f"""{_joined(rule, wide or (_WIDE_STAMPED if stamped else _WIDE))},
         windows AS (
             SELECT server_id, make_timestamp({start}) AS s,
                    {rule.aggregate}(a) AS a, {rule.aggregate}(b) AS b
-            FROM joined CROSS JOIN (VALUES {offsets}) o(k)
+            FROM joined CROSS JOIN (VALUES (0), (10), (20)) o(k)
             GROUP BY ALL)"""
 
 
-def _kept(rule: AlertRule) -> str:
-    return f"strftime(s, '%H:%M:%S') >= '{rule.cutoff}'"
+_KEPT = "strftime(s, '%H:%M:%S') >= '20:53:00'"
 
 
-def _alerts(rule: AlertRule, stamped: bool = False) -> str:
+def _alerts(rule: Job, stamped: bool = False) -> str:
     left, right = rule.left, rule.right
-    end = f"s + INTERVAL {rule.size_seconds} SECOND"
+    end = "s + INTERVAL 30 SECOND"
     return f"""
         WITH {_windows(rule, stamped)},
         rounded AS (
             SELECT server_id, s, {_round2('a')} AS a, {_round2('b')} AS b
-            FROM windows WHERE {_kept(rule)})
+            FROM windows WHERE {_KEPT})
         SELECT server_id, strftime(s, '%H:%M:%S') AS window_start,
                strftime({end}, '%H:%M:%S') AS window_end,
                a AS {left.output}, b AS {right.output},
@@ -75,13 +116,12 @@ def _alerts(rule: AlertRule, stamped: bool = False) -> str:
 
 def _split(topic: str) -> str:
     columns = ", ".join(
-        f"{f.name}::{_SQL_TYPES[f.dataType.simpleString()]} AS {f.name}"
-        for f in TOPICS[topic].fields[2:]
+        f"{name}::{kind} AS {name}" for name, kind in TOPICS[topic].items()
     )
     return f"SELECT ts, server_id, {columns} FROM ({_WIDE})"
 
 
-def _join(rule: AlertRule) -> str:
+def _join(rule: Job) -> str:
     return f"""
         WITH {_joined(rule, _WIDE)}
         SELECT ts, server_id, count(*) AS joined_rows, {rule.aggregate}(a) AS left_value,
@@ -89,9 +129,9 @@ def _join(rule: AlertRule) -> str:
         FROM joined GROUP BY ts, server_id"""
 
 
-def _all_windows(rule: AlertRule) -> str:
+def _all_windows(rule: Job) -> str:
     stamp = "'%Y-%m-%d %H:%M:%S'"
-    end = f"s + INTERVAL {rule.size_seconds} SECOND"
+    end = "s + INTERVAL 30 SECOND"
     return f"""
         WITH {_windows(rule)}
         SELECT server_id, strftime(s, {stamp}) AS window_start,
@@ -103,10 +143,10 @@ def _all_windows(rule: AlertRule) -> str:
 
 def _roundtrip() -> str:
     parts = [
-        f"SELECT '{topic}' AS topic, ts, server_id, '{f.name}' AS metric, "
-        f"{f.name}::{_SQL_TYPES[f.dataType.simpleString()]}::DOUBLE AS value FROM wide"
-        for topic, schema in TOPICS.items()
-        for f in schema.fields[2:]
+        f"SELECT '{topic}' AS topic, ts, server_id, '{name}' AS metric, "
+        f"{name}::{kind}::DOUBLE AS value FROM wide"
+        for topic, metrics in TOPICS.items()
+        for name, kind in metrics.items()
     ]
     return f"WITH wide AS ({_WIDE}) " + " UNION ALL ".join(parts)
 
@@ -118,7 +158,7 @@ def _pipeline_counts() -> str:
             "left_records": "SELECT count(*) FROM events",
             "right_records": "SELECT count(*) FROM events",
             "joined_records": f"WITH {_joined(rule, _WIDE)} SELECT count(*) FROM joined",
-            "windows": f"WITH {_windows(rule)} SELECT count(*) FROM windows WHERE {_kept(rule)}",
+            "windows": f"WITH {_windows(rule)} SELECT count(*) FROM windows WHERE {_KEPT}",
         }
         parts += [
             f"SELECT '{rule.name}' AS job, '{stage}' AS stage, ({sql})::BIGINT AS n"
@@ -127,6 +167,53 @@ def _pipeline_counts() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _earliest(rule: Job) -> str:
+    return f"WITH {_joined(rule, _WIDE)} SELECT min(ts) AS earliest FROM joined"
+
+
+def _windows_cutoff(rule: Job) -> str:
+    return f"""
+        WITH {_windows(rule)}
+        SELECT server_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+               a::DOUBLE AS left_raw, b::DOUBLE AS right_raw
+        FROM windows WHERE {_KEPT}"""
+
+
+def _job_report(rule: Job) -> str:
+    """Three events in ten have no readable time: they are counted and join nothing."""
+    damaged = f"{_WIDE} WHERE event_id % 10 > 2"
+    return f"""
+        SELECT '{rule.name}' AS job,
+            (SELECT count(*) FROM events) AS left_records,
+            (SELECT count(*) FROM events) AS right_records,
+            (SELECT count(*) FROM events WHERE event_id % 10 <= 2) AS left_bad_times,
+            (SELECT count(*) FROM events WHERE event_id % 10 <= 2) AS right_bad_times,
+            (WITH {_joined(rule, damaged)} SELECT count(*) FROM joined) AS joined_records,
+            (WITH {_joined(rule, damaged)} SELECT min(ts) FROM joined) AS earliest,
+            (WITH {_windows(rule, wide=damaged)}
+                SELECT count(*) FROM windows WHERE {_KEPT}) AS windows"""
+
+
+_SERVER = "'server_' || (user_id % 20)"
+_LINE = f"{_CLOCK} || ',' || {_SERVER} || ',' || event_id"
+_LINES = f"""
+    SELECT CASE WHEN event_id % 10 IN (0, 1) THEN 'field_count' ELSE 'not_a_number' END AS problem,
+        CASE event_id % 10
+            WHEN 0 THEN {_LINE} || ',1e2,0.10,+5,7,1'
+            WHEN 1 THEN {_LINE} || ',1e2'
+            WHEN 2 THEN {_LINE} || ',1e2,0.10,abc,7'
+            ELSE '  ' || {_LINE} || ',1e2,,0.10, 5' END AS raw
+    FROM events WHERE event_id % 10 <= 3"""
+
+# Blanks around an object are fine (3 and 4); all other spellings but the plain one are refused.
+_RECORDS = f"""
+    SELECT event_id,
+        CASE WHEN event_id % 10 IN (3, 4, 9) THEN {_CLOCK} END AS ts,
+        CASE WHEN event_id % 10 IN (3, 4, 9) THEN {_SERVER} END AS server_id,
+        CASE WHEN event_id % 10 IN (3, 4, 9) THEN 1.5::FLOAT END AS cpu_pct,
+        CASE WHEN event_id % 10 NOT IN (3, 4, 9) THEN 'undecodable' END AS problem
+    FROM events"""
+
 _SPELLED = f"""
     SELECT event_id, CASE event_id % 7
         WHEN 0 THEN strftime(ts, '%-H:%M:%S')
@@ -168,17 +255,18 @@ ORACLES: dict[str, str] = {
             END AS parsed
         FROM ({_SPELLED})""",
     "quarantine_counts": _QUARANTINE,
+    "quarantined_lines": _LINES,
+    "decoded_records": _RECORDS,
     "cpu_mem_join": _join(CPU_MEM),
     "net_disk_join": _join(NET_DISK),
-    "min_event_time": f"WITH {_joined(CPU_MEM, _WIDE)} SELECT min(ts) AS earliest FROM joined",
+    "min_event_time": _earliest(CPU_MEM),
+    "net_disk_min_event_time": _earliest(NET_DISK),
+    "job_report_counts": f"{_job_report(CPU_MEM)} UNION ALL {_job_report(NET_DISK)}",
     "pipeline_counts": _pipeline_counts(),
     "cpu_mem_windows": _all_windows(CPU_MEM),
     "net_disk_windows": _all_windows(NET_DISK),
-    "cpu_mem_windows_cutoff": f"""
-        WITH {_windows(CPU_MEM)}
-        SELECT server_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
-               a::DOUBLE AS left_raw, b::DOUBLE AS right_raw
-        FROM windows WHERE {_kept(CPU_MEM)}""",
+    "cpu_mem_windows_cutoff": _windows_cutoff(CPU_MEM),
+    "net_disk_windows_cutoff": _windows_cutoff(NET_DISK),
     "cpu_mem_alerts": _alerts(CPU_MEM),
     "net_disk_alerts": _alerts(NET_DISK),
     "cpu_mem_alerts_timestamped": _alerts(CPU_MEM, stamped=True),
@@ -186,7 +274,9 @@ ORACLES: dict[str, str] = {
     "input_preview": f"SELECT * FROM ({_split('topic-cpu')}) ORDER BY ALL LIMIT 5",
     "alerts_preview": f"SELECT * FROM ({_alerts(CPU_MEM)}) ORDER BY ALL LIMIT 20",
     "alerts_csv_roundtrip": _alerts(CPU_MEM),
-    "stream_landing": _split("topic-cpu"),
+    "net_disk_alerts_csv_roundtrip": _alerts(NET_DISK),
+    "alerts_single_file": _alerts(NET_DISK),
+    "stream_landing": _roundtrip(),
     "stream_cpu_mem_alerts": _alerts(CPU_MEM, stamped=True),
     "stream_net_disk_alerts": _alerts(NET_DISK, stamped=True),
 }

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hostvigil.config import CPU_MEM, NET_DISK, AlertRule
 from hostvigil.functions import clock_of, encode_record, time_of_day
+from hostvigil.jobs.alerting import run_alert_job
 from hostvigil.operators.counts import count_by_topic, pair_summary
 from hostvigil.operators.matching import joined_rows, match_readings, merged_value, weigh
 from hostvigil.operators.preview import first_rows
-from hostvigil.operators.quarantine import count_problems, mark_bad_times, usable
+from hostvigil.operators.quarantine import count_problems, mark_bad_times, quarantined, usable
 from hostvigil.operators.split import from_records, split_topic, to_records
 from hostvigil.plans.alerts import alerts, metric_windows
-from hostvigil.schemas import CPU_MEM_ALERT, TOPICS, WIDE
+from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
-from hostvigil.sinks.tables import write_table
+from hostvigil.sinks.tables import publish_single_csv, write_table
 from hostvigil.sources.events import wide_from_events
 from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
@@ -61,9 +64,8 @@ def split_query(topic: str) -> Query:
     return lambda spark, sf_dir: split_topic(_wide(spark, sf_dir), topic)
 
 
-def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All readings encoded as topic records, decoded, one row per metric."""
-    decoded = from_records(to_records(_wide(spark, sf_dir)))
+def _by_metric(decoded: DataFrame) -> DataFrame:
+    """Decoded records as one row per metric that their topic carries."""
     metrics = F.array(
         *(
             F.struct(
@@ -73,12 +75,18 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
             for topic, schema in TOPICS.items()
             for name in schema.names[2:]
+            if name in decoded.columns
         )
     )
     carried = F.filter(metrics, lambda metric: metric["of"] == F.col("topic"))
     return decoded.select("topic", "ts", "server_id", F.inline(carried)).drop("of")
 
 
+def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings encoded as topic records, decoded, one row per metric."""
+    return _by_metric(from_records(to_records(_wide(spark, sf_dir))))
+
+
 def topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per topic."""
     return count_by_topic(to_records(_wide(spark, sf_dir)))
@@ -139,6 +147,54 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a CSV line, many damaged: the refused lines as they were."""
+    events = wide_from_events(_events(spark, sf_dir), keep=("event_id",))
+    number = F.col("event_id").cast("string")
+    damage = F.col("event_id") % 10
+
+    def line(*fields) -> Column:
+        return F.concat_ws(",", "ts", "server_id", number, *(F.lit(field) for field in fields))
+
+    good = line("1e2", "0.10", "+5", "7")
+    spelled = (
+        F.when(damage == 0, F.concat(good, F.lit(",1")))
+        .when(damage == 1, line("1e2"))
+        .when(damage == 2, line("1e2", "0.10", "abc", "7"))
+        .when(damage == 3, F.concat(F.lit("  "), line("1e2", "", "0.10", " 5")))
+        .when(damage == 4, F.lit("ts,server_id,cpu_pct"))
+        .when(damage == 5, F.lit("  "))
+        .otherwise(good)
+    )
+    folder = scratch_dir(spark, "quarantined-csv")
+    events.select(spelled.alias("value")).write.text(folder)
+    return quarantined(read_wide_csv(spark, folder))
+
+
+def decoded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a record in ten spellings: what is read from each, and which are refused."""
+    events = wide_from_events(_events(spark, sf_dir), keep=("event_id",))
+    text = F.format_string('{"ts":"%s","server_id":"%s","cpu_pct":1.5}', "ts", "server_id")
+    kind = F.col("event_id") % 10
+    spelled = (
+        F.when(kind == 0, F.concat(text, text))
+        .when(kind == 1, F.concat(text, F.lit(" garbage")))
+        .when(kind == 2, F.translate(text, '"', "'"))
+        .when(kind == 3, F.concat(F.lit("\n"), text, F.lit("\n")))
+        .when(kind == 4, F.concat(F.lit("\t"), text))
+        .when(kind == 5, F.concat(F.lit("["), text, F.lit("]")))
+        .when(kind == 6, F.concat_ws(",", text, text))
+        .when(kind == 7, F.lit(""))
+        .when(kind == 8, F.rtrim(text, F.lit("}")))
+        .otherwise(text)
+    )
+    records = events.select(
+        "event_id", F.lit("topic-cpu").alias("topic"), spelled.cast("binary").alias("value")
+    )
+    decoded = from_records(records, keep=("event_id",))
+    return decoded.select("event_id", "ts", "server_id", "cpu_pct", "problem")
+
+
 # The two alert jobs, step by step
 
 
@@ -159,10 +215,13 @@ def join_query(rule: AlertRule) -> Query:
     return run
 
 
-def min_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+def earliest_query(rule: AlertRule) -> Query:
     """The earliest joined time of day."""
-    summary = pair_summary(*_pair(_wide(spark, sf_dir), CPU_MEM), CPU_MEM)
-    return summary.select("earliest")
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return pair_summary(*_pair(_wide(spark, sf_dir), rule), rule).select("earliest")
+
+    return run
 
 
 def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +247,26 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def job_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both alert jobs report over readings of which many have unreadable times."""
+    wide = wide_from_events(_events(spark, sf_dir), keep=("event_id",))
+    damage = F.col("event_id") % 10
+    ts = F.when(damage == 0, "bad").when(damage == 1, "").when(damage != 2, F.col("ts"))
+    damaged = wide.withColumn("ts", ts)
+    rows = []
+    for rule in (CPU_MEM, NET_DISK):
+        out = scratch_dir(spark, "reported")
+        report = run_alert_job(*_pair(damaged, rule), rule, out, full_counts=True)
+        rows.append((
+            rule.name, report.left_records, report.right_records, report.left_bad_times,
+            report.right_bad_times, report.joined_records, report.earliest, report.windows,
+        ))
+    return spark.createDataFrame(
+        rows, "job string, left_records long, right_records long, left_bad_times long, "
+        "right_bad_times long, joined_records long, earliest string, windows long",
+    )
+
+
 def _stamp(column: str) -> Column:
     return F.date_format(F.col(column), "yyyy-MM-dd HH:mm:ss").alias(column)
 
@@ -207,10 +286,14 @@ def windows_query(rule: AlertRule) -> Query:
     return run
 
 
-def cpu_mem_windows_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cutoff_query(rule: AlertRule) -> Query:
     """Windows from the cutoff on, readings filtered beforehand."""
-    windows = metric_windows(*_pair(_wide(spark, sf_dir), CPU_MEM), CPU_MEM)
-    return windows.select("server_id", _stamp("window_start"), "left_raw", "right_raw")
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        windows = metric_windows(*_pair(_wide(spark, sf_dir), rule), rule)
+        return windows.select("server_id", _stamp("window_start"), "left_raw", "right_raw")
+
+    return run
 
 
 def alerts_query(rule: AlertRule) -> Query:
@@ -240,28 +323,46 @@ def alerts_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_rows(result, 20, *result.columns)
 
 
-def alerts_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CPU and memory job over landed CSV tables, its result written and read as CSV."""
-    folder = scratch_dir(spark, "alerts-csv")
-    wide = _wide(spark, sf_dir)
-    pair = []
-    for side in (CPU_MEM.left, CPU_MEM.right):
-        path = f"{folder}/{side.topic}"
-        write_table(split_topic(wide, side.topic), path, "csv")
-        pair.append(read_landed(spark, path, TOPICS[side.topic], "csv"))
-    write_table(alerts(*pair, CPU_MEM, ordered=True), f"{folder}/alerts", "csv")
-    return read_alerts(spark, f"{folder}/alerts", CPU_MEM_ALERT)
+def csv_roundtrip(rule: AlertRule, schema: StructType) -> Query:
+    """A job over landed CSV tables, its result written and read as CSV."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "alerts-csv")
+        wide = _wide(spark, sf_dir)
+        pair = []
+        for side in (rule.left, rule.right):
+            path = f"{folder}/{side.topic}"
+            write_table(split_topic(wide, side.topic), path, "csv")
+            pair.append(read_landed(spark, path, TOPICS[side.topic], "csv"))
+        write_table(alerts(*pair, rule, ordered=True), f"{folder}/alerts", "csv")
+        return read_alerts(spark, f"{folder}/alerts", schema)
+
+    return run
+
+
+def alerts_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The network and disk alerts published as one CSV file, twice over, and read back."""
+    result = alerts(*_pair(_wide(spark, sf_dir), NET_DISK), NET_DISK, ordered=True)
+    path = scratch_dir(spark, "alerts-file") + "/alerts.csv"
+    for _ in range(2):  # the second replaces the first
+        publish_single_csv(result, path)
+    return read_alerts(spark, path, NET_DISK_ALERT)
 
 
 # Streams
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topic records landed from a stream, then the CPU readings among them."""
+    """All topic records landed from a stream, read back topic by topic."""
     folder = scratch_dir(spark, "landing")
     records = to_records(wide_from_events(_event_stream(spark, sf_dir)))
     start_landing(records, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return read_landed_topic(spark, f"{folder}/table", "topic-cpu")
+    table = f"{folder}/table"
+    parts = [
+        _by_metric(read_landed_topic(spark, table, topic).withColumn("topic", F.lit(topic)))
+        for topic in TOPICS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str, rule: AlertRule) -> DataFrame:
@@ -306,20 +407,27 @@ QUERIES: dict[str, Query] = {
     "topic_counts": topic_counts,
     "parse_time_of_day": parse_time_of_day,
     "quarantine_counts": quarantine_counts,
+    "quarantined_lines": quarantined_lines,
+    "decoded_records": decoded_records,
     "cpu_mem_join": join_query(CPU_MEM),
     "net_disk_join": join_query(NET_DISK),
-    "min_event_time": min_event_time,
+    "min_event_time": earliest_query(CPU_MEM),
+    "net_disk_min_event_time": earliest_query(NET_DISK),
+    "job_report_counts": job_report_counts,
     "pipeline_counts": pipeline_counts,
     "cpu_mem_windows": windows_query(CPU_MEM),
     "net_disk_windows": windows_query(NET_DISK),
-    "cpu_mem_windows_cutoff": cpu_mem_windows_cutoff,
+    "cpu_mem_windows_cutoff": cutoff_query(CPU_MEM),
+    "net_disk_windows_cutoff": cutoff_query(NET_DISK),
     "cpu_mem_alerts": alerts_query(CPU_MEM),
     "net_disk_alerts": alerts_query(NET_DISK),
     "cpu_mem_alerts_timestamped": timestamped_query(CPU_MEM),
     "net_disk_alerts_timestamped": timestamped_query(NET_DISK),
     "input_preview": input_preview,
     "alerts_preview": alerts_preview,
-    "alerts_csv_roundtrip": alerts_csv_roundtrip,
+    "alerts_csv_roundtrip": csv_roundtrip(CPU_MEM, CPU_MEM_ALERT),
+    "net_disk_alerts_csv_roundtrip": csv_roundtrip(NET_DISK, NET_DISK_ALERT),
+    "alerts_single_file": alerts_single_file,
     "stream_landing": stream_landing,
     "stream_cpu_mem_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, CPU_MEM),
     "stream_net_disk_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, NET_DISK),

@@ -35,9 +35,10 @@ NET_DISK_ALERT = _table(
     server_id=_S, window_start=_S, window_end=_S, max_net_in=_D, max_disk_io=_D, alert=_S
 )
 
-# What the landing writes, refused records included.
+# What the landing writes, refused records included; partitioned by day of arrival and topic.
 LANDED = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("topic", "ts", "server_id")]
     + [T.StructField(name, kind) for name, kind in METRICS.items()]
     + [T.StructField(name, T.StringType()) for name in ("problem", "raw")]
+    + [T.StructField("ingest_date", T.DateType())]
 )

@@ -6,29 +6,33 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Set where neither the caller nor spark-submit set them.
+PREFERRED = {
+    "spark.sql.session.timeZone": "UTC",
+    # Most aggregations here meet each key a few times at most; a first small map only costs.
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+_EMPTY = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
 
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """A session with the settings every job relies on; sizes come from spark-submit."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Most aggregations here meet each key a few times at most; a first small map only costs.
-        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
-    )
-    # Stages found empty at run time would otherwise be dropped together with their counters.
-    builder = builder.config(
-        "spark.sql.adaptive.optimizer.excludedRules",
-        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
-    )
+    builder = SparkSession.builder.appName(app_name)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in PREFERRED.items():
+        if key not in conf and not given.contains(key):
+            spark.conf.set(key, value)
+    # Stages found empty at run time would otherwise be dropped together with their counters.
+    excluded = [rule for rule in (spark.conf.get(_EXCLUDED, None) or "").split(",") if rule]
+    if _EMPTY not in excluded:
+        spark.conf.set(_EXCLUDED, ",".join([*excluded, _EMPTY]))
+    return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hostvigil.operators.split import readings_of
@@ -22,9 +25,19 @@ def read_landed(
     return reader.format(fmt).load(path)
 
 
-def read_landed_topic(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """One topic of a table written by the streaming landing; no rows if nothing has landed."""
-    return readings_of(spark.read.schema(LANDED).parquet(path), topic)
+def read_landed_topic(
+    spark: SparkSession, path: str, topic: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """One topic of a table written by the streaming landing; no rows if nothing has landed.
+
+    ``since`` and ``until`` are the first and last day of arrival to read (``yyyy-MM-dd``).
+    """
+    landed = spark.read.schema(LANDED).parquet(path)
+    if since is not None:
+        landed = landed.filter(F.col("ingest_date") >= F.lit(date.fromisoformat(since)))
+    if until is not None:
+        landed = landed.filter(F.col("ingest_date") <= F.lit(date.fromisoformat(until)))
+    return readings_of(landed, topic)
 
 
 def read_alerts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

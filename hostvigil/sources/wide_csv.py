@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hostvigil.functions import finite_number, is_finite, is_number_text
+from hostvigil.functions import finite_number, is_number_text
 from hostvigil.schemas import WIDE
 
 # What begins a header line, and the blanks trimmed off the start of a line.
@@ -14,11 +14,12 @@ HEADER_PREFIX = "ts"
 LINE_BLANKS = " \t\r\n\f\x0b"
 
 _METRICS = WIDE.names[2:]
-_WITH_RAW = T.StructType([*WIDE.fields, T.StructField("raw", T.StringType())])
+# Metrics are read as text, so that a refused line can be given back as it was.
+_WITH_RAW = T.StructType([T.StructField(name, T.StringType()) for name in (*WIDE.names, "raw")])
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """Typed columns as the CSV reader sees them; ``raw`` holds lines it could not fit."""
+    """Fields as text; ``raw`` holds lines with another number of them."""
     # Headers may stand anywhere, or nowhere. All columns are parsed whichever are used: a line's
     # field count goes unchecked if some are pruned.
     reader = spark.read.schema(_WITH_RAW).options(
@@ -28,44 +29,34 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
         columnNameOfCorruptRecord="raw",
         columnPruning=False,
     )
-    rows = reader.csv(path)
-    return rows.withColumn("ts", F.ltrim(F.col("ts"), F.lit(LINE_BLANKS)))
+    return reader.csv(path)
+
+
+def _time() -> Column:
+    return F.ltrim(F.col("ts"), F.lit(LINE_BLANKS))
 
 
 def _is_record() -> Column:
     """Not a header; blank lines never leave the scan."""
-    return ~F.coalesce(F.col("ts").startswith(HEADER_PREFIX), F.lit(False))
+    return ~F.coalesce(_time().startswith(HEADER_PREFIX), F.lit(False))
 
 
 def _check(rows: DataFrame) -> DataFrame:
-    """Add ``problem``, complete ``raw`` for rows that have one, and null what is not finite.
-
-    Nearly all rows fit and cost a few null tests. Only lines the scan could not fit are taken
-    apart again: they may merely spell not-a-number or infinity in a way it does not know.
-    """
-    fits, fields = F.col("raw").isNull(), F.split("raw", ",", -1)
-    all_present, all_numbers = F.lit(True), F.lit(True)
-    for i, name in enumerate(_METRICS, start=2):
-        all_present &= F.col(name).isNotNull()
-        all_numbers &= is_number_text(F.get(fields, i))
-    problem = F.when(fits, F.when(~all_present, "not_a_number")).otherwise(
-        F.when(F.size(fields) != len(WIDE), "field_count").when(~all_numbers, "not_a_number")
-    )
-    rebuilt = F.concat_ws(
-        ",", *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in WIDE.names)
-    )
-    metrics = {
-        name: F.when(fits, F.when(is_finite(F.col(name)), F.col(name))).otherwise(
-            finite_number(F.get(fields, i))
-        )
-        for i, name in enumerate(_METRICS, start=2)
-    }
+    """Add ``problem``, complete ``raw`` for rows that have one, and null what is not finite."""
+    all_numbers = F.lit(True)
+    for name in _METRICS:
+        # The cast reads nearly all; the pattern knows further spellings of not-a-number.
+        text = F.col(name)
+        is_number = F.trim(text).try_cast("double").isNotNull() | is_number_text(text)
+        all_numbers &= F.coalesce(is_number, F.lit(False))
+    problem = F.when(F.col("raw").isNotNull(), "field_count").when(~all_numbers, "not_a_number")
+    line = F.concat_ws(",", *(F.coalesce(name, F.lit("")) for name in WIDE.names))
     return rows.select(
-        "ts",
+        _time().alias("ts"),
         "server_id",
-        *(value.alias(name) for name, value in metrics.items()),
+        *(finite_number(F.col(name)).alias(name) for name in _METRICS),
         problem.alias("problem"),
-        F.when(problem.isNotNull(), F.coalesce("raw", rebuilt)).alias("raw"),
+        F.when(problem.isNotNull(), F.coalesce("raw", line)).alias("raw"),
     )
 
 

@@ -3,31 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hostvigil.operators.split import from_records
 
 
 def start_landing(
-    records: DataFrame, path: str, checkpoint: str, available_now: bool = True
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Append a stream of (topic, value) to a Parquet table partitioned by topic.
+    """Append a stream of (topic, value) to a Parquet table partitioned by day of arrival and topic.
 
-    One query lands all topics, refused records included (``problem`` and ``raw`` say why), so
-    reading one topic back prunes to its partition. The checkpoint remembers what has been read;
-    with ``available_now`` the query ends when everything present at its start is landed.
+    The day is that of the message's ``timestamp`` if the stream has this column, else of the
+    batch. One query lands all topics, refused records included (``problem`` and ``raw`` say
+    why), so reading some days of a topic prunes to their partitions. The checkpoint remembers
+    what has been read; with ``available_now`` the query ends when everything present at its
+    start is landed, else it lands what came once every ``interval``.
     """
+    stamped = "timestamp" in records.columns
+    arrived = F.to_date("timestamp") if stamped else F.current_date()
+    decoded = from_records(records.withColumn("ingest_date", arrived), keep=("ingest_date",))
     writer = (
-        from_records(records)
-        .writeStream.format("parquet")
-        .partitionBy("topic")
+        decoded.writeStream.format("parquet")
+        .partitionBy("ingest_date", "topic")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
 
 
 def landed_rows(query: StreamingQuery) -> int:

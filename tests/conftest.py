@@ -9,19 +9,17 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+from hostvigil.session import build_session  # noqa: E402
 
 
 def local_session() -> SparkSession:
     """A small local session in UTC."""
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .appName("hostvigil tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = build_session("hostvigil tests", **{
+        "spark.master": "local[8]",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "4g",
+        "spark.sql.shuffle.partitions": "4",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

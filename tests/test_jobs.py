@@ -52,7 +52,10 @@ def test_cpu_mem_job_writes_one_sorted_csv(spark, csvs, tmp_path):
         "server_10,20:53:00,20:53:30,75.69,80.0,Memory saturation suspected",
         "server_2,20:53:00,20:53:30,85.0,10.0,CPU spike suspected",
     ]
-    assert report == alerting.JobReport(5, 5, 4, "08:00:00", 2, str(out))
+    assert report == alerting.JobReport(
+        left_records=5, right_records=5, joined_records=4, earliest="08:00:00", windows=2,
+        output=str(out), left_read=5, right_read=5, left_bad_times=1, right_bad_times=0,
+    )
 
     # Running again replaces the file; without full counts, early readings are not looked at.
     report = alerting.main(CPU_MEM, "cpu", "mem", [
@@ -60,6 +63,7 @@ def test_cpu_mem_job_writes_one_sorted_csv(spark, csvs, tmp_path):
         "--cpu_threshold", "85", "--mem_threshold", "9.5", "--single_file",
     ])
     assert report.joined_records == 3 and report.earliest == "20:53:00"
+    assert (report.left_records, report.left_read, report.right_read) == (None, 4, 4)
     assert [line.split(",")[-1] for line in out.read_text().splitlines()[1:]] == [
         "Memory saturation suspected", "Memory saturation suspected",
     ]
@@ -73,8 +77,15 @@ def test_unreadable_times_join_nothing_in_the_report(spark, tmp_path):
     for more in ([], ["--full_counts"]):
         report = alerting.main(CPU_MEM, "cpu", "mem", [
             "--cpu_csv", cpu, "--mem_csv", mem, "--out", str(tmp_path / "out"), *more,
+            "--quarantine", str(tmp_path / "bad"),
         ])
         assert (report.joined_records, report.earliest) == (1, "20:53:00")
+        bad = spark.read.option("header", True).csv(str(tmp_path / "bad")).collect()
+        assert sorted((r.topic, r.ts or "", r.problem) for r in bad) == [
+            (topic, ts, "bad_time")
+            for topic in ("topic-cpu", "topic-mem") for ts in ("", "bad", "ts")
+        ]
+    assert (report.left_bad_times, report.right_bad_times) == (3, 3)
     scratch = Path(scratch_dir(spark, "x").removeprefix("file:")).parent
     assert not list(scratch.glob("cpu_mem-*"))
 
@@ -111,6 +122,19 @@ def test_results_are_sorted_parts_unless_one_file_is_asked_for(spark, csvs, tmp_
     assert [line.split(",")[0] for line in lines] == ["server_10", "server_2"]
 
 
+def test_windows_and_cutoff_can_be_set(spark, csvs, tmp_path):
+    def windows(*flags):
+        return alerting.main(CPU_MEM, "cpu", "mem", [
+            "--cpu_csv", csvs["cpu"], "--mem_csv", csvs["mem"], "--out", str(tmp_path / "out"),
+            *flags,
+        ]).windows
+
+    assert windows("--cutoff", "none") == 9
+    assert windows("--cutoff", "08:00:00", "--size_seconds", "5", "--slide_seconds", "5") == 4
+    with pytest.raises(SystemExit):
+        windows("--since", "2024-01-01")
+
+
 def test_no_windows_still_give_a_header(spark, csvs, tmp_path):
     empty = write(tmp_path / "none.csv", "ts,server_id,cpu_pct")
     out = tmp_path / "alerts.csv"

@@ -9,10 +9,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from bench import join_readings
 from hostvigil.config import CPU_MEM, NET_DISK
 from hostvigil.operators.counts import count_by_topic, pair_summary
 from hostvigil.operators.matching import (
-    join_readings,
     joined_rows,
     match_readings,
     merged_value,

@@ -197,6 +197,21 @@ def test_records_are_one_json_object_each(spark):
     assert [r["ts"] for r in found] == ["a"] * 3 + [None] * 9
 
 
+def test_refused_lines_are_given_back_as_they_were(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    bad = [" a,s,1e2,2,,0.10,5", "\ta,s,01,+2,x,4 ,5", 'a,s,1,2,3,4,"5"', "a,s,1,2,3,4,5,", "a"]
+    fine = ["a,s,1e2,2,3,0.10,5", " b,s,nan,+inf,-Infinity,+NaN, 7 "]
+    path.write_text("\n".join([*bad, *fine]) + "\n")
+    checked = read_wide_csv(spark, str(path))
+    refused = checked.filter("problem is not null")
+    assert sorted(r.raw for r in refused.select("raw").collect()) == sorted(bad)
+    assert sorted(r.problem for r in refused.collect()) == ["field_count"] * 2 + ["not_a_number"] * 3
+    good = checked.filter("problem is null").drop("problem", "raw").orderBy("ts").collect()
+    assert [tuple(r) for r in good] == [
+        ("a", "s", 100.0, 2.0, 3.0, 0.1, 5.0), ("b", "s", None, None, None, None, 7.0),
+    ]
+
+
 def test_strict_reading_fails_whatever_is_asked_for(spark, tmp_path):
     path = tmp_path / "wide.csv"
     path.write_text("a,s,1,2,3,4,5\na,s,1,2\n")

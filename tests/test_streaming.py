@@ -98,6 +98,45 @@ def test_continuous_alerts_equal_batch_once_closed(spark, tmp_path, rule):
     assert got.count() > 10
 
 
+def test_a_landing_is_read_by_days_of_arrival(spark, tmp_path):
+    inbox, table, check = (str(tmp_path / name) for name in ("inbox", "table", "check"))
+    wide = spark.createDataFrame(wide_rows(4), WIDE)
+    records = to_records(wide)
+    for day in (1, 2, 3):
+        stamp = F.lit(datetime(2024, 5, day, 12)).alias("timestamp")
+        records.select("*", stamp).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox)
+    start_landing(stream, table, check).awaitTermination()
+    count = lambda *days: read_landed_topic(spark, table, "topic-cpu", *days).count()
+    assert [count(), count("2024-05-02"), count("2024-05-02", "2024-05-02")] == [12, 8, 4]
+    assert count(None, "2024-04-30") == 0
+    ranged = read_landed_topic(spark, table, "topic-cpu", "2024-05-02", "2024-05-02")
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "topic" in filters and "ingest_date" in filters
+
+
+def test_streams_take_timestamps_without_a_zone(spark, tmp_path):
+    inbox, out, check = (str(tmp_path / name) for name in ("inbox", "out", "check"))
+    schema = STAMPED.replace("ts timestamp", "ts timestamp_ntz")
+    rows = stamped_rows([0, 5, 7200])
+    spark.createDataFrame(rows, schema).write.parquet(inbox)
+    sides = [
+        split_topic(spark.readStream.schema(schema).parquet(inbox), side.topic)
+        for side in (CPU_MEM.left, CPU_MEM.right)
+    ]
+    query = start_alerts(continuous_alerts(*sides, CPU_MEM), out, check, available_now=True)
+    query.awaitTermination()
+    assert [r.window_start for r in spark.read.parquet(out).collect()] == ["20:53:00"]
+
+
+def test_mixed_times_are_refused(spark):
+    clock = spark.createDataFrame(wide_rows(1), WIDE)
+    stamped = spark.createDataFrame(stamped_rows([0]), STAMPED)
+    with pytest.raises(ValueError, match="times of day and the other timestamps"):
+        alerts(split_topic(clock, "topic-cpu"), split_topic(stamped, "topic-mem"), CPU_MEM)
+
+
 def test_time_of_day_text_is_refused(spark):
     df = spark.createDataFrame(wide_rows(1), WIDE)
     with pytest.raises(ValueError, match="real timestamps"):

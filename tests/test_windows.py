@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hostvigil.config import CPU_MEM, DAY_SECONDS, NET_DISK, clock_text
 from hostvigil.functions import time_of_day
 from hostvigil.operators.matching import match_readings
-from hostvigil.operators.windows import window_clock_times, window_timestamps
+from hostvigil.operators.windows import window_clock_times, window_slices, window_timestamps
 from hostvigil.plans.alerts import alerts, metric_windows
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT
 
@@ -139,7 +139,8 @@ def test_both_plans_equal_the_definition(spark, rows, shape, cutoff):
     filtered = metric_windows(*pair, rule)
     direct = metric_windows(*(stamped(df) for df in pair), rule)
     for windows in (window_clock_times(matched, rule), filtered, direct,
-                    window_timestamps(stamped(matched), rule)):
+                    window_timestamps(stamped(matched), rule),
+                    window_slices(stamped(matched), rule)):
         got = {
             (r.server_id, int((r.window_start - MIDNIGHT).total_seconds())): r.left_raw
             for r in windows.collect()
@@ -187,6 +188,37 @@ def test_plan_has_two_shuffles_and_no_join(spark, tmp_path):
     assert plan_of(alerts(*tables, NET_DISK, ordered=True)).count("Exchange") == 3
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_slices_equal_plain_windows_of_fractional_times(spark, kind, zone):
+    shapes = [(30, 10), (25, 10), (60, 7)]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        base = F.lit("2024-03-09 23:40:00").cast(kind)
+        step = F.make_dt_interval(secs=F.col("id") * 1.25)
+        frame = spark.range(2000).select(
+            (base + step).alias("ts"), F.concat(F.lit("s"), F.col("id") % 2).alias("server_id"),
+            (F.col("id") % 97).cast("double").alias("v"),
+        )
+        for size, slide in shapes:
+            rule = replace(NET_DISK, size_seconds=size, slide_seconds=slide, cutoff="23:50:00")
+            sides = [frame.withColumnRenamed("v", side.metric) for side in (rule.left, rule.right)]
+            matched = match_readings(*sides, rule)
+            sliced, plain = window_slices(matched, rule), window_timestamps(matched, rule)
+            assert sliced.schema == plain.schema
+            got = sorted(map(tuple, sliced.collect()))
+            assert got == sorted(map(tuple, plain.collect())) and len(got) > 100
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_timestamp_plan_formats_no_text_and_shuffles_slices(spark):
+    rows = [(clock_text(75180 + i), "s", 1.0) for i in range(20)]
+    plan = plan_of(metric_windows(*(stamped(df) for df in readings(spark, NET_DISK, rows)), NET_DISK))
+    assert "date_format" not in plan
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_bad_rules_are_refused():
     for change in ({"slide_seconds": 0}, {"slide_seconds": 31}, {"cutoff": "8:05:00"}):
         with pytest.raises(ValueError):
