@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +52,13 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release_memory() -> None:
+    """Give memory that a finished task freed back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+
+
 def flat_lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The values of a list column one after another, and the length of each list."""
     if isinstance(column, pa.ChunkedArray):

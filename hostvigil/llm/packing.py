@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostvigil.llm.common import ranges, starts_of
+from hostvigil.llm.common import ranges, release_memory, starts_of
 
 SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -165,9 +165,9 @@ def pack_documents(
     ``ids`` holds the piece's token ids as little-endian unsigned 32-bit integers. ``start``
     counts the document's ids before the piece and ``doc_tokens`` all its ids with ``end_id``.
     A null or empty text is one piece holding ``end_id`` alone; a null doc_id stays null. Rows
-    that repeat are packed each. No rows give no rows; other columns are not looked at. The
-    ``keep_words`` lets a worker's next tasks use what it knows, for more memory between them. The
-    tokenizer file is read on the driver and broadcast; vocabularies are a few MB.
+    that repeat are packed each. No rows give no rows; other columns are not looked at.
+    ``keep_words`` lets a worker's next tasks use what it knows, for more memory between them.
+    The tokenizer file is read on the driver and broadcast; vocabularies are a few MB.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
         tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -204,7 +204,10 @@ def pack_documents(
         placed += [(i, a, n, full + s, o) for i, a, n, s, o in powers_of_two(left)]
         if placed:
             yield _rows(held, placed, base + made)
-        pa.default_memory_pool().release_unused()
+        if not keep_words:
+            word_ids.forget()
+        held.clear()
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         pack, SCHEMA
