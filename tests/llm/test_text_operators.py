@@ -370,6 +370,24 @@ def test_toxicity_learns(spark):
     assert scored[900]["score"] == scored[901]["score"] < 0.5
     kept = {x["doc_id"] for x in toxicity.drop_toxic(docs, model).collect()}
     assert kept == {i for i, x in scored.items() if not x["toxic"]}
+    # Neither the order of rows nor the batch that a text comes in changes anything.
+    again = docs.orderBy(F.xxhash64("doc_id")).repartition(7)
+    other = toxicity.train(again, spark.createDataFrame(labels[::-1], "doc_id long, toxic int"))
+    assert other.thresholds == model.thresholds and np.array_equal(other.tables, model.tables)
+    rescored = toxicity.score_documents(again, other).collect()
+    assert {x["doc_id"]: x for x in rescored} == scored
+
+
+def test_scores_do_not_depend_on_batches():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(0, 60, 500)
+    hashes = rng.integers(-(2**63), 2**63 - 1, int(lengths.sum()))
+    model = toxicity.fit(hashes, lengths, (rng.random(500) < 0.2).astype(float), steps=20)
+    whole, upto = toxicity.scores(model, hashes, lengths), np.append(0, np.cumsum(lengths))
+    for size in (1, 7, 64):
+        parts = [toxicity.scores(model, hashes[upto[i] : upto[min(i + size, 500)]],
+                                 lengths[i : i + size]) for i in range(0, 500, size)]
+        assert np.array_equal(np.concatenate(parts), whole)
 
 
 def test_digests_of_queries(spark, tmp_path, texts):
