@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostvigil.llm.common import ranges, release_memory, starts_of
+from hostvigil.llm.common import ranges, release_memory, slices, starts_of
 
 SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -34,6 +34,8 @@ SCHEMA = (
 )
 #: Words whose ids are remembered; beyond it the memory is emptied.
 REMEMBERED = 1_200_000
+#: Words encoded at a time: the tokenizer's results take some 2 KB a word until they are read.
+AT_ONCE = 4096
 
 
 class WordIds:
@@ -56,12 +58,19 @@ class WordIds:
         self.ids = np.zeros(4096, np.uint32)
         self.used = 0
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [x.ids for x in found]
-
-    def remember(self, new: list[str], ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and the number of ids of each text."""
+        flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(
+                texts[at : at + AT_ONCE], add_special_tokens=False)
+            ids = [x.ids for x in found]
+            flat.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+            lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def remember(self, new: list[str]) -> None:
+        ids, lengths = self.encode(new)
         at, total = len(self.places), int(lengths.sum())
         if at + len(new) > len(self.starts):
             more = max(len(self.starts), len(new))
@@ -72,18 +81,18 @@ class WordIds:
             self.ids = np.concatenate([self.ids, np.zeros(more, np.uint32)])
         self.starts[at : at + len(new)] = self.used + starts_of(lengths)
         self.lengths[at : at + len(new)] = lengths
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32)
+        self.ids[self.used : self.used + total] = ids
         self.used += total
         self.places.update(zip(new, range(at, at + len(new)), strict=True))
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and the number of ids of each text."""
+    def __call__(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and the number of ids of each text; none is null."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string())
         if not self.by_word:
-            each = self.encode(texts)
-            flat = np.fromiter((i for one in each for i in one), np.uint32)
-            return flat, np.fromiter(map(len, each), np.int64, len(each))
+            return self.encode(texts.to_pylist())
         # A full stop or comma between an ASCII letter and a blank is a token run of its own.
-        lower = pc.ascii_lower(pa.array(texts, pa.large_string()))
+        lower = pc.ascii_lower(texts.cast(pa.large_string()))
         apart = pc.replace_substring_regex(lower, r"([a-z])([.,])([ \n])", r"\1 \2\3")
         split = pc.ascii_split_whitespace(apart)
         all_words = split.flatten().dictionary_encode()
@@ -92,7 +101,7 @@ class WordIds:
         if len(self.places) + len(new) > REMEMBERED:
             self.forget()
             new = different
-        self.remember(new, self.encode(new))
+        self.remember(new)
         places = np.fromiter(map(self.places.__getitem__, different), np.int64, len(different))
         places = places[all_words.indices.to_numpy()]
         lengths = self.lengths[places]
@@ -180,9 +189,11 @@ def pack_documents(
         tokens = made = 0
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in _slices(texts, 2 * buffer_tokens):
-                flat, counts = word_ids(texts[low:high])
+            texts = pc.fill_null(batch.column(1), "")
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            for low, high in slices(sizes, buffer_tokens // 2):
+                # Taken, not sliced: casts of slices keep offsets that later steps misread.
+                flat, counts = word_ids(texts.take(pa.array(np.arange(low, high))))
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1
                 for doc_id, begin, n in zip(
@@ -236,18 +247,6 @@ def _kept(tokenizer_json: str, by_word: bool) -> WordIds:
     return store[key]
 
 
-def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that together hold about ``most`` characters."""
-    low = held = 0
-    for high, text in enumerate(texts):
-        if held and held + len(text) > most:
-            yield low, high
-            low, held = high, 0
-        held += len(text)
-    if low < len(texts):
-        yield low, len(texts)
-
-
 def _rows(held: list[tuple], placed: list[tuple], base: int) -> pa.RecordBatch:
     columns = [
         pa.array([held[i][0] for i, *_ in placed], pa.int64()),
