@@ -16,10 +16,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     chains shrink by a factor per round. Minima combine before the shuffle, so a hub costs a row
     per task. Every round is checkpointed; nothing but the number of changes reaches the driver.
     """
-    both = links.select("a", "b").filter("a <> b").unionByName(
-        links.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b")
-    ).distinct()
-    both = pinned(both)
+    # Both directions from one evaluation: links that came out otherwise in a second one would
+    # leave edges without their reverse, and ids without a component.
+    back = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    ends = F.explode(F.array(F.struct("a", "b"), back))
+    both = pinned(links.filter("a <> b").select(ends.alias("ends")).select("ends.*").distinct())
     at = both.groupBy(F.col("a").alias("id")).agg(
         F.least(F.min("b"), F.col("a")).alias("component")
     )

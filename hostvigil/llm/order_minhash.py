@@ -259,8 +259,11 @@ def split_words(text: str) -> list[bytes]:
 def compare_blocks(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Links (a, b) between components of texts, within a block or between two of a bucket.
 
-    Texts of one component need no more links, so only others are aligned, likeliest first.
+    Texts of one component need no more links, so only others are aligned, likeliest first. Which
+    links those are depends on the order of the texts, so that is fixed: a retried task finds the
+    same ones again.
     """
+    rows = rows.sort_values("text_id", ignore_index=True)
     codes = encoded([split_words(t) for t in rows["text"]])
     n = np.array([len(c) for c in codes])
     bags = np.stack([np.bincount(c % BAG, minlength=BAG) for c in codes]).astype(np.int32)

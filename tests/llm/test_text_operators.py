@@ -197,6 +197,23 @@ def test_blocks_find_what_the_first_text_does_not(spark, monkeypatch):
     assert {r["class_id"] for r in found} == {0}
 
 
+def test_links_of_blocks_do_not_depend_on_the_order_of_rows():
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(30)]
+    texts = []
+    for _ in range(60):
+        for _ in range(2):
+            base[r.randrange(30)] = f"w{r.randrange(200)}"
+        texts.append(" ".join(base))
+    rows = order_minhash.pd.DataFrame({
+        "text_id": range(60), "component": range(60), "part": "rest", "block": 0, "text": texts})
+    found = order_minhash.compare_blocks(rows, 0.8)
+    assert len(found) > 20
+    for seed in range(5):
+        other = order_minhash.compare_blocks(rows.sample(frac=1, random_state=seed), 0.8)
+        assert found.equals(other)
+
+
 def test_packing(docs, texts):
     pieces = packing.pack_documents(docs, queries.TOKENIZER, buffer_tokens=6000).collect()
     tokenizer = packing.WordIds(open(queries.TOKENIZER, encoding="utf-8").read(), by_word=False)
