@@ -6,7 +6,8 @@ how often they occurred before, so that repeats count. Each of several hash func
 sequence is one sketch. Two documents share a sketch only if they share the picked k-mers in the
 same order, which makes sketches sensitive to edit similarity rather than to shared words alone.
 At a similarity of 0.8 between the sets of labelled k-mers, the chance to share none of the
-sketches is 1e-5, and far less for closer texts.
+sketches is 8e-8, and far less for closer texts. It is larger for very short texts (4e-7 for 8 words
+against 9) and for words replaced here and there, which break five k-mers each (README has figures).
 
 Documents that share a sketch are candidates; they are linked if an alignment of their words needs
 at most 0.2 edits per word of the longer one. Documents with the same words are one text
@@ -34,6 +35,7 @@ from hostvigil.llm.common import (
     flat_lists,
     pinned,
     ranges,
+    release_memory,
     slices,
     starts_of,
     text_key,
@@ -42,7 +44,7 @@ from hostvigil.llm.common import (
 from hostvigil.llm.components import connected_components
 
 KMER = 5
-PICKED = 3
+PICKED = 2
 SKETCHES = 16
 #: In units of the most edits of similar texts: two texts further apart than this from a third
 #: one and from its circle have no similar texts there. Twice, and a quarter for longer texts.
@@ -245,6 +247,7 @@ def aligned(pairs: DataFrame, similarity: float) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(found, pa.int32()),
                  pa.array(reach, pa.int32())], ["a", "b", "distance", "reach"],
             )
+        release_memory()
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(
         align, "a long, b long, distance int, reach int"
@@ -310,6 +313,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                  pa.FixedSizeListArray.from_arrays(values, SKETCHES).cast(pa.list_(pa.int64()))],
                 ["doc_id", "key", "digest", "n", "values"],
             )
+        release_memory()
 
     return docs.select("doc_id", "key", word_hashes(F.lower("text"))).mapInArrow(
         sketch, "doc_id long, key long, digest binary, n int, values array<long>"

@@ -214,6 +214,18 @@ def test_links_of_blocks_do_not_depend_on_the_order_of_rows():
         assert found.equals(other)
 
 
+@pytest.mark.parametrize(("share", "least"), [(0.1, 0.93), (0.15, 0.7), (0.2, 0.41)])
+def test_texts_with_scattered_edits_share_sketches(share, least):
+    r, n, pairs = np.random.default_rng(7), 300, 1500
+    first = r.integers(-(2**62), 2**62, (pairs, n))
+    second = first.copy()
+    for row in second:
+        row[r.choice(n, int(share * n), replace=False)] = r.integers(-(2**62), 2**62, int(share * n))
+    one, two = (np.concatenate([order_minhash.sketches(x.ravel(), np.full(len(x), n))
+                                for x in np.array_split(texts, 15)]) for texts in (first, second))
+    assert (one == two).any(1).mean() >= least
+
+
 def test_packing(docs, texts):
     pieces = packing.pack_documents(docs, queries.TOKENIZER, buffer_tokens=6000).collect()
     tokenizer = packing.WordIds(open(queries.TOKENIZER, encoding="utf-8").read(), by_word=False)
