@@ -1,14 +1,17 @@
 """URL verdicts: rules first, else a naive Bayes model over the words that hosts and paths hide.
 
 Concatenated names are split into words by Viterbi under unigram frequencies counted from the
-visible words of all pages. The words of hosts and paths are then scored by multinomial naive
-Bayes. It learns from all urls, those holding a word of a short list of spam words as blocked and
-the others as allowed; rules judge places rather than words, so it does not learn from them.
+visible words of all pages and from names in hosts and paths that are written apart (``a-b``). A
+run of letters that pages do not show often enough is no word if it reads as other words or holds
+a spam word. The words of hosts and paths are then scored by multinomial naive Bayes. It learns
+from all urls, those holding a word of a short list of spam words as blocked and the others as
+allowed; rules judge places rather than words, so it does not learn from them.
 
 Words rarer than ``rarest`` among all words are not in the unigram table, so it has at most
-1/rarest entries however many pages there are. What Viterbi cannot read becomes a token for its
-length, digits become one token, so the naive Bayes table is bounded as well. Both are sent to
-every task; counting combines before the shuffle.
+1/rarest entries however many pages there are. Spam words are added, at that frequency if they are
+rarer, so that names are read as them however large the corpus is. What Viterbi cannot read becomes
+a token for its length, digits become one token, so the naive Bayes table is bounded as well. Both
+are sent to every task; counting combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -58,17 +61,37 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return out
 
 
-def word_counts(pages: DataFrame, rarest: float) -> dict[str, int]:
-    """How often each word occurs in what pages show, for words not rarer than ``rarest``."""
+def letter_runs(text: Column) -> Column:
+    """The runs of letters in a lower-case text, but for the longest."""
+    return F.filter(F.split(text, r"[^a-z]+", -1), lambda w: (w != "") & (F.length(w) <= LONGEST))
+
+
+def word_counts(pages: DataFrame, spam_words: Sequence[str], rarest: float) -> dict[str, int]:
+    """How often words occur in what pages (url, html) show and in names written apart.
+
+    For words not rarer than ``rarest``, and for spam words, which count as that at least.
+    """
     shown = F.regexp_replace(F.lower(F.coalesce(F.col("html"), F.lit(""))), r"<[^<>]*>", " ")
-    found = F.filter(F.split(shown, r"[^a-z]+", -1),
-                     lambda w: (w != "") & (F.length(w) <= LONGEST))
-    counted = (
-        pages.select(F.explode(found).alias("word")).groupBy("word").agg(
-            F.count(F.lit(1)).alias("n"))
-    )
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return {r["word"]: r["n"] for r in counted.filter(F.col("n") >= rarest * total).collect()}
+    names = F.split(F.lower(F.concat_ws("/", host_of(F.col("url")), path_of(F.col("url")))), "[./]")
+    named = F.array_join(F.filter(names, lambda name: name.rlike("[-_+]")), " ")
+    found = pages.select(F.explode(letter_runs(shown)).alias("word"), F.lit(1).alias("shown"))
+    found = found.unionByName(
+        pages.select(F.explode(letter_runs(named)).alias("word"), F.lit(0).alias("shown")))
+    counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("shown").alias("shown"))
+    floor = rarest * (counted.agg(F.sum("n")).first()[0] or 0)
+    rows = counted.filter((F.col("n") >= floor) | F.col("word").isin(*spam_words)).collect()
+    spam = set(spam_words)
+    counts = dict.fromkeys(spam_words, max(1, math.ceil(floor)))
+    for r in rows:
+        if r["shown"] >= floor or r["word"] in spam:
+            counts[r["word"]] = max(r["n"], counts.get(r["word"], 0))
+    segmenter = Segmenter(counts)
+    for r in rows:
+        if r["word"] not in counts:
+            parts = segmenter.split(r["word"])
+            if any(p[0] == "?" for p in parts) and spam.isdisjoint(parts):
+                counts[r["word"]] = r["n"]
+    return counts
 
 
 class Segmenter:
@@ -126,7 +149,7 @@ class Segmenter:
 
 def tokenised(parsed: DataFrame, counts: dict[str, int]) -> DataFrame:
     """The columns of ``parsed`` (page_id, host, path, verdict, rule) and its tokens."""
-    sent = parsed.sparkSession.sparkContext.broadcast(counts)  # 1/rarest entries at most
+    sent = parsed.sparkSession.sparkContext.broadcast(counts)  # 1/rarest entries and spam words
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(sent.value)
@@ -186,7 +209,8 @@ def filter_urls(
         .withColumn("found", found)
         .select("page_id", "host", "path", "found.verdict", "found.rule")
     )
-    counts = word_counts(pages.select(F.col("html").cast("string").alias("html")), rarest)
+    texts = pages.select(url.alias("url"), F.col("html").cast("string").alias("html"))
+    counts = word_counts(texts, spam_words, rarest)
     judged = tokenised(parsed, counts)
     verdict = F.col("verdict")
     marked = [mark + word for word in spam_words for mark in ("h:", "p:")]

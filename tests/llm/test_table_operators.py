@@ -99,6 +99,26 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_filter_keeps_rare_words(spark):
+    # Long pages that show no name: spam words and the words of names are rare or only in urls.
+    html = "<p>" + "the house has a garden and a farm " * 60 + "</p>"
+    urls = ["http://casino-win.org/x"] * 3 + ["http://bestcheappills.org/", "http://poker.org/"]
+    urls += [f"http://house{i}.org/zimmer-{i}" for i in range(200)]
+    urls += ["http://housegarden.org/"] * 40 + ["http://casinowin.org/"] * 40
+    pages = spark.createDataFrame(
+        [(i, u, html) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    found = {r["page_id"]: r for r in url_filter.filter_urls(pages, rarest=2e-4).collect()}
+    assert {found[i]["verdict"] for i in range(5)} == {"block"}
+    assert found[0]["tokens"][0] == "h:casino"
+    assert found[3]["tokens"][1:3] == ["h:cheap", "h:pills"]
+    assert found[5]["tokens"][-2:] == ["p:zimmer", "p:0"]
+    assert found[205]["tokens"][:2] == ["h:house", "h:garden"]
+    assert found[245]["tokens"][0] == "h:casino"
+    assert found[5]["verdict"] == found[205]["verdict"] == "allow"
+    counts = url_filter.word_counts(pages, url_filter.SPAM_WORDS, 0.5)
+    assert set(counts) == set(url_filter.SPAM_WORDS)
+
+
 def poured(budget, children):
     """Budgets of children {name: (weight, capacity)} by filling the short ones first."""
     out, left, rest = {}, budget, dict(children)
