@@ -324,36 +324,46 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_class_rows, kept.
 
     ``class_id`` is the least doc_id that links reach, ``n_class_rows`` counts the rows of the class
-    and ``kept`` marks the document that stands for it, in all its rows if they repeat. A text
-    goes by the least doc_id that has it, so rows that share a doc_id but not the text are classed
-    by their texts. Rows whose doc_id is null and texts without words are classes of their own
-    and kept; class_id is then the doc_id. No rows give no rows; other columns are not looked at.
+    and ``kept`` marks the text that stands for it under that doc_id, in all its rows if they
+    repeat. Rows that share a doc_id but not the text are classed by their texts, and at most one of
+    those in a class is kept. Rows whose doc_id is null and texts without words are classes of
+    their own and kept; class_id is then the doc_id. No rows give no rows; other columns are not
+    looked at.
     """
+    return classed_rows(docs, similarity).drop("key")
+
+
+def classed_rows(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """What ``near_duplicates`` returns and ``key``, the ``text_key`` of each row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("key", text_key(F.col("text")))
     every = pinned(sketched(rows))
     classed = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     members = every.filter(classed)
+    # Texts are numbered, since several may have one doc_id.
     texts = pinned(
         members.groupBy("digest").agg(
             F.min(F.struct("doc_id", "key")).alias("least"), F.first("n").alias("n"),
             F.first("values").alias("values"), F.count(F.lit(1)).alias("n_rows"),
-        ).select("digest", F.col("least.doc_id").alias("text_id"), "least.key", "n", "values",
+        ).select("digest", F.monotonically_increasing_id().alias("text_id"), "least", "n", "values",
                  "n_rows")
     )
     components = text_components(texts, rows, similarity)
     named = texts.join(components.withColumnRenamed("id", "text_id"), "text_id", "left").select(
-        "digest", F.coalesce("component", "text_id").alias("class_id"), "n_rows"
+        "digest", F.coalesce("component", "text_id").alias("component"), "least", "n_rows"
     )
-    sizes = named.groupBy("class_id").agg(F.sum("n_rows").alias("n_class_rows"))
-    named = named.drop("n_rows").join(sizes, "class_id")
-    out = members.select("doc_id", "digest").join(named, "digest").select(
-        "doc_id", "class_id", "n_class_rows", (F.col("doc_id") == F.col("class_id")).alias("kept")
+    sizes = named.groupBy("component").agg(
+        F.sum("n_rows").alias("n_class_rows"), F.min("least").alias("first"))
+    named = named.select("digest", "component").join(sizes, "component")
+    out = members.select("doc_id", "key", "digest").join(named, "digest").select(
+        "doc_id", "key", F.col("first.doc_id").alias("class_id"), "n_class_rows",
+        ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))
+        .alias("kept"),
     )
     rest = every.filter(~classed).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_class_rows"),
-        F.lit(True).alias("kept"),
+        "doc_id", "key", F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("long").alias("n_class_rows"), F.lit(True).alias("kept"),
     )
     return out.unionByName(rest)
 
@@ -361,8 +371,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 def text_components(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """(id, component) of texts linked because they share a sketch and are similar enough.
 
-    ``texts`` holds (text_id, key, n, values) and ``rows`` (doc_id, key, text); the rows with the
-    same id and key hold the text.
+    ``texts`` holds (text_id, least, n, values) and ``rows`` (doc_id, key, text); the rows with the
+    doc_id and key in ``least`` hold the text.
     """
     short = texts.select("text_id", "n", F.explode(F.array_distinct("values")).alias("bucket"))
     leaders = short.groupBy("bucket").agg(
@@ -376,10 +386,10 @@ def text_components(texts: DataFrame, rows: DataFrame, similarity: float) -> Dat
     pairs = found.select("a", "n_a", "b", "n_b").distinct()
     longest = F.greatest("n_a", "n_b")
     close = F.abs(F.col("n_a") - F.col("n_b")) <= FURTHEST * (1 - similarity) * longest + 1
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    names = texts.select(F.col("text_id").alias("doc_id"), "key").join(ids, "doc_id")
+    ids = pairs.select(F.col("a").alias("text_id")).union(pairs.select("b")).distinct()
+    names = texts.select("text_id", "least.doc_id", "least.key").join(ids, "text_id")
     held = pinned(
-        rows.join(names, ["doc_id", "key"]).select("doc_id", "text").dropDuplicates(["doc_id"])
+        rows.join(names, ["doc_id", "key"]).select("text_id", "text").dropDuplicates(["text_id"])
     )
     wide = (
         pairs.filter(close).select("a", "b")
@@ -425,7 +435,7 @@ def text_components(texts: DataFrame, rows: DataFrame, similarity: float) -> Dat
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     )
     rest = (
-        dealt.join(held.withColumnRenamed("doc_id", "text_id"), "text_id")
+        dealt.join(held, "text_id")
         .groupBy("bucket", F.least("block", "other").alias("i"),
                  F.greatest("block", "other").alias("j"))
         .applyInPandas(lambda rows: compare_blocks(rows, similarity), "a long, b long")

@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -182,6 +183,24 @@ def test_near_duplicates(docs, texts):
     assert kept == set(of.values()) | {None}
 
 
+def test_texts_that_share_an_id_are_classed_apart(spark):
+    r = random.Random(9)
+    one, two, three = ([f"{x}{r.random()}" for _ in range(60)] for x in "abc")
+    near = lambda words, i: " ".join([*words[:30], f"n{i}", *words[31:]])
+    rows = [(3, " ".join(one)), (5, near(one, 1)), (5, " ".join(two)), (9, near(two, 2)),
+            (9, " ".join(three)), (9, near(three, 3)), (9, "  ".join(three)),
+            (5, " ".join(two)), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = order_minhash.near_duplicates(docs).collect()
+    assert Counter((x["doc_id"], x["class_id"], x["kept"]) for x in found) == {
+        (3, 3, True): 1, (5, 3, False): 1, (5, 5, True): 2, (9, 5, False): 1, (9, 9, True): 2,
+        (9, 9, False): 2}
+    left = [tuple(x) for x in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()]
+    assert len(left) == len(set(left)) == 4
+    assert {rows[0], rows[2], rows[8]} < set(left)
+    assert sum(x in left for x in rows[4:7]) == 1
+
+
 def test_blocks_find_what_the_first_text_does_not(spark, monkeypatch):
     """A chain in which only neighbours are similar, in blocks of two."""
     monkeypatch.setattr(order_minhash, "BLOCK", 2)
