@@ -21,7 +21,7 @@ from hostvigil.operators.split import from_records, split_topic, to_records
 from hostvigil.plans.alerts import alerts, metric_windows
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
-from hostvigil.sinks.tables import publish_single_csv, write_table
+from hostvigil.sinks.tables import write_table
 from hostvigil.sources.events import wide_from_events
 from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
@@ -341,11 +341,12 @@ def csv_roundtrip(rule: AlertRule, schema: StructType) -> Query:
 
 
 def alerts_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The network and disk alerts published as one CSV file, twice over, and read back."""
+    """The network and disk alerts published as one folder of sorted parts, twice over, and read
+    back. One file is written only by a job that asks for it."""
     result = alerts(*_pair(_wide(spark, sf_dir), NET_DISK), NET_DISK, ordered=True)
-    path = scratch_dir(spark, "alerts-file") + "/alerts.csv"
+    path = scratch_dir(spark, "alerts-file") + "/alerts"
     for _ in range(2):  # the second replaces the first
-        publish_single_csv(result, path)
+        write_table(result, path, "csv")
     return read_alerts(spark, path, NET_DISK_ALERT)
 
 

@@ -24,6 +24,17 @@ def test_query_equals_its_sql(spark, con, name):
     assert compare(spark, con, FOLDER, name) == ""
 
 
+def test_published_alerts_are_written_by_several_tasks(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = QUERIES["alerts_single_file"](spark, FOLDER)
+    finally:
+        spark.conf.set(name, before)
+    assert len(found.inputFiles()) > 1
+
+
 def test_every_query_has_sql():
     assert QUERIES.keys() <= registry.oracle_sql().keys() <= registry.queries().keys()
 
