@@ -2,4 +2,116 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+import re
+
+from hostvigil.llm.license_templates import PHRASES, TEMPLATES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _template_regex(template: str) -> tuple[str, list[str], int]:
+    """A template as a regular expression over words that each end in a blank; the words it can
+    begin with, and how many words it matches at most."""
+    pattern, most, depth, firsts, opened = "", 0, 0, [], True
+    for part in re.split(r"(\{\{|\}\}|\[\[[^\]]*\]\])", template):
+        if part == "{{":
+            pattern, depth = pattern + "(?:", depth + 1
+        elif part == "}}":
+            pattern, depth = pattern + ")?", depth - 1
+        elif part.startswith("[["):
+            low, high = re.findall("[0-9]+", part)[:2]
+            pattern, most = f"{pattern}(?:[^ ]+ ){{{low},{high}}}", most + int(high)
+        else:
+            words = re.findall("[a-z0-9]+", part.lower())
+            pattern, most = pattern + "".join(f"{w} " for w in words), most + len(words)
+            if words and opened:
+                firsts.append(words[0])
+                opened = depth > 0  # an optional region can be passed over
+    return pattern, firsts, most
+
+
+def _license_matches() -> str:
+    """All places where a template or phrase fits, with the longest text that does."""
+    rows = []
+    for label, template in TEMPLATES.items():
+        pattern, firsts, most = _template_regex(template)
+        rows += [(label, False, pattern, first, most) for first in dict.fromkeys(firsts)]
+    for phrase, label in PHRASES.items():
+        pattern, firsts, most = _template_regex(phrase)
+        rows += [(label, True, pattern, firsts[0], most)]
+    values = ", ".join(
+        f"('{label}', {str(phrase).lower()}, '{pattern}', '{first}', {most})"
+        for label, phrase, pattern, first, most in rows
+    )
+    return f"""
+        w AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM documents),
+        t(label, phrase, pattern, first, most) AS (VALUES {values}),
+        maybe AS (
+            SELECT r, words, t.* FROM w JOIN t
+            ON list_contains(words, first)
+               AND regexp_matches(array_to_string(words, ' ') || ' ', '(^| )' || pattern)),
+        starts AS (
+            SELECT * FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM maybe)
+            WHERE words[i] = first),
+        ends AS (
+            SELECT *, unnest(range(i, least(i + most, len(words) + 1))) AS j FROM starts),
+        matches AS (
+            SELECT r, label, phrase, i, max(j) AS j FROM ends
+            WHERE regexp_full_match(array_to_string(words[i:j], ' ') || ' ', pattern)
+            GROUP BY ALL)"""
+
+
+_LICENSES = f"""
+    WITH {_license_matches()},
+    covered AS (
+        SELECT r, count(DISTINCT k) AS n
+        FROM (SELECT r, unnest(range(i, j + 1)) AS k FROM matches) GROUP BY r),
+    found AS (
+        SELECT r, count(*) FILTER (WHERE phrase) AS n_base,
+            min(i - 1) FILTER (WHERE phrase) AS first_word,
+            max(i - 1) FILTER (WHERE phrase) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase) AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+        FROM matches GROUP BY r)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+        first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+        coalesce(covered.n::DOUBLE / len(words), 0.0) AS score
+    FROM w LEFT JOIN found USING (r) LEFT JOIN covered USING (r)"""
+
+_FILL_MIDDLE = """
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+            sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+        FROM documents),
+    numbers AS (
+        SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::BIGINT % (n + 1) AS y,
+            ('0x' || h[17:24])::BIGINT % 100 AS u, ('0x' || h[25:32])::BIGINT % 100 AS v
+        FROM d),
+    cuts AS (
+        SELECT *, least(x, y) AS p, greatest(x, y) - least(x, y) AS m,
+            CASE WHEN t = '' OR u >= 90 OR contains(t, '<P>') OR contains(t, '<S>')
+                      OR contains(t, '<M>') THEN 'plain'
+                 WHEN v < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM numbers),
+    parts AS (
+        SELECT *, substring(t, 1, p) AS a, substring(t, p + 1, m) AS b,
+            substring(t, p + m + 1, n - p - m) AS c
+        FROM cuts)
+    SELECT doc_id, n::BIGINT AS n, form,
+        CASE WHEN form <> 'plain' THEN p END::BIGINT AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN m END::BIGINT AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t
+            WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+            ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM parts"""
+
+ORACLES: dict[str, str] = {
+    "op11_license_templates": _LICENSES,
+    "op13_fill_middle": _FILL_MIDDLE,
+}

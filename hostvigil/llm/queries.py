@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostvigil.llm import (
+    fill_middle,
+    license_templates,
+    licenses,
     mixing,
     order_minhash,
     packing,
@@ -17,6 +20,7 @@ from hostvigil.llm import (
     secrets,
     subspace_join,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -139,6 +143,45 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_license_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in ``documents``."""
+    matches = F.col("matches")
+    base = F.filter(matches, lambda m: m["phrase"])
+    starts = F.transform(base, lambda m: m["first_word"])
+
+    def labels(found: Column) -> Column:
+        names = F.transform(found, lambda m: m["label"])
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    scanned = licenses.scan_licenses(
+        table(spark, folder, "documents"), license_templates.TEMPLATES, license_templates.PHRASES
+    )
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(matches).alias("labels"), "score",
+    )
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tokenizers' tokens of ``documents`` aligned."""
+    return token_alignment.align_documents(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` as fill-in-the-middle texts, cut between code points."""
+    output, form = F.col("output"), F.col("form")
+    return fill_middle.fill_middle(table(spark, folder, "documents")).select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(output, form), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_lines": op1_quality_lines,
     "op2_secret_scan": op2_secret_scan,
@@ -150,4 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_subspace_join": op8_subspace_join,
     "op9_personal_data": op9_personal_data,
     "op10_url_filter": op10_url_filter,
+    "op11_license_templates": op11_license_templates,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_fill_middle": op13_fill_middle,
 }
