@@ -11,7 +11,7 @@ from hostvigil.functions.columns import (
     second_of_day,
     time_of_day,
 )
-from hostvigil.functions.records import encode_record, one_value, parse_value
+from hostvigil.functions.records import encode_record, may_hold_more, one_value, parse_value
 
 __all__ = [
     "alert_label",
@@ -21,6 +21,7 @@ __all__ = [
     "finite_number",
     "is_finite",
     "is_number_text",
+    "may_hold_more",
     "one_value",
     "parse_value",
     "round_half_up",

@@ -35,6 +35,11 @@ def parse_value(text: Column) -> Column:
     )
 
 
+def may_hold_more(text: Column) -> Column:
+    """Whether anything follows a closing brace; true for some single objects as well."""
+    return text.rlike(r"\}[ \t\r\n]*[^ \t\r\n]")
+
+
 def one_value(text: Column) -> Column:
     """Whether the text is one JSON value: a comma could have slipped in fields of the object."""
     values = F.from_json(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,10 @@ from hostvigil.plans.alerts import (
     reachable_pair,
     window_matched,
 )
+from hostvigil.plans.incremental import add_new_days, partial_windows, read_partials
 from hostvigil.schemas import TOPICS
 from hostvigil.session import build_session, scratch_dir
-from hostvigil.sinks.tables import drop_table, publish_single_csv, write_table
+from hostvigil.sinks.tables import drop_table, publish_single_csv, replace_table, write_table
 from hostvigil.sources.landed import read_landed, read_landed_topic
 
 
@@ -49,6 +51,43 @@ class JobReport:
     right_bad_times: int
 
 
+def publish(
+    labelled: DataFrame, rule: AlertRule, out: str, single_file: bool = False
+) -> tuple[int, bool]:
+    """Write the alert table of labelled windows to ``out``; how many there are, and whether a
+    file or folder came out.
+
+    The unsorted windows are first written to the shared scratch folder, so that sorting starts
+    from a small table; an older result stays until the new one is complete.
+    """
+    spark = labelled.sparkSession
+    staged = scratch_dir(spark, rule.name)
+    try:
+        write_table(labelled, staged)
+        stored = spark.read.schema(labelled.schema).parquet(staged)
+        windows = stored.count()  # from file footers
+        result = format_alerts(stored, rule, ordered=True)
+        if single_file:
+            return windows, publish_single_csv(result, out)
+        replace_table(result, out, "csv")
+        return windows, True
+    finally:
+        drop_table(spark, staged)
+
+
+def run_incremental_job(
+    spark: SparkSession, landing: str, partials: str, rule: AlertRule, out: str,
+    single_file: bool = False,
+) -> list[date]:
+    """Alerts over a landing of which only new days are aggregated; returns these days.
+
+    ``partials`` is the folder of the rule's partial table, kept from run to run.
+    """
+    days = add_new_days(spark, landing, partials, rule)
+    publish(partial_windows(read_partials(spark, partials, rule), rule), rule, out, single_file)
+    return days
+
+
 def run_alert_job(
     left: DataFrame,
     right: DataFrame,
@@ -60,9 +99,8 @@ def run_alert_job(
 ) -> JobReport:
     """Compute the alerts in one pass over the inputs and write them as CSV to ``out``.
 
-    The unsorted result is first written to the shared scratch folder. Sorting and publishing
-    then start from that small table, which is deleted in the end. ``out`` is a folder of sorted
-    parts, or one file written by one task if ``single_file`` asks for it.
+    ``out`` is a folder of sorted parts, or one file written by one task if ``single_file`` asks for
+    it.
 
     By default readings no kept window can hold are filtered in the scan, and only the rest is
     looked at; ``full_counts`` reads and counts everything. ``quarantine`` names a folder for all
@@ -76,18 +114,7 @@ def run_alert_job(
     grouped, seen = observe_groups(group_readings(left, right, rule), "readings")
     matched = match_groups(grouped)
     labelled = label_windows(window_matched(matched, rule), rule)
-
-    staged = scratch_dir(spark, rule.name)
-    write_table(labelled, staged)
-    stored = spark.read.schema(labelled.schema).parquet(staged)
-    windows = stored.count()  # from file footers
-    result = format_alerts(stored, rule, ordered=True)
-    if single_file:
-        written = publish_single_csv(result, out)
-    else:
-        write_table(result, out, "csv")
-        written = True
-    drop_table(spark, staged)
+    windows, written = publish(labelled, rule, out, single_file)
     counts = seen.get
     left_read, right_read = (int(counts[f"{side}_records"] or 0) for side in ("left", "right"))
     earliest = counts["earliest"]
@@ -141,6 +168,11 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
     )
     parser.add_argument("--since", help="first day of arrival to read from a landing, yyyy-MM-dd")
     parser.add_argument("--until", help="last day of arrival to read from a landing")
+    parser.add_argument("--distinct", action="store_true",
+                        help="leave out copies of readings that were landed more than once")
+    parser.add_argument("--partials",
+                        help="folder of aggregates kept between runs: with one landing for both "
+                             "inputs, only its new days are read")
     parser.add_argument("--cutoff", default=rule.cutoff,
                         help="earliest window start kept, HH:mm:ss, or 'none'")
     parser.add_argument("--size_seconds", type=int, default=rule.size_seconds)
@@ -153,17 +185,25 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
 
 def _read(spark: SparkSession, path: str, topic: str, args: argparse.Namespace) -> DataFrame:
     if args.format == "landing":
-        return read_landed_topic(spark, path, topic, args.since, args.until)
+        return read_landed_topic(spark, path, topic, args.since, args.until, args.distinct)
     return read_landed(spark, path, TOPICS[topic], args.format)
 
 
-def main(rule: AlertRule, left: str, right: str, argv: list[str] | None = None) -> JobReport:
+def main(
+    rule: AlertRule, left: str, right: str, argv: list[str] | None = None
+) -> JobReport | list[date]:
     """Run a job from its command line; ``left`` and ``right`` prefix the flags of each side."""
     parser = _parser(rule, left, right)
     args = parser.parse_args(argv)
     flags = vars(args)
-    if args.format != "landing" and (args.since or args.until):
-        parser.error("--since and --until need --format landing")
+    if args.format != "landing" and (args.since or args.until or args.distinct or args.partials):
+        parser.error("--since, --until, --distinct and --partials need --format landing")
+    paths = flags[f"{left}_csv"], flags[f"{right}_csv"]
+    if args.partials and (
+        paths[0] != paths[1] or args.since or args.until or args.distinct or args.preview
+        or args.full_counts or args.quarantine
+    ):
+        parser.error("--partials needs one landing for both inputs, and all of its readings")
     spark = build_session(f"hostvigil {rule.name}")
     if args.thresholds:
         rule = load_thresholds(spark, args.thresholds)[rule.name]
@@ -175,6 +215,12 @@ def main(rule: AlertRule, left: str, right: str, argv: list[str] | None = None)
         slide_seconds=args.slide_seconds,
     )
 
+    if args.partials:
+        days = run_incremental_job(
+            spark, paths[0], args.partials, rule, args.out, args.single_file
+        )
+        print(f"aggregated {len(days)} days: {', '.join(map(str, days)) or 'none were new'}")
+        return days
     left_table = _read(spark, flags[f"{left}_csv"], rule.left.topic, args)
     right_table = _read(spark, flags[f"{right}_csv"], rule.right.topic, args)
     if args.preview:

@@ -18,13 +18,24 @@ from hostvigil.config import AlertRule, Side
 PARTIALS = {"avg": ("sum", "n"), "max": ("max",)}
 
 
-def _one_side(readings: DataFrame, side: Side, is_left: bool) -> DataFrame:
+def partial_names(name: str, aggregate: str) -> list[str]:
+    """What a group of readings holds of one side: its row count and partial aggregates."""
+    return [f"{name}_{part}" for part in ("rows", *PARTIALS[aggregate])]
+
+
+def _one_side(
+    readings: DataFrame, side: Side, is_left: bool, by: tuple[str, ...] = ()
+) -> DataFrame:
     value = F.col(side.metric).cast(side.metric_type)
+    counted = F.lit(is_left)
+    if "is_beat" in readings.columns:  # heartbeats of a stream count for neither side
+        counted = F.when(~F.col("is_beat"), counted)
     absent = F.lit(None).cast(side.metric_type)
     return readings.select(
+        *by,
         "server_id",
         "ts",
-        F.lit(is_left).alias("is_left"),
+        counted.alias("is_left"),
         (value if is_left else absent).alias("left_value"),
         (absent if is_left else value).alias("right_value"),
     )
@@ -37,10 +48,17 @@ def _key_partials(name: str, aggregate: str) -> list[Column]:
     return [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
 
 
-def group_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFrame:
-    """One row per (server, time) on either side: row counts and aggregates of both sides."""
-    both = _one_side(left, rule.left, True).unionByName(_one_side(right, rule.right, False))
-    return both.groupBy("server_id", "ts").agg(
+def group_readings(
+    left: DataFrame, right: DataFrame, rule: AlertRule, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per (server, time) on either side: row counts and aggregates of both sides.
+
+    ``by`` names further columns of both sides to group by.
+    """
+    both = _one_side(left, rule.left, True, by).unionByName(
+        _one_side(right, rule.right, False, by)
+    )
+    return both.groupBy(*by, "server_id", "ts").agg(
         F.count_if(F.col("is_left")).alias("left_rows"),
         F.count_if(~F.col("is_left")).alias("right_rows"),
         *_key_partials("left", rule.aggregate),
@@ -48,6 +66,18 @@ def group_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFr
     )
 
 
+def merge_groups(grouped: DataFrame, rule: AlertRule) -> DataFrame:
+    """Groups of readings that may share (server, time), merged to one row each."""
+    merge = F.sum if rule.aggregate == "avg" else F.max
+    return grouped.groupBy("server_id", "ts").agg(
+        *(
+            (F.sum if name.endswith("_rows") else merge)(name).alias(name)
+            for side in ("left", "right")
+            for name in partial_names(side, rule.aggregate)
+        )
+    )
+
+
 def match_readings(left: DataFrame, right: DataFrame, rule: AlertRule) -> DataFrame:
     """The joined keys, each standing for ``left_rows * right_rows`` joined rows."""
     return match_groups(group_readings(left, right, rule))

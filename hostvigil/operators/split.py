@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostvigil.functions import encode_record, finite_number, one_value, parse_value
+from hostvigil.functions import (
+    encode_record,
+    finite_number,
+    may_hold_more,
+    one_value,
+    parse_value,
+)
 from hostvigil.schemas import METRICS, TOPICS
 
 
@@ -36,12 +42,13 @@ def from_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     texts = records.select(
         *keep, "topic", F.btrim(F.col("value").cast("string"), F.lit(" \t\n\r")).alias("text")
     )
-    # Only an object is a record, though the parser takes lists of them as well.
+    # Only an object is a record, though the parser takes lists of them as well. More can only
+    # follow a closing brace, and records as published end with their only one, so hardly any text
+    # is parsed a second time.
+    text = F.col("text")
+    alone = F.when(may_hold_more(text), one_value(text)).otherwise(True)
     parsed = texts.withColumns(
-        {
-            "parsed": parse_value(F.col("text")),
-            "is_object": F.col("text").startswith("{") & one_value(F.col("text")),
-        }
+        {"parsed": parse_value(text), "is_object": text.startswith("{") & alone}
     )
     is_record = F.col("is_object") & F.col("parsed._corrupt").isNull()
     decoded = parsed.withColumn("refused", ~F.coalesce(is_record, F.lit(False)))
@@ -61,7 +68,7 @@ def from_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def readings_of(decoded: DataFrame, topic: str) -> DataFrame:
-    """One topic's readings from decoded or landed records."""
+def readings_of(decoded: DataFrame, topic: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One topic's readings from decoded or landed records; ``keep`` names columns to carry along."""
     accepted = (F.col("topic") == topic) & F.col("problem").isNull()
-    return decoded.filter(accepted).select(*TOPICS[topic].names)
+    return decoded.filter(accepted).select(*keep, *TOPICS[topic].names)

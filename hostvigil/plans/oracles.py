@@ -151,6 +151,19 @@ def _roundtrip() -> str:
     return f"WITH wide AS ({_WIDE}) " + " UNION ALL ".join(parts)
 
 
+def _distinct_roundtrip() -> str:
+    """Per topic, records that are equal in all of their fields count once."""
+    parts = []
+    for topic, metrics in TOPICS.items():
+        names = ", ".join(f"{name}::{kind} AS {name}" for name, kind in metrics.items())
+        parts += [
+            f"SELECT '{topic}' AS topic, ts, server_id, '{name}' AS metric, {name}::DOUBLE AS value "
+            f"FROM (SELECT DISTINCT ts, server_id, {names} FROM wide)"
+            for name in metrics
+        ]
+    return f"WITH wide AS ({_WIDE}) " + " UNION ALL ".join(parts)
+
+
 def _pipeline_counts() -> str:
     parts = []
     for rule in (CPU_MEM, NET_DISK):
@@ -241,6 +254,8 @@ _QUARANTINE = """
 ORACLES: dict[str, str] = {
     "wide_metrics": _WIDE,
     "wide_csv_scan": _WIDE,
+    "wide_csv_skip_first": f"""{_WIDE} WHERE event_id NOT IN (
+        SELECT min(event_id) FROM events GROUP BY event_id % 5)""",
     "split_cpu": _split("topic-cpu"),
     "split_mem": _split("topic-mem"),
     "split_net": _split("topic-net"),
@@ -275,8 +290,15 @@ ORACLES: dict[str, str] = {
     "alerts_preview": f"SELECT * FROM ({_alerts(CPU_MEM)}) ORDER BY ALL LIMIT 20",
     "alerts_csv_roundtrip": _alerts(CPU_MEM),
     "net_disk_alerts_csv_roundtrip": _alerts(NET_DISK),
+    "alerts_published": _alerts(NET_DISK),
     "alerts_single_file": _alerts(NET_DISK),
+    "landed_deduplicated": _distinct_roundtrip(),
+    "landed_distinct": _distinct_roundtrip(),
+    "incremental_cpu_mem_alerts": _alerts(CPU_MEM),
+    "incremental_net_disk_alerts": _alerts(NET_DISK),
     "stream_landing": _roundtrip(),
     "stream_cpu_mem_alerts": _alerts(CPU_MEM, stamped=True),
     "stream_net_disk_alerts": _alerts(NET_DISK, stamped=True),
+    "stream_cpu_mem_corrected": _alerts(CPU_MEM, stamped=True),
+    "stream_net_disk_corrected": _alerts(NET_DISK, stamped=True),
 }

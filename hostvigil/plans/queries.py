@@ -18,15 +18,25 @@ from hostvigil.operators.matching import joined_rows, match_readings, merged_val
 from hostvigil.operators.preview import first_rows
 from hostvigil.operators.quarantine import count_problems, mark_bad_times, quarantined, usable
 from hostvigil.operators.split import from_records, split_topic, to_records
-from hostvigil.plans.alerts import alerts, metric_windows
+from hostvigil.plans.alerts import alerts, format_alerts, metric_windows
+from hostvigil.plans.incremental import add_new_days, partial_alerts, read_partials
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
-from hostvigil.sinks.tables import write_table
+from hostvigil.sinks.tables import publish_single_csv, replace_table, write_table
 from hostvigil.sources.events import wide_from_events
 from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
 from hostvigil.streaming.continuous import continuous_alerts, start_alerts
+from hostvigil.streaming.heartbeat import drain_and_close, open_beats
 from hostvigil.streaming.landing import start_landing
+from hostvigil.streaming.late import (
+    add_corrections,
+    corrected_windows,
+    latest_windows,
+    read_late,
+    read_windows,
+    windows_and_late,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +69,16 @@ def wide_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usable(read_wide_csv(spark, folder))
 
 
+def wide_csv_skip_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings in a few CSV files, by event, without the first record of each file."""
+    folder = scratch_dir(spark, "first-records")
+    readings = wide_from_events(_events(spark, sf_dir), keep=("event_id",))
+    part = F.pmod(F.col("event_id"), F.lit(5)).alias("part")
+    by_file = readings.select("*", part).repartition("part").sortWithinPartitions("part", "event_id")
+    by_file.select("part", *WIDE.names).write.partitionBy("part").csv(folder, header=True)
+    return usable(read_wide_csv(spark, folder, skip_first_record=True))
+
+
 def split_query(topic: str) -> Query:
     """The narrow table of one topic."""
     return lambda spark, sf_dir: split_topic(_wide(spark, sf_dir), topic)
@@ -340,16 +360,96 @@ def csv_roundtrip(rule: AlertRule, schema: StructType) -> Query:
     return run
 
 
-def alerts_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The network and disk alerts published as one folder of sorted parts, twice over, and read
-    back. One file is written only by a job that asks for it."""
+    back."""
     result = alerts(*_pair(_wide(spark, sf_dir), NET_DISK), NET_DISK, ordered=True)
-    path = scratch_dir(spark, "alerts-file") + "/alerts"
+    path = scratch_dir(spark, "alerts-folder") + "/alerts"
     for _ in range(2):  # the second replaces the first
-        write_table(result, path, "csv")
+        replace_table(result, path, "csv")
     return read_alerts(spark, path, NET_DISK_ALERT)
 
 
+def alerts_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The network and disk alerts published as one CSV file, twice over, and read back.
+
+    One task writes them, as a job does that is asked for one file.
+    """
+    result = alerts(*_pair(_wide(spark, sf_dir), NET_DISK), NET_DISK, ordered=True)
+    path = scratch_dir(spark, "alerts-file") + "/alerts.csv"
+    for _ in range(2):
+        publish_single_csv(result, path)
+    return read_alerts(spark, path, NET_DISK_ALERT)
+
+
+# Landings that grow
+
+
+def _by_instalment(spark: SparkSession, sf_dir: str, day: Column, parts: int, part: int) -> DataFrame:
+    """Topic records of one instalment of the events, stamped as messages of a day."""
+    events = _events(spark, sf_dir)
+    some = events.filter(F.pmod("event_id", F.lit(parts)) == part) if parts > 1 else events
+    return to_records(wide_from_events(some)).withColumn("timestamp", day.cast("timestamp"))
+
+
+def _stream_of(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "topic string, value binary, timestamp timestamp"
+    return spark.readStream.schema(schema).parquet(folder)
+
+
+def landed_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records published twice, ten minutes apart, and landed without the second copies."""
+    folder = scratch_dir(spark, "landed-once")
+    for minutes in (0, 10):
+        stamp = F.lit("2024-05-01 12:00:00").cast("timestamp") + F.make_dt_interval(
+            mins=F.lit(minutes))
+        _by_instalment(spark, sf_dir, stamp, 1, 0).write.mode("append").parquet(f"{folder}/inbox")
+        start_landing(
+            _stream_of(spark, f"{folder}/inbox"), f"{folder}/table", f"{folder}/checkpoint",
+            distinct_within="1 day",
+        ).awaitTermination()
+    parts = [
+        _by_metric(
+            read_landed_topic(spark, f"{folder}/table", topic).withColumn("topic", F.lit(topic)))
+        for topic in TOPICS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def landed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records landed twice, copies and all, and read without the copies."""
+    folder = scratch_dir(spark, "landed-twice")
+    for day in ("2024-05-01", "2024-05-02"):
+        records = _by_instalment(spark, sf_dir, F.lit(day), 1, 0)
+        landed = from_records(
+            records.withColumn("ingest_date", F.to_date("timestamp")), keep=("ingest_date",))
+        landed.write.mode("append").partitionBy("ingest_date", "topic").parquet(folder)
+    parts = [
+        _by_metric(
+            read_landed_topic(spark, folder, topic, distinct=True).withColumn("topic", F.lit(topic)))
+        for topic in TOPICS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def incremental_query(rule: AlertRule) -> Query:
+    """A job over a landing that grows by a third of the events a day, aggregated day by day."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "growing")
+        for part in range(3):
+            _by_instalment(spark, sf_dir, F.lit(f"2024-05-0{part + 1}"), 3, part).write.mode(
+                "append").parquet(f"{folder}/inbox")
+            start_landing(
+                _stream_of(spark, f"{folder}/inbox"), f"{folder}/table", f"{folder}/checkpoint"
+            ).awaitTermination()
+            add_new_days(spark, f"{folder}/table", f"{folder}/partials", rule)
+        return partial_alerts(
+            read_partials(spark, f"{folder}/partials", rule), rule, ordered=True)
+
+    return run
+
+
 # Streams
 
 
@@ -367,39 +467,50 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str, rule: AlertRule) -> DataFrame:
-    """Continuous alerts of a rule over all events.
-
-    A second source holds a closing reading a day later. The events are drained first; a second
-    run over the same checkpoint takes up their state and drains the closing reading, after which
-    the watermark lies past every window of the events.
-    """
+    """Continuous alerts of a rule over all events; a heartbeat closes the last windows."""
     folder = scratch_dir(spark, "continuous")
-    latest = F.max("ts") + F.make_dt_interval(days=F.lit(1))
-    events = _events(spark, sf_dir)
-    closing = wide_from_events(
-        events.agg(
-            latest.alias("ts"), F.max("user_id").alias("user_id"),
-            F.max("value").alias("value"), F.max("props").alias("props"),
-        ),
-        full_timestamp=True,
+    stream = wide_from_events(_event_stream(spark, sf_dir), full_timestamp=True)
+    beats = open_beats(spark, f"{folder}/beats")
+    result = continuous_alerts(*_pair(stream, rule), rule, beats=beats)
+    drain_and_close(
+        spark,
+        lambda: start_alerts(result, f"{folder}/alerts", f"{folder}/check", available_now=True),
+        f"{folder}/beats",
     )
-    closing.limit(0).write.parquet(f"{folder}/closing")
-    stream = wide_from_events(_event_stream(spark, sf_dir), full_timestamp=True).unionByName(
-        spark.readStream.schema(closing.schema).parquet(f"{folder}/closing")
-    )
-    result = continuous_alerts(*_pair(stream, rule), rule)
-    for last in (False, True):
-        if last:
-            closing.write.mode("append").parquet(f"{folder}/closing")
-        start_alerts(
-            result, f"{folder}/alerts", f"{folder}/checkpoint", available_now=True
-        ).awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{folder}/alerts")
 
 
+def stream_corrected(spark: SparkSession, sf_dir: str, rule: AlertRule) -> DataFrame:
+    """Continuous alerts of events of which every seventh comes after its windows have closed,
+    corrected from all events."""
+    folder = scratch_dir(spark, "corrected")
+    events = _events(spark, sf_dir)
+    wide = wide_from_events(events, full_timestamp=True, keep=("event_id",))
+    is_late = F.pmod("event_id", F.lit(7)) == 0
+    wide.filter(~is_late).write.parquet(f"{folder}/inbox")
+    stream = spark.readStream.schema(wide.schema).parquet(f"{folder}/inbox")
+    beats = open_beats(spark, f"{folder}/beats")
+    result = windows_and_late(*_pair(stream, rule), rule, beats=beats)
+
+    def start():
+        return start_alerts(
+            result, f"{folder}/out", f"{folder}/check", available_now=True, partition_by=("kind",))
+
+    drain_and_close(spark, start, f"{folder}/beats")
+    wide.filter(is_late).write.mode("append").parquet(f"{folder}/inbox")
+    start().awaitTermination()
+    emitted = read_windows(spark, f"{folder}/out", result.schema)
+    late = read_late(spark, f"{folder}/out", result.schema)
+    fixed = corrected_windows(late, *_pair(wide, rule), rule)
+    add_corrections(fixed, f"{folder}/corrections", run=0)
+    corrections = spark.read.parquet(f"{folder}/corrections")
+    return format_alerts(latest_windows(emitted, corrections), rule)
+
+
 QUERIES: dict[str, Query] = {
     "wide_metrics": _wide,
     "wide_csv_scan": wide_csv_scan,
+    "wide_csv_skip_first": wide_csv_skip_first,
     "split_cpu": split_query("topic-cpu"),
     "split_mem": split_query("topic-mem"),
     "split_net": split_query("topic-net"),
@@ -428,8 +539,15 @@ QUERIES: dict[str, Query] = {
     "alerts_preview": alerts_preview,
     "alerts_csv_roundtrip": csv_roundtrip(CPU_MEM, CPU_MEM_ALERT),
     "net_disk_alerts_csv_roundtrip": csv_roundtrip(NET_DISK, NET_DISK_ALERT),
+    "alerts_published": alerts_published,
     "alerts_single_file": alerts_single_file,
+    "landed_deduplicated": landed_deduplicated,
+    "landed_distinct": landed_distinct,
+    "incremental_cpu_mem_alerts": incremental_query(CPU_MEM),
+    "incremental_net_disk_alerts": incremental_query(NET_DISK),
     "stream_landing": stream_landing,
     "stream_cpu_mem_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, CPU_MEM),
     "stream_net_disk_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, NET_DISK),
+    "stream_cpu_mem_corrected": lambda spark, sf_dir: stream_corrected(spark, sf_dir, CPU_MEM),
+    "stream_net_disk_corrected": lambda spark, sf_dir: stream_corrected(spark, sf_dir, NET_DISK),
 }

@@ -21,6 +21,33 @@ def _paths(spark: SparkSession, *names: str):
     return paths[0].getFileSystem(spark._jsc.hadoopConfiguration()), paths
 
 
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write many parts and put them in the place of ``path`` once all are written.
+
+    A job that fails leaves the old table as it was, and the new one never mixes with it. Between
+    two renames there is no table for a moment; one that is in the way of the second rename is
+    put back if that fails.
+    """
+    spark = df.sparkSession
+    made, old = (f"{path.rstrip('/')}_{uuid.uuid4().hex}" for _ in range(2))
+    try:
+        write_table(df, made, fmt)
+    except Exception:
+        drop_table(spark, made)
+        raise
+    fs, (source, target, aside) = _paths(spark, made, path, old)
+    if fs.exists(target) and not fs.getFileStatus(target).isDirectory():
+        drop_table(spark, made)
+        raise FileExistsError(f"{path} is a file")
+    replaced = fs.exists(target) and fs.rename(target, aside)
+    if not fs.rename(source, target):
+        if replaced:
+            fs.rename(aside, target)
+        raise OSError(f"could not rename {made} to {path}")
+    if replaced:
+        fs.delete(aside, True)
+
+
 def publish_single_csv(df: DataFrame, path: str) -> bool:
     """Write ``df`` as the one CSV file ``path``; False if no file came out.
 

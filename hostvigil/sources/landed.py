@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hostvigil.operators.repeats import drop_repeats
 from hostvigil.operators.split import readings_of
 from hostvigil.schemas import LANDED
 
@@ -26,18 +27,21 @@ def read_landed(
 
 
 def read_landed_topic(
-    spark: SparkSession, path: str, topic: str, since: str | None = None, until: str | None = None
+    spark: SparkSession, path: str, topic: str, since: str | None = None,
+    until: str | None = None, distinct: bool = False,
 ) -> DataFrame:
     """One topic of a table written by the streaming landing; no rows if nothing has landed.
 
     ``since`` and ``until`` are the first and last day of arrival to read (``yyyy-MM-dd``).
+    ``distinct`` leaves out copies of readings that were published again.
     """
     landed = spark.read.schema(LANDED).parquet(path)
     if since is not None:
         landed = landed.filter(F.col("ingest_date") >= F.lit(date.fromisoformat(since)))
     if until is not None:
         landed = landed.filter(F.col("ingest_date") <= F.lit(date.fromisoformat(until)))
-    return readings_of(landed, topic)
+    readings = readings_of(landed, topic)
+    return drop_repeats(readings) if distinct else readings
 
 
 def read_alerts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -69,14 +69,30 @@ def fail_on_problem(checked: DataFrame) -> DataFrame:
     )
 
 
-def _without_first_record(rows: DataFrame, path: str) -> DataFrame:
-    if len(rows.inputFiles()) != 1:
-        raise ValueError(f"skip_first_record needs exactly one file, got more or none: {path}")
-    # The scan's first partition begins at the start of the file, so within it this is the row's
-    # position, however the rest of the file is split.
-    numbered = rows.withColumn("position", F.monotonically_increasing_id())
-    first = numbered.filter(_is_record()).select("position").take(1)
-    return numbered.filter(F.col("position") != first[0].position) if first else rows
+def _without_first_records(rows: DataFrame) -> DataFrame:
+    """The rows without the first record of every file.
+
+    A row's place is its file, the block of the file that its task read, and its number among the
+    task's rows, which grows along a block. Both uses of ``rows`` scan the same files in the same
+    splits, so places agree. Only one place per file is joined, from a scan of its own.
+    """
+    block = F.col("_metadata.file_block_start")
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("file"), block.alias("block"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    first = (
+        placed.filter(_is_record())
+        .groupBy(F.col("file").alias("first_file"))
+        .agg(F.min(F.struct("block", "number")).alias("first"))
+    )
+    # Joined by the whole place, not by the file alone: a large file is no hot key then.
+    same = (
+        (F.col("file") == F.col("first_file"))
+        & (F.col("block") == F.col("first.block"))
+        & (F.col("number") == F.col("first.number"))
+    )
+    return placed.join(first, same, "left_anti").drop("file", "block", "number")
 
 
 def read_wide_csv(
@@ -87,10 +103,10 @@ def read_wide_csv(
     Blank lines and lines beginning like a header are skipped wherever they stand. Lines with a
     wrong number of fields or with text for a number get a ``problem`` (an error if ``strict``).
     Not-a-number and infinities are accepted and become null. ``skip_first_record`` drops the
-    first record line after any header.
+    first record line of every file, after any header; the files are scanned twice for it.
     """
     rows = _scan(spark, path)
     if skip_first_record:
-        rows = _without_first_record(rows, path)
+        rows = _without_first_records(rows)
     checked = _check(rows.filter(_is_record()))
     return fail_on_problem(checked) if strict else checked

@@ -1,0 +1,341 @@
+"""Landings that grow: copies, days added one by one, late readings, heartbeats, counts."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime, timedelta
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from hostvigil.config import CPU_MEM, NET_DISK
+from hostvigil.jobs import alerting
+from hostvigil.operators.repeats import drop_repeats
+from hostvigil.operators.split import split_topic, to_records
+from hostvigil.plans.alerts import alerts, label_windows, metric_windows
+from hostvigil.plans.incremental import (
+    add_new_days,
+    changed_days,
+    day_partials,
+    partial_alerts,
+    read_partials,
+)
+from hostvigil.schemas import CPU_MEM_ALERT, LANDED, WIDE
+from hostvigil.sinks.tables import replace_table, write_table
+from hostvigil.sources.landed import read_alerts, read_landed_topic
+from hostvigil.streaming.continuous import continuous_alerts, start_alerts
+from hostvigil.streaming.heartbeat import SilenceWatch, beat, drain_and_close, open_beats
+from hostvigil.streaming.landing import MessageCounter, start_landing
+from hostvigil.streaming.late import (
+    add_corrections,
+    corrected_windows,
+    latest_windows,
+    read_late,
+    read_windows,
+    touched_windows,
+    windows_and_late,
+)
+
+START = datetime(2024, 1, 1, 20, 53)
+STAMPED = "ts timestamp, server_id string, cpu_pct double, mem_pct double, " \
+          "net_in double, net_out double, disk_io double"
+RULES = pytest.mark.parametrize("rule", [CPU_MEM, NET_DISK], ids=lambda rule: rule.name)
+
+
+def pair(wide, rule):
+    return split_topic(wide, rule.left.topic), split_topic(wide, rule.right.topic)
+
+
+def rows_of(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def clock_rows(seed, n, servers=3):
+    return [
+        (f"20:5{3 + (i * seed) % 7 % 4}:{(i * 7 + seed) % 60:02d}", f"s{i % servers}",
+         float((i * seed) % 97), i % 13 * 7.0, i * 90.5, 0.0, None if i % 11 == 0 else i * 30.0)
+        for i in range(n)
+    ]
+
+
+def land(spark, folder, rows, day, **options):
+    """Publish rows on a day and drain them into the landing under a folder."""
+    wide = spark.createDataFrame(rows, WIDE)
+    stamp = F.lit(datetime(2024, 5, day, 12)).alias("timestamp")
+    to_records(wide).select("*", stamp).write.mode("append").parquet(f"{folder}/inbox")
+    stream = spark.readStream.schema("topic string, value binary, timestamp timestamp").parquet(
+        f"{folder}/inbox")
+    start_landing(stream, f"{folder}/table", f"{folder}/check", **options).awaitTermination()
+
+
+# Copies
+
+
+def test_copies_within_the_time_are_left_out_across_restarts(spark, tmp_path):
+    first, second = clock_rows(3, 20), clock_rows(5, 10)
+    changed = [(*row[:2], -1.0, *row[3:]) for row in first[:4]]
+    folder = str(tmp_path)
+    for day, rows in ((1, first + first[:5]), (2, first + second), (3, changed + second)):
+        land(spark, folder, rows, day, distinct_within="1 day")
+    bad = [("topic-cpu", bytearray(b"{oops"), datetime(2024, 5, 4))] * 2
+    spark.createDataFrame(bad, spark.read.parquet(f"{folder}/inbox").schema).write.mode(
+        "append").parquet(f"{folder}/inbox")
+    land(spark, folder, first, 4, distinct_within="1 day")
+    for topic in ("topic-cpu", "topic-net"):
+        want = split_topic(spark.createDataFrame(first + second + changed, WIDE), topic).distinct()
+        assert rows_of(read_landed_topic(spark, f"{folder}/table", topic)) == rows_of(want)
+    refused = spark.read.parquet(f"{folder}/table").filter("problem is not null")
+    assert refused.count() == 1
+
+
+def test_copies_are_landed_by_default(spark, tmp_path):
+    rows = clock_rows(3, 6)
+    for day in (1, 2):
+        land(spark, str(tmp_path), rows, day)
+    table = str(tmp_path / "table")
+    assert read_landed_topic(spark, table, "topic-cpu").count() == 12
+    distinct = read_landed_topic(spark, table, "topic-cpu", distinct=True)
+    want = split_topic(spark.createDataFrame(rows, WIDE), "topic-cpu").distinct()
+    assert rows_of(distinct) == rows_of(want)
+
+
+def test_the_earliest_copy_stays(spark):
+    rows = [("a", None, 3), ("a", None, 1), ("b", 1.0, 2), ("a", 2.0, 5), (None, None, 9)]
+    df = spark.createDataFrame(rows, "k string, v double, came int")
+    assert rows_of(drop_repeats(df, arrival=("came",))) == Counter(
+        [("a", None, 1), ("b", 1.0, 2), ("a", 2.0, 5), (None, None, 9)])
+    assert rows_of(drop_repeats(df.drop("came"))) == Counter(
+        [("a", None), ("b", 1.0), ("a", 2.0), (None, None)])
+
+
+# Days
+
+
+@RULES
+def test_days_added_one_by_one_give_what_all_readings_give(spark, tmp_path, rule):
+    folder, partials = str(tmp_path), str(tmp_path / "partials")
+    days = {1: clock_rows(3, 40), 2: clock_rows(5, 30), 3: clock_rows(3, 25)}
+    seen = []
+    for day, rows in days.items():
+        land(spark, folder, rows, day)
+        seen += rows
+        assert add_new_days(spark, f"{folder}/table", partials, rule) == [date(2024, 5, day)]
+        want = alerts(*pair(spark.createDataFrame(seen, WIDE), rule), rule)
+        got = partial_alerts(read_partials(spark, partials, rule), rule)
+        assert rows_of(got) == rows_of(want) and got.count()
+    assert add_new_days(spark, f"{folder}/table", partials, rule) == []
+
+    # A day that grows is aggregated again, the others are left alone.
+    land(spark, folder, clock_rows(7, 15), 2)
+    before = {f for f in read_partials(spark, partials, rule).inputFiles() if "05-02" not in f}
+    assert add_new_days(spark, f"{folder}/table", partials, rule) == [date(2024, 5, 2)]
+    got = read_partials(spark, partials, rule)
+    assert before == {f for f in got.inputFiles() if "05-02" not in f}
+    want = alerts(*pair(spark.createDataFrame(seen + clock_rows(7, 15), WIDE), rule), rule)
+    assert rows_of(partial_alerts(got, rule)) == rows_of(want)
+
+
+def test_only_new_days_are_scanned(spark, tmp_path):
+    for day in (1, 2):
+        land(spark, str(tmp_path), clock_rows(3, 8), day)
+    table, partials = (str(tmp_path / name) for name in ("table", "partials"))
+    assert len(changed_days(spark, table, partials, CPU_MEM)) == 2
+    wanted = spark.read.schema(LANDED).parquet(table).filter(
+        F.col("ingest_date").isin([date(2024, 5, 2)]))
+    plan = day_partials(wanted, CPU_MEM)._jdf.queryExecution().executedPlan().toString()
+    for filters in plan.split("PartitionFilters: [")[1:]:
+        assert "ingest_date" in filters.split("]")[0] and "topic" in filters.split("]")[0]
+
+
+def test_a_run_that_failed_is_repeated(spark, tmp_path, monkeypatch):
+    table, partials = (str(tmp_path / name) for name in ("table", "partials"))
+    land(spark, str(tmp_path), clock_rows(3, 8), 1)
+    add_new_days(spark, table, partials, CPU_MEM)
+    land(spark, str(tmp_path), clock_rows(5, 8), 2)
+    import hostvigil.plans.incremental as incremental
+
+    def failing(landed, rule):
+        stop = F.raise_error(F.lit("lost")).cast("bigint")
+        return day_partials(landed, rule).withColumn("left_rows", stop)
+
+    monkeypatch.setattr(incremental, "day_partials", failing)
+    with pytest.raises(Exception, match="lost"):
+        add_new_days(spark, table, partials, CPU_MEM)
+    monkeypatch.undo()
+    assert read_partials(spark, partials, CPU_MEM).select("ingest_date").distinct().count() == 1
+    assert add_new_days(spark, table, partials, CPU_MEM) == [date(2024, 5, 2)]
+
+
+def test_a_job_that_keeps_partials(spark, tmp_path):
+    table, partials, out = (str(tmp_path / name) for name in ("table", "partials", "out"))
+    args = ["--cpu_csv", table, "--mem_csv", table, "--format", "landing", "--out", out,
+            "--partials", partials]
+    seen = []
+    for day, seed in ((1, 3), (2, 5)):
+        seen += clock_rows(seed, 20)
+        land(spark, str(tmp_path), clock_rows(seed, 20), day)
+        assert alerting.main(CPU_MEM, "cpu", "mem", args) == [date(2024, 5, day)]
+        want = alerts(*pair(spark.createDataFrame(seen, WIDE), CPU_MEM), CPU_MEM)
+        assert rows_of(read_alerts(spark, out, CPU_MEM_ALERT)) == rows_of(want)
+    for wrong in (["--distinct"], ["--since", "2024-05-01"], ["--full_counts"]):
+        with pytest.raises(SystemExit):
+            alerting.main(CPU_MEM, "cpu", "mem", [*args, *wrong])
+
+
+# Late readings and heartbeats
+
+
+def stamped_rows(offsets, server="s"):
+    return [
+        (START + timedelta(seconds=s), server, float(s % 97), 80.0, 100.0 * s, 0.0, 1300.0)
+        for s in offsets
+    ]
+
+
+def as_stream(spark, folder, rule):
+    return pair(spark.readStream.schema(STAMPED).parquet(folder), rule)
+
+
+@RULES
+def test_late_readings_are_set_aside_and_corrected(spark, tmp_path, rule):
+    inbox, beats, out, check = (str(tmp_path / x) for x in ("inbox", "beats", "out", "check"))
+    on_time = stamped_rows([*range(0, 90, 5), 10]) + stamped_rows(range(0, 60, 10), "quiet")
+    # Late ones in windows that were emitted, in one that never was, and without a partner's value.
+    late = stamped_rows([12, 12, 47]) + stamped_rows([33], "new") + stamped_rows([-3600], "early")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, STAMPED).coalesce(1).write.mode("append").parquet(inbox)
+
+    arrive(on_time)
+    result = windows_and_late(*as_stream(spark, inbox, rule), rule, beats=open_beats(spark, beats))
+    start = lambda: start_alerts(
+        result, out, check, available_now=True, partition_by=("kind",))
+    drain_and_close(spark, start, beats)
+    everything = spark.createDataFrame(on_time, STAMPED)
+    emitted = read_windows(spark, out, result.schema)
+    want = label_windows(metric_windows(*pair(everything, rule), rule), rule)
+    assert rows_of(emitted) == rows_of(want) and emitted.count() > 8
+
+    arrive(late)
+    start().awaitTermination()
+    aside = read_late(spark, out, result.schema)
+    assert rows_of(aside) == Counter(
+        (side.topic, row[1], row[0]) for row in late for side in (rule.left, rule.right))
+    everything = spark.createDataFrame(on_time + late, STAMPED)
+    want = label_windows(metric_windows(*pair(everything, rule), rule), rule)
+    emitted = read_windows(spark, out, result.schema)
+    assert rows_of(emitted) != rows_of(want)
+    touched = touched_windows(aside, rule)
+    fixed = corrected_windows(aside, *pair(everything, rule), rule)
+    assert {(r.server_id, r.window_start) for r in fixed.collect()} <= {
+        tuple(r) for r in touched.collect()}
+    assert fixed.count() == touched.count() < want.count()  # and no other windows
+    corrections = str(tmp_path / "corrections")
+    for run in (0, 1):  # a correction that is repeated changes nothing
+        add_corrections(fixed, corrections, run)
+        got = latest_windows(emitted, spark.read.parquet(corrections))
+        assert rows_of(got) == rows_of(want)
+
+
+def test_the_latest_correction_counts(spark):
+    schema = "server_id string, window_start int, avg double"
+    emitted = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], schema)
+    runs = spark.createDataFrame(
+        [("a", 1, 5.0, 0), ("a", 1, 4.0, 2), ("a", 1, 6.0, 1), ("c", 1, 9.0, 0)],
+        f"{schema}, run long")
+    assert rows_of(latest_windows(emitted, runs)) == Counter(
+        [("a", 1, 4.0), ("b", 1, 2.0), ("c", 1, 9.0)])
+
+
+def test_a_silent_topic_closes_its_windows(spark, tmp_path):
+    """Memory readings end while CPU readings go on: without beats nothing more would close."""
+    left, right, beats, out, check = (
+        str(tmp_path / x) for x in ("left", "right", "beats", "out", "check"))
+    wide = spark.createDataFrame(stamped_rows(range(0, 60, 5)), STAMPED)
+    split_topic(wide, "topic-cpu").write.parquet(left)
+    split_topic(wide, "topic-mem").write.parquet(right)
+    sides = [spark.readStream.schema(spark.read.parquet(x).schema).parquet(x) for x in (left, right)]
+    result = continuous_alerts(*sides, CPU_MEM, beats=open_beats(spark, beats))
+    start = lambda: start_alerts(result, out, check, available_now=True)
+    start().awaitTermination()
+    more = spark.createDataFrame(stamped_rows([7200]), STAMPED)
+    split_topic(more, "topic-cpu").write.mode("append").parquet(left)
+    start().awaitTermination()
+    want = rows_of(alerts(*pair(wide, CPU_MEM), CPU_MEM))
+    assert sum(rows_of(spark.read.parquet(out)).values()) < sum(want.values())
+    beat(spark, beats, idle_seconds=3600)
+    start().awaitTermination()
+    assert rows_of(spark.read.parquet(out)) == want
+
+
+def test_beats_count_for_nothing(spark, tmp_path):
+    """Even at a time, and under a server name, that readings have on one side."""
+    inbox, beats, out, check = (str(tmp_path / x) for x in ("inbox", "beats", "out", "check"))
+    rows = stamped_rows([0, 5], "")
+    spark.createDataFrame(rows, STAMPED).write.parquet(inbox)
+    opened = open_beats(spark, beats)
+    spark.createDataFrame([(START,), (START + timedelta(seconds=7),)], "ts timestamp").write.mode(
+        "append").parquet(beats)
+    result = continuous_alerts(*as_stream(spark, inbox, CPU_MEM), CPU_MEM, beats=opened)
+    drain_and_close(
+        spark, lambda: start_alerts(result, out, check, available_now=True), beats)
+    wide = spark.createDataFrame(rows, STAMPED)
+    assert rows_of(spark.read.parquet(out)) == rows_of(alerts(*pair(wide, CPU_MEM), CPU_MEM))
+
+
+def test_silence_is_that_of_the_source_silent_longest():
+    def report(batch, *rows):
+        sources = [SimpleNamespace(description=f"FileSource[/{'beats' if i == 2 else 'in'}]",
+                                   numInputRows=n) for i, n in enumerate(rows)]
+        return SimpleNamespace(batchId=batch, sources=sources)
+
+    watch = SilenceWatch(0.0, "/beats")
+    assert watch.look([], 3.0) == 0
+    assert watch.look([report(0, 5, 5, 0)], 10.0) == 0
+    assert watch.look([report(0, 5, 5, 0), report(1, 5, 0, 1)], 14.0) == 4
+    assert watch.look([report(1, 5, 0, 1)], 20.0) == 10  # an old report is no news
+    assert watch.look([report(2, 0, 1, 0)], 22.0) == 8
+
+
+# Counts
+
+
+def test_more_batches_than_reports_are_kept_are_counted(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    spark.range(0, 130, 1, 130).selectExpr(
+        "'topic-cpu' AS topic", "binary('{}') AS value").write.parquet(inbox)
+    stream = spark.readStream.schema("topic string, value binary").option(
+        "maxFilesPerTrigger", 1).parquet(inbox)
+    told = []
+    counter = MessageCounter(every=50, on_count=told.append)
+    spark.streams.addListener(counter)
+    try:
+        query = stream.writeStream.format("noop").option(
+            "checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        assert counter.wait(query) == 130
+        assert len(counter.by_batch) > 100
+        assert len(told) == 2 and told[0] >= 50 and told[1] >= 100
+    finally:
+        spark.streams.removeListener(counter)
+
+
+# Publishing
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "out")
+    replace_table(spark.range(3), path)
+    failing = spark.range(9).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(failing, path)
+    assert spark.read.parquet(path).count() == 3
+    replace_table(spark.read.parquet(path).filter("id > 0"), path)  # even from itself
+    assert spark.read.parquet(path).count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    write_table(spark.range(1), str(tmp_path / "a"), "csv")
+    file = tmp_path / "file"
+    file.write_text("x")
+    with pytest.raises(FileExistsError):
+        replace_table(spark.range(1), str(file))
+    assert file.read_text() == "x"

@@ -29,12 +29,16 @@ def test_published_alerts_are_written_by_several_tasks(spark):
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
     try:
-        found = QUERIES["alerts_single_file"](spark, FOLDER)
+        found = QUERIES["alerts_published"](spark, FOLDER)
     finally:
         spark.conf.set(name, before)
     assert len(found.inputFiles()) > 1
 
 
+def test_a_single_file_is_one_file(spark):
+    assert len(QUERIES["alerts_single_file"](spark, FOLDER).inputFiles()) == 1
+
+
 def test_every_query_has_sql():
     assert QUERIES.keys() <= registry.oracle_sql().keys() <= registry.queries().keys()
 

@@ -71,8 +71,34 @@ def test_skip_first_record(spark, tmp_path):
 
     empty = write(tmp_path / "empty.csv", HEADER)
     assert read_wide_csv(spark, empty, skip_first_record=True).count() == 0
-    with pytest.raises(ValueError):
-        read_wide_csv(spark, str(tmp_path), skip_first_record=True)
+
+
+@pytest.mark.parametrize("most_bytes", ["134217728", "150"])
+def test_skip_first_record_of_every_file(spark, tmp_path, most_bytes):
+    files = {
+        "a.csv": [HEADER, line("20:00:00"), line("20:00:01"), line("20:00:02")],
+        "b.csv": [line("20:00:03"), HEADER, line("20:00:04")],
+        "headers.csv": [HEADER] * 9,
+        # The first record lies beyond the first blocks.
+        "late.csv": [*["", HEADER] * 9, line("20:00:05"), line("20:00:05"), line("20:00:06")],
+        "one.csv": ["   ", line("20:00:07")],
+        "bad.csv": ["20:00:08,server_1", line("20:00:09")],
+    }
+    for name, lines in files.items():
+        write(tmp_path / name, *lines)
+    split = {"spark.sql.files.maxPartitionBytes": most_bytes, "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in split}
+    try:
+        for key, value in split.items():
+            spark.conf.set(key, value)
+        checked = read_wide_csv(spark, str(tmp_path), skip_first_record=True)
+        assert times(usable(checked)) == [
+            f"20:00:0{s}" for s in (1, 2, 4, 5, 6, 9)]
+        assert quarantined(checked).count() == 0  # a first record goes whatever it holds
+        assert checked.columns == [*WIDE.names, "problem", "raw"]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_bad_lines_are_quarantined(spark, tmp_path):
@@ -103,6 +129,21 @@ def test_strict_reading_stops_at_bad_lines(spark, tmp_path, bad):
     assert usable(read_wide_csv(spark, good, strict=True)).count() == 1
 
 
+def test_records_that_hold_more_than_an_object(spark):
+    """What follows an object is found however it is spaced, and nested objects are no reason to
+    refuse one."""
+    good = ['{"ts":"a"}', ' {"ts":"a"} ', '{"x":{"y":1},"ts":"a"}', '{"x":[{"y":1} , 2],"ts":"a"}',
+            '{"ts":"a","x":"},\\"b\\":1"}']
+    bad = ['{"ts":"a"},"b":1', '{"ts":"a"} , "b":1', '{"ts":"a"}\n,\n"b":1', '{"ts":"a"},{"ts":"a"}',
+           '{"ts":"a"}}', '{"ts":"a"},', '[{"ts":"a"}]', '"ts"', "", "{", "null", None]
+    records = [("topic-cpu", bytearray(x.encode()) if x is not None else None)
+               for x in [*good, *bad]]
+    df = from_records(spark.createDataFrame(records, "topic string, value binary"))
+    rows = df.collect()
+    assert [r.problem for r in rows] == [None] * len(good) + ["undecodable"] * len(bad)
+    assert [r.ts for r in rows] == ["a"] * len(good) + [None] * len(bad)
+
+
 def test_bad_times_are_marked(spark):
     df = spark.createDataFrame([("20:53:00",), ("8:05:00",), (None,)], "ts string")
     counts = {r.problem: r.n for r in count_problems(mark_bad_times(df)).collect()}

@@ -13,7 +13,7 @@ from hostvigil.plans.alerts import alerts
 from hostvigil.schemas import TOPICS, WIDE
 from hostvigil.sources.landed import read_landed_topic
 from hostvigil.streaming.continuous import continuous_alerts, start_alerts
-from hostvigil.streaming.landing import landed_rows, start_landing
+from hostvigil.streaming.landing import MessageCounter, start_landing
 
 START = datetime(2024, 1, 1, 20, 53)
 
@@ -34,9 +34,12 @@ def test_landing_equals_the_batch_split_and_lands_once(spark, tmp_path):
 
     def drain():
         stream = spark.readStream.schema("topic string, value binary").parquet(inbox)
-        query = start_landing(stream, table, check)
-        query.awaitTermination()
-        return landed_rows(query)
+        counter = MessageCounter()
+        spark.streams.addListener(counter)
+        try:
+            return counter.wait(start_landing(stream, table, check))
+        finally:
+            spark.streams.removeListener(counter)
 
     assert drain() == 41
     for topic in TOPICS:
