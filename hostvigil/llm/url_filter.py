@@ -1,11 +1,18 @@
 """URL verdicts: rules first, else a naive Bayes model over the words that hosts and paths hide.
 
 Concatenated names are split into words by Viterbi under unigram frequencies counted from the
-visible words of all pages and from names in hosts and paths that are written apart (``a-b``). A
-run of letters that pages do not show often enough is no word if it reads as other words or holds
-a spam word. The words of hosts and paths are then scored by multinomial naive Bayes. It learns
-from all urls, those holding a word of a short list of spam words as blocked and the others as
-allowed; rules judge places rather than words, so it does not learn from them.
+visible words of all pages, from names in hosts and paths that are written apart (``a-b``) and from
+labels that many hosts share (``www``). What pages show of urls and of their own host's name is not counted, or every name would be a word. A
+counted word that other words spell out must earn its place: it stays only if an entry of its own
+shortens the description of all its occurrences by more than its letters cost.
+
+The words of hosts and paths are then scored by multinomial naive Bayes; a url counts each of its
+words once, however long it is. It learns from three teachers. A page is blocked if its visible text
+holds words of a short list of spam words far more often than all pages do, or its url holds one. A
+rule's verdict counts for a host that it judges in all of its urls, without the place that the rule
+names, since the model is for other places. All other pages are allowed. So words that only go with
+spam come to count against a url as well. Words that a fifth of all hosts have in their urls
+(``www``, ``html``) tell places apart, not names, and are not scored.
 
 Words rarer than ``rarest`` among all words are not in the unigram table, so it has at most
 1/rarest entries however many pages there are. Spam words are added, at that frequency if they are
@@ -25,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LONGEST = 24
+#: What an entry of the unigram table costs per letter, in the unit of the words' costs.
+LETTER_COST = math.log(27)
 #: (verdict, host, path): a rule holds for its host and subdomains and for paths that begin so.
 RULES = (
     ("allow", "com", "/"),
@@ -62,21 +70,35 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def letter_runs(text: Column) -> Column:
-    """The runs of letters in a lower-case text, but for the longest."""
-    return F.filter(F.split(text, r"[^a-z]+", -1), lambda w: (w != "") & (F.length(w) <= LONGEST))
+    """The runs of letters in a lower-case text."""
+    return F.filter(F.split(text, r"[^a-z]+", -1), lambda w: w != "")
+
+
+def shown_words(url: Column, html: Column) -> Column:
+    """The words that a page shows, but for urls, host names and the labels of its own host."""
+    shown = F.regexp_replace(F.lower(F.coalesce(html, F.lit(""))), r"<[^<>]*>", " ")
+    named = F.regexp_replace(shown, r"[^\s<>]*(://|[a-z0-9-]\.[a-z]{2,})[^\s<>]*", " ")
+    own = F.split(host_of(url), r"[^a-z]+", -1)
+    return F.filter(letter_runs(named), lambda w: ~F.array_contains(own, w))
 
 
 def word_counts(pages: DataFrame, spam_words: Sequence[str], rarest: float) -> dict[str, int]:
     """How often words occur in what pages (url, html) show and in names written apart.
 
-    For words not rarer than ``rarest``, and for spam words, which count as that at least.
+    For words not rarer than ``rarest``, and for spam words, which count as that at least. A word
+    found in names only is left out if shown words or spam words read it. Labels that a hundredth
+    of all hosts have, which can be a hundred times the labels of a host at most, are words.
     """
-    shown = F.regexp_replace(F.lower(F.coalesce(F.col("html"), F.lit(""))), r"<[^<>]*>", " ")
-    names = F.split(F.lower(F.concat_ws("/", host_of(F.col("url")), path_of(F.col("url")))), "[./]")
+    url, html = F.col("url"), F.col("html")
+    names = F.split(F.lower(F.concat_ws("/", host_of(url), path_of(url))), "[./]")
     named = F.array_join(F.filter(names, lambda name: name.rlike("[-_+]")), " ")
-    found = pages.select(F.explode(letter_runs(shown)).alias("word"), F.lit(1).alias("shown"))
+    found = pages.select(F.explode(shown_words(url, html)).alias("word"), F.lit(1).alias("shown"))
     found = found.unionByName(
         pages.select(F.explode(letter_runs(named)).alias("word"), F.lit(0).alias("shown")))
+    hosts = pages.select(host_of(url).alias("host")).distinct()
+    labels = hosts.select(F.explode(F.array_distinct(F.split("host", "[.]"))).alias("label"))
+    shared = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("label").rlike("^[a-z]+$") & (F.col("n") * 100 >= F.lit(hosts.count())))
     counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("shown").alias("shown"))
     floor = rarest * (counted.agg(F.sum("n")).first()[0] or 0)
     rows = counted.filter((F.col("n") >= floor) | F.col("word").isin(*spam_words)).collect()
@@ -91,7 +113,21 @@ def word_counts(pages: DataFrame, spam_words: Sequence[str], rarest: float) -> d
             parts = segmenter.split(r["word"])
             if any(p[0] == "?" for p in parts) and spam.isdisjoint(parts):
                 counts[r["word"]] = r["n"]
-    return counts
+    for r in shared.collect():
+        counts[r["label"]] = max(r["n"], counts.get(r["label"], 0))
+    return earned(counts, spam)
+
+
+def earned(counts: dict[str, int], always: set[str]) -> dict[str, int]:
+    """The words whose own entries pay: ``n`` times what an entry saves over the best reading by
+    other words must exceed what its letters cost. Those of ``always`` stay."""
+    segmenter = Segmenter(counts)
+    kept = {}
+    for word, n in counts.items():
+        own = segmenter.costs[word]
+        if word in always or n * (segmenter.cost_without(word) - own) > LETTER_COST * len(word):
+            kept[word] = n
+    return kept
 
 
 class Segmenter:
@@ -102,18 +138,32 @@ class Segmenter:
         self.costs = {w: -math.log(n / total) for w, n in counts.items()}
         #: Of a letter that belongs to no known word; dearer than any word.
         self.unknown = math.log(total) + math.log(10)
+        self.lengths = sorted({len(w) for w in self.costs})
         self.seen: dict[str, list[str]] = {}
 
-    def split(self, name: str) -> list[str]:
-        """The cheapest split of a run of letters; unread letters in a row become ``?n``."""
+    def best(self, name: str, barred: str | None = None) -> list[tuple[float, int, bool]]:
+        """Per end the cost of the cheapest split up to there, its last part's begin, and whether
+        that part is a word. ``barred`` is taken for no word."""
         best: list[tuple[float, int, bool]] = [(0.0, 0, True)]
         for end in range(1, len(name) + 1):
             options = [(best[end - 1][0] + self.unknown, end - 1, False)]
-            for begin in range(max(0, end - LONGEST), end):
-                cost = self.costs.get(name[begin:end])
-                if cost is not None:
-                    options.append((best[begin][0] + cost, begin, True))
+            for length in self.lengths:
+                if length > end:
+                    break
+                word = name[end - length : end]
+                cost = self.costs.get(word)
+                if cost is not None and word != barred:
+                    options.append((best[end - length][0] + cost, end - length, True))
             best.append(min(options))
+        return best
+
+    def cost_without(self, word: str) -> float:
+        """What a word costs if other words have to spell it."""
+        return self.best(word, barred=word)[-1][0]
+
+    def split(self, name: str) -> list[str]:
+        """The cheapest split of a run of letters; unread letters in a row become ``?n``."""
+        best = self.best(name)
         parts, end, unread = [], len(name), 0
         while end:
             _, begin, known = best[end]
@@ -148,7 +198,7 @@ class Segmenter:
 
 
 def tokenised(parsed: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """The columns of ``parsed`` (page_id, host, path, verdict, rule) and its tokens."""
+    """The columns of ``parsed`` and the tokens of its second and third, host and path."""
     sent = parsed.sparkSession.sparkContext.broadcast(counts)  # 1/rarest entries and spam words
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,16 +211,17 @@ def tokenised(parsed: DataFrame, counts: dict[str, int]) -> DataFrame:
                 [*batch.schema.names, "tokens"],
             )
 
-    return parsed.mapInArrow(
-        tokenise,
-        "page_id long, host string, path string, verdict string, rule string, tokens array<string>",
-    )
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parsed.schema)
+    return parsed.mapInArrow(tokenise, f"{columns}, tokens array<string>")
 
 
 class Bayes:
-    """Multinomial naive Bayes for block against allow."""
+    """Multinomial naive Bayes for block against allow.
 
-    def __init__(self, rows: list, docs: dict[bool, int]):
+    Tokens of ``place`` are counted among all, but say nothing.
+    """
+
+    def __init__(self, rows: list, docs: dict[bool, int], place: frozenset[str] = frozenset()):
         block = {r["token"]: r["block"] for r in rows}
         allow = {r["token"]: r["allow"] for r in rows}
         of_block, of_allow = sum(block.values()), sum(allow.values())
@@ -178,13 +229,73 @@ class Bayes:
         self.odds = {
             t: math.log((block[t] + 1) / (of_block + size))
             - math.log((allow[t] + 1) / (of_allow + size))
-            for t in sorted(block)
+            for t in sorted(block.keys() - place)
         }
-        self.unseen = math.log((of_allow + size) / (of_block + size))
         self.prior = math.log((docs.get(True, 0) + 1) / (docs.get(False, 0) + 1))
 
     def score(self, tokens: list[str]) -> float:
-        return self.prior + sum(self.odds.get(t, self.unseen) for t in tokens)
+        """The log odds of block; tokens seen with neither label say nothing."""
+        return self.prior + sum(self.odds.get(t, 0.0) for t in sorted(set(tokens)))
+
+
+def beside_rule(host: Column, path: Column, rule: Column) -> tuple[Column, Column]:
+    """What a url holds besides the place of the rule that fits it; all of it without a rule."""
+    on = F.substring_index(rule, "/", 1)
+    begins = F.substring(rule, F.length(on) + 1, F.length(rule))
+    rest = F.substring(host, F.lit(1), F.length(host) - F.length(on))
+    left = F.substring(path, F.length(begins) + 1, F.length(path))
+    return F.coalesce(rest, host), F.coalesce(left, path)
+
+
+def teachable(pages: DataFrame, spam_words: Sequence[str]) -> DataFrame:
+    """Per page its host, what its url holds besides a rule's place, how many words and spam words
+    it shows, and the rules' verdict if they judge all urls of the host alike."""
+    spam = F.array(*map(F.lit, spam_words))
+    measured = pages.withColumn("shown", shown_words(F.col("url"), F.col("html"))).select(
+        "host", "rest", "left", "verdict", F.size("shown").alias("n_words"),
+        F.size(F.filter("shown", lambda w: F.array_contains(spam, w))).alias("n_spam"),
+    )
+    alike = measured.groupBy("host").agg(
+        F.min("verdict").alias("least"), F.max("verdict").alias("most"),
+        F.count_if(F.col("verdict").isNull()).alias("free"),
+    ).filter((F.col("least") == F.col("most")) & (F.col("free") == 0))
+    judged = alike.select(F.col("host").alias("of"), F.col("least").alias("taught"))
+    return measured.join(judged, F.col("host") == F.col("of"), "left").drop("of")
+
+
+def learnt(
+    texts: DataFrame, counts: dict[str, int], spam_words: Sequence[str], excess: float,
+    common: float,
+) -> Bayes:
+    """The model. What is collected is bounded as the unigram table is.
+
+    How likely either label is before any word is taken from urls without a rule.
+    """
+    pages = teachable(texts, spam_words)
+    totals = pages.agg(F.sum("n_spam").alias("s"), F.sum("n_words").alias("w"),
+                       F.count_distinct("host").alias("hosts"))
+    marked = F.array(*(F.lit(mark + word) for word in spam_words for mark in ("h:", "p:")))
+    shown = F.col("n_spam") * F.col("w") > excess * F.col("s") * F.col("n_words")
+    label = F.when(F.col("taught") == "block", True).when(F.col("taught") == "allow", False)
+    taught = tokenised(
+        pages.select("host", "rest", "left", "verdict", "taught", "n_words", "n_spam"), counts)
+    labelled = taught.crossJoin(F.broadcast(totals)).select(  # one row of sums
+        "host", "hosts", F.array_distinct("tokens").alias("tokens"),
+        F.coalesce(label, shown | F.arrays_overlap("tokens", marked), F.lit(False)).alias("spam"),
+        F.col("verdict").isNull().alias("open"),
+    )
+    rows = (
+        labelled.select("spam", "host", "hosts", F.explode("tokens").alias("token"))
+        .groupBy("token", "host", "hosts")
+        .agg(F.count_if("spam").alias("block"), F.count_if(~F.col("spam")).alias("allow"))
+        .groupBy("token", "hosts")
+        .agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"),
+             (F.count(F.lit(1)) > common * F.col("hosts")).alias("place"))
+        .collect()
+    )
+    per_label = {
+        r["spam"]: r["count"] for r in labelled.filter("open").groupBy("spam").count().collect()}
+    return Bayes(rows, per_label, frozenset(r["token"] for r in rows if r["place"]))
 
 
 def filter_urls(
@@ -192,38 +303,35 @@ def filter_urls(
     rules: Sequence[tuple[str, str, str]] = RULES,
     spam_words: Sequence[str] = SPAM_WORDS,
     rarest: float = 1e-5,
+    excess: float = 5.0,
+    common: float = 0.2,
 ) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, tokens, block_odds.
 
-    A url without ``://`` or a null one has an empty host and path and no tokens; like any url that
-    no rule fits, it gets the model's verdict: block if the log odds are above 0. Null ids stay
-    null, rows that repeat are judged each, no rows give no rows, and other columns than page_id,
-    url and html are not looked at.
+    ``excess`` is how many times more often than all pages a page must show spam words to be
+    blocked for it, ``common`` the share of hosts beyond which words are not scored. A url without
+    ``://`` or a null one has an empty host and path and no tokens; like any url that no rule fits,
+    it gets the model's verdict: block if the log odds are above 0. A null html shows nothing. Null ids stay null, rows that repeat are judged each, no rows
+    give no rows, and other columns than page_id, url and html are not looked at.
     """
     url = F.col("url").cast("string")
     host, path = host_of(url), path_of(url)
     found = rule_of(F.col("host"), F.col("path"), rules)
     parsed = (
         pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"),
-                     path.alias("path"))
+                     path.alias("path"), url.alias("url"),
+                     F.col("html").cast("string").alias("html"))
         .withColumn("found", found)
-        .select("page_id", "host", "path", "found.verdict", "found.rule")
+        .select("page_id", "host", "path", "found.verdict", "found.rule", "url", "html")
     )
-    texts = pages.select(url.alias("url"), F.col("html").cast("string").alias("html"))
-    counts = word_counts(texts, spam_words, rarest)
-    judged = tokenised(parsed, counts)
-    verdict = F.col("verdict")
-    marked = [mark + word for word in spam_words for mark in ("h:", "p:")]
-    learnt = judged.select(
-        F.arrays_overlap("tokens", F.array(*map(F.lit, marked))).alias("spam"), "tokens")
-    rows = (
-        learnt.select("spam", F.explode("tokens").alias("token")).groupBy("token").agg(
-            F.count_if("spam").alias("block"), F.count_if(~F.col("spam")).alias("allow"),
-        ).collect()  # bounded as the unigram table is
+    counts = word_counts(parsed.select("url", "html"), spam_words, rarest)
+    rest, left = beside_rule(F.col("host"), F.col("path"), F.col("rule"))
+    model = learnt(
+        parsed.select("host", rest.alias("rest"), left.alias("left"), "verdict", "url", "html"),
+        counts, spam_words, excess, common,
     )
-    per_label = {r["spam"]: r["count"] for r in learnt.groupBy("spam").count().collect()}
-    model = vars(Bayes(rows, per_label))
-    sent = pages.sparkSession.sparkContext.broadcast(model)
+    judged = tokenised(parsed.drop("url", "html"), counts)
+    sent = pages.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("double")
     def block_odds(tokens):
@@ -231,6 +339,7 @@ def filter_urls(
         model.__dict__.update(sent.value)
         return tokens.map(model.score).astype("float64")
 
+    verdict = F.col("verdict")
     return judged.withColumn("block_odds", block_odds("tokens")).select(
         "page_id", "host", "path", "rule",
         F.coalesce(verdict, F.when(F.col("block_odds") > 0, "block").otherwise("allow"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from pathlib import Path
@@ -116,7 +117,81 @@ def test_url_filter_keeps_rare_words(spark):
     assert found[245]["tokens"][0] == "h:casino"
     assert found[5]["verdict"] == found[205]["verdict"] == "allow"
     counts = url_filter.word_counts(pages, url_filter.SPAM_WORDS, 0.5)
-    assert set(counts) == set(url_filter.SPAM_WORDS)
+    # Of what a hundredth of all hosts share, their ending is the only label of letters.
+    assert set(counts) == {*url_filter.SPAM_WORDS, "org"}
+
+
+def plain_cost(counts, name, unknown, barred=None):
+    """The cheapest split of a name by trying all of them."""
+    total = sum(counts.values())
+    price = lambda part: (
+        -math.log(counts[part] / total) if part in counts and part != barred
+        else unknown if len(part) == 1 else math.inf)
+    best = math.inf
+    for cuts in range(2 ** max(0, len(name) - 1)):
+        parts, at = [], 0
+        for k in range(1, len(name) + 1):
+            if k == len(name) or cuts >> (k - 1) & 1:
+                parts.append(name[at:k])
+                at = k
+        one_by_one = math.inf if len(name) > 1 else price(name)
+        best = min(best, sum(map(price, parts)), one_by_one)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_viterbi_equals_all_splits(seed):
+    r = random.Random(seed)
+    counts = {"".join(r.choices("abc", k=r.randint(1, 4))): r.randint(1, 50) for _ in range(12)}
+    segmenter = url_filter.Segmenter(counts)
+    for _ in range(40):
+        name = "".join(r.choices("abcd", k=r.randint(1, 9)))
+        want = plain_cost(counts, name, segmenter.unknown)
+        assert math.isclose(segmenter.best(name)[-1][0], want)
+        assert math.isclose(
+            segmenter.cost_without(name), plain_cost(counts, name, segmenter.unknown, name))
+    kept = url_filter.earned(counts, set())
+    assert set(kept) == {
+        w for w, n in counts.items()
+        if n * (plain_cost(counts, w, segmenter.unknown, w) - segmenter.costs[w])
+        > math.log(27) * len(w)}
+
+
+def test_bayes_equals_counts_by_hand():
+    rows = [{"token": "a", "block": 3, "allow": 1}, {"token": "b", "block": 0, "allow": 4}]
+    model = url_filter.Bayes(rows, {True: 2, False: 6})
+    a = math.log((3 + 1) / (3 + 3)) - math.log((1 + 1) / (5 + 3))
+    b = math.log((0 + 1) / (3 + 3)) - math.log((4 + 1) / (5 + 3))
+    assert math.isclose(model.score(["a", "b", "a", "new"]), math.log(3 / 7) + a + b)
+    assert math.isclose(model.score([]), math.log(3 / 7))
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_names_are_segmented_whatever_pages_show(spark, copies):
+    """A page's own name does not become a word, in small and larger corpora, and words that go
+    with spam are learnt beyond the list."""
+    r = random.Random(9)
+    prose = "the house has a garden and some cheap pills a farm with bonus wins".split()
+    clean = lambda: " ".join(r.choices(prose[:6] + prose[8:], k=60))
+    rows = []
+    for i in range(30 * copies):
+        rows.append((f"http://farmhouse{i}.org/garden", f"<p>{clean()}</p>"))
+    own = "cheappillscasino"
+    rows += [(f"http://{own}.org/x", f"<p>{clean()} welcome to {own} and {own}.org http://{own}.org/")]
+    spam = "casino poker casino viagra pills casino"
+    rows += [(f"http://bonus{x}.org/{i}", f"<p>{spam}</p>") for i in range(3 * copies)
+             for x in ("wins", "farm")]
+    rows += [("http://bonuswins.org/new", "<p>the house</p>"), ("http://gardenfarm.org/", None)]
+    pages = spark.createDataFrame(
+        [(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    found = {x["page_id"]: x for x in url_filter.filter_urls(pages, rarest=1e-4).collect()}
+    by_url = {u: found[i] for i, (u, _) in enumerate(rows)}
+    assert by_url[f"http://{own}.org/x"]["tokens"][:3] == ["h:cheap", "h:pills", "h:casino"]
+    assert by_url[f"http://{own}.org/x"]["verdict"] == "block"
+    # No list word in the url, and nothing on the page: its name alone was learnt.
+    assert by_url["http://bonuswins.org/new"]["verdict"] == "block"
+    assert by_url["http://gardenfarm.org/"]["verdict"] == "allow"
+    assert all(v["verdict"] == "allow" for u, v in by_url.items() if "farmhouse" in u)
 
 
 def poured(budget, children):
