@@ -1,12 +1,13 @@
 """Quality rules over lines: boilerplate found by how many documents of a host share a line.
 
-Lines are normalised (lower case, digits as 0, blanks as one space) and hashed. Per host, the
-number of distinct documents with each hash is counted; documents with the same text count as
-one, so a page that was merely copied does not turn its own lines into boilerplate. Lines above
-the limits are taken out, and a document left with too few of its words is rejected as depleted.
-
-A document sends one row per distinct line, and counts are summed before the shuffle, so a line
-that every document shares costs a row per task. Only hashes are shuffled, never texts.
+Lines are normalised (lower case, a run of digits as 0, blanks as one space) and hashed. Per host,
+the number of distinct documents (ids) with each hash is counted. Lines above the limits are taken
+out, and a document left with too few of its words is rejected as depleted; a page that a host has
+under more ids than the limits allow is boilerplate as a whole, and so are its copies.
+
+Documents with the same text are counted once per host, so each different text sends one row per
+distinct line, weighted by its documents, and counts are summed before the shuffle: a line that
+every document shares costs a row per task. Only hashes are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ BLANK_CHARACTERS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def normalised(line: Column) -> Column:
-    """A line in lower case, every digit as 0, runs of blanks as one space, none at the ends."""
+    """A line in lower case, runs of digits as 0 and of blanks as one space, none at the ends."""
     spaced = F.regexp_replace(F.lower(line), BLANKS, " ")
-    return F.trim(F.translate(spaced, "123456789", "000000000"))
+    return F.trim(F.regexp_replace(spaced, "[0-9]+", "0"))
 
 
 def worded_lines(text: Column) -> Column:
@@ -73,7 +74,7 @@ def repeated_words(column: pd.Series) -> pd.Series:
 
 def line_counts(lines: DataFrame, per_host: DataFrame, most: int, share: float) -> DataFrame:
     """(host, line) of the lines in more than ``most`` documents and ``share`` of a host's."""
-    counted = lines.groupBy("host", "line").agg(F.sum("first_copy").alias("n_docs"))
+    counted = lines.groupBy("host", "line").agg(F.sum("n_docs").alias("n_docs"))
     return (
         counted.filter(F.col("n_docs") > most)
         .join(per_host, counted["host"].eqNullSafe(per_host["of_host"]))
@@ -95,12 +96,13 @@ def judge_documents(
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_line_words
     (words in lines that were taken out), base_failed, kept. A line goes if more than
-    ``most_docs`` distinct texts of its host and more than ``most_share`` of them hold it. A
+    ``most_docs`` distinct documents of its host and more than ``most_share`` of them hold it. A
     document is kept if it passes the base rules and at least ``least_left`` of its words stay.
 
     Null and empty texts have no words and fail. A null host is a host of its own. Rows that
-    repeat get the same row each; rows that share a doc_id but not the text are judged apart,
-    null ids too. No rows give no rows; other columns are not looked at.
+    repeat get the same row each and count once; rows that share a doc_id but not the text are
+    judged apart and count once per text, null ids too. No rows give no rows; other columns are
+    not looked at.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     chosen = docs.select(
@@ -108,19 +110,28 @@ def judge_documents(
         F.col("text").cast("string").alias("text"),
     ).withColumn("key", text_key(F.col("text")))
     hashed = chosen.select(
-        "host", "key",
+        "host", "key", "doc_id",
         F.transform(worded_lines(text), lambda line: F.struct(
             F.xxhash64(normalised(line)).alias("line"), F.size(words(line)).alias("words"),
         )).alias("lines"),
     )
-    # Rows with the same host and text count as one document; hashes only, kept for three uses.
-    copies = pinned(hashed.groupBy("host", "key").agg(F.first("lines").alias("lines")))
+    # Documents per text in two steps: the ids of a text with many copies meet nowhere.
+    ids = hashed.groupBy("host", "key", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    per_text = ids.groupBy(F.col("host").alias("t_host"), F.col("key").alias("t_key")).agg(
+        F.count(F.lit(1)).alias("n_docs"))
+    first = hashed.groupBy("host", "key").agg(F.first("lines").alias("lines"))
+    # Hashes only, kept for three uses.
+    copies = pinned(
+        first.join(per_text, F.col("host").eqNullSafe(F.col("t_host"))
+                   & (F.col("key") == F.col("t_key"))).select("host", "key", "n_docs", "lines")
+    )
     per_host = copies.groupBy(F.col("host").alias("of_host")).agg(
-        F.count(F.lit(1)).alias("host_docs")
+        F.sum("n_docs").alias("host_docs")
     )
     distinct = copies.select(
-        "host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line")
-    ).withColumn("first_copy", F.lit(1))
+        "host", "n_docs",
+        F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"),
+    )
     common = line_counts(distinct, per_host, most_docs, most_share)
     # Lines to take out are looked up once per distinct text of a host.
     spread = copies.select("host", "key", F.explode("lines").alias("x")).select(

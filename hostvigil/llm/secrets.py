@@ -4,18 +4,23 @@ Three kinds are reported on their pattern alone (``assign``, ``access``, ``hex``
 are reported only when their structure holds up:
 
 - ``pem``: a BEGIN/END block whose base64 decodes to DER with consistent nested lengths, or to an
-  OpenSSH key container;
+  OpenSSH key container; line ends may be written as ``\\n``;
 - ``ssh``: a base64 run that decodes to length-prefixed fields, the first naming a key type;
-- ``der``: a base64 or hex run that decodes to one DER sequence whose nested lengths add up;
-- ``jwt``: three base64url parts, the first a JSON object with ``alg``, the second a JSON object.
-
-Base spans carry what their value decodes to as ``evidence``, null if nothing is recognised.
+- ``der``: base64, on one line or wrapped over several, or hex of either case that decodes to one
+  DER sequence whose nested lengths add up; base64 may be glued to a path before it;
+- ``jwt``: three base64url parts, the first a JSON object with ``alg`` other than ``none``, the
+  second a JSON object, the third a signature.
+
+Base spans carry what their value decodes to as ``evidence``, null if nothing is recognised: a
+digest or a random number has no structure that could confirm it. A text is scanned in time that
+grows with its length, whatever it holds.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -29,9 +34,6 @@ KINDS = ("assign", "access", "hex", "pem", "ssh", "der", "jwt")
 BASE = KINDS[:3]
 SPAN = "struct<kind:string,start:int,end:int,evidence:string>"
 SCHEMA = f"doc_id long, spans array<{SPAN}>"
-#: DER is nested a few levels deep in every key format.
-DEEPEST = 32
-
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.IGNORECASE | re.ASCII,
@@ -40,11 +42,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # Runs are matched whole, so asking for 24 at once finds what matching any run and dropping
 # shorter ones would.
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----", re.ASCII
+MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]+)-----")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,-]*", re.ASCII)
+UPPER_HEX = re.compile(r"[0-9A-F]{32,}")
+# A run goes on over a line end if what stands before it is long enough to be a wrapped line.
+RUN = re.compile(r"(?:[A-Za-z0-9+/]{16,}\r?\n[ \t]*)*[A-Za-z0-9+/]{16,}={0,2}")
+LINE_RUN = re.compile(r"[A-Za-z0-9+/]{24,}={0,2}")
+JWT = re.compile(
+    r"(?<![A-Za-z0-9_-])(e[w-z0-7][A-Za-z0-9_-]*)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)"
 )
-RUN = re.compile(r"[A-Za-z0-9+/]{24,}={0,2}")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
 
 def unbase64(text: str, url: bool = False) -> bytes | None:
@@ -60,34 +66,64 @@ def unbase64(text: str, url: bool = False) -> bytes | None:
         return None
 
 
-def der_fits(data: bytes, depth: int = 0) -> bool:
-    """Whether the bytes are DER elements one after another, constructed ones likewise inside."""
-    at = 0
-    while at < len(data):
-        if at + 2 > len(data) or data[at] == 0:
-            return False
-        constructed, size, at = data[at] & 0x20, data[at + 1], at + 2
-        if size & 0x80:
-            octets = size & 0x7F
-            if not 1 <= octets <= 4 or at + octets > len(data):
-                return False
-            size, at = int.from_bytes(data[at : at + octets], "big"), at + octets
-        if at + size > len(data):
-            return False
-        if constructed and (depth >= DEEPEST or not der_fits(data[at : at + size], depth + 1)):
+def der_element(data: bytes, at: int) -> tuple[int, int] | None:
+    """Where the content of the DER element at a place begins and ends; None if it is none."""
+    if at + 2 > len(data) or data[at] == 0:
+        return None
+    size, at = data[at + 1], at + 2
+    if size & 0x80:
+        octets = size & 0x7F
+        if not 1 <= octets <= 4 or at + octets > len(data):
+            return None
+        size, at = int.from_bytes(data[at : at + octets], "big"), at + octets
+    return (at, at + size) if at + size <= len(data) else None
+
+
+def der_fits(data: bytes, at: int = 0, end: int | None = None) -> bool:
+    """Whether the bytes are DER elements one after another, constructed ones likewise inside.
+
+    Every element is looked at once, however deep it lies.
+    """
+    ends = [len(data) if end is None else end]
+    while ends:
+        if at == ends[-1]:
+            ends.pop()
+            continue
+        found = der_element(data, at)
+        if found is None or found[1] > ends[-1]:
             return False
-        at += size
+        if data[at] & 0x20:
+            ends.append(found[1])
+            at = found[0]
+        else:
+            at = found[1]
     return True
 
 
-def is_der_key(data: bytes) -> bool:
-    """One DER sequence of at least two elements that fills the bytes."""
-    if len(data) < 16 or data[0] != 0x30 or not der_fits(data):
+def is_der_key(data: bytes, at: int = 0) -> bool:
+    """One DER sequence that fills the bytes from a place on."""
+    if len(data) - at < 16 or data[at] != 0x30:
         return False
-    size = data[1]
-    header = 2 + (size & 0x7F if size & 0x80 else 0)
-    whole = int.from_bytes(data[2:header], "big") if size & 0x80 else size
-    return header + whole == len(data)
+    found = der_element(data, at)
+    return found is not None and found[1] == len(data) and der_fits(data, *found)
+
+
+def der_start(run: str) -> int | None:
+    """Where in a base64 run a DER sequence begins that ends with it.
+
+    At the run's begin or behind a character that paths hold as well. A run is decoded once per
+    alignment, and a sequence whose length does not reach the end is given up at its first bytes.
+    """
+    body = run.rstrip("=")
+    decoded: dict[int, bytes] = {}
+    starts = [m.end() for m in re.finditer(r"\A(?=M)|[/+](?=M)", body)]
+    for start in starts:
+        phase = start % 4
+        if phase not in decoded:
+            decoded[phase] = unbase64(body[phase:]) or b""
+        if decoded[phase] and is_der_key(decoded[phase], (start - phase) // 4 * 3):
+            return start
+    return None
 
 
 def ssh_key_type(data: bytes) -> str | None:
@@ -117,22 +153,49 @@ def json_object(text: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+def signed_token(match: re.Match) -> str | None:
+    """The algorithm of a signed token; None if the parts are no token, or it is not signed."""
+    alg = (json_object(match[1]) or {}).get("alg")
+    if not isinstance(alg, str) or alg.lower() == "none" or json_object(match[2]) is None:
+        return None
+    return alg
+
+
 def evidence(value: str) -> str | None:
     """What a value decodes to, if anything is recognised."""
-    if re.fullmatch(r"(?:[0-9a-f]{2}){12,}|(?:[0-9A-F]{2}){12,}", value):
-        data = bytes.fromhex(value)
-        if is_der_key(data):
-            return "der"
-        return f"hex{len(data)}" if len(data) in (16, 20, 24, 28, 32, 48, 64) else None
-    if (jwt := JWT.fullmatch(value)) and (alg := (json_object(jwt[1]) or {}).get("alg")):
+    if re.fullmatch(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}", value):
+        return "der" if is_der_key(bytes.fromhex(value)) else None
+    if (jwt := JWT.fullmatch(value)) and (alg := signed_token(jwt)):
         return f"jwt {alg}"
     if len(value) >= 24 and (data := unbase64(value)):
-        if is_der_key(data):
-            return "der"
-        return ssh_key_type(data)
+        return "der" if is_der_key(data) else ssh_key_type(data)
     return None
 
 
+def pem_blocks(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, content) of the key blocks: an END mark and the last BEGIN mark before it.
+
+    Marks are found in one pass and blocks do not overlap.
+    """
+    blocks, opened = [], None
+    for mark in MARK.finditer(text):
+        if mark[1] == "BEGIN":
+            opened = mark
+            continue
+        if opened is not None and opened[2] == mark[2]:
+            body = text[opened.end() : mark.start()]
+            body = body.replace("\\r", "\n").replace("\\n", "\n")
+            if PEM_BODY.fullmatch(body):
+                lines = (x for x in re.split(r"[\r\n]+", body) if ":" not in x)
+                data = unbase64("".join("".join(lines).split())) or b""
+                if data.startswith(b"openssh-key-v1\0"):
+                    blocks.append((opened.start(), mark.end(), "openssh"))
+                elif data and data[0] == 0x30 and der_fits(data):
+                    blocks.append((opened.start(), mark.end(), "der"))
+        opened = None
+    return blocks
+
+
 def find_secrets(text: str | None) -> list[tuple[str, int, int, str | None]]:
     """Spans (kind, start, end, evidence) by start, then kind; ends are exclusive."""
     if not text:
@@ -144,32 +207,40 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int, str | None]]:
         spans.append(("hex", *m.span(), found))
         if found == "der":
             spans.append(("der", *m.span(), found))
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = "".join(x for x in re.split(r"[\r\n]+", m[2]) if ":" not in x)
-            data = unbase64("".join(body.split())) or b""
-            if data.startswith(b"openssh-key-v1\0"):
-                spans.append(("pem", *m.span(), "openssh"))
-            elif data and data[0] == 0x30 and der_fits(data):
-                spans.append(("pem", *m.span(), "der"))
-    blocks = [(a, b) for kind, a, b, _ in spans if kind == "pem"]
+    spans += [("der", *m.span(), "der") for m in UPPER_HEX.finditer(text) if evidence(m[0]) == "der"]
+    blocks = pem_blocks(text) if "-----BEGIN " in text else []
+    spans += [("pem", *block) for block in blocks]
+    begins = [a for a, _, _ in blocks]
+
+    def in_block(at: int) -> bool:
+        k = bisect.bisect_right(begins, at) - 1
+        return k >= 0 and at < blocks[k][1]
+
     for m in RUN.finditer(text):
-        data = None
-        if any(a <= m.start() < b for a, b in blocks):
-            continue
-        if m[0].startswith("AAAA"):
-            if (data := unbase64(m[0])) and (kind := ssh_key_type(data)):
-                spans.append(("ssh", *m.span(), kind))
-        elif m[0][0] == "M" and (data := unbase64(m[0])) and is_der_key(data):
-            spans.append(("der", *m.span(), "der"))
-    if "eyJ" in text:
-        for m in JWT.finditer(text):
-            header = json_object(m[1])
-            if header and isinstance(header.get("alg"), str) and json_object(m[2]) is not None:
-                spans.append(("jwt", *m.span(), f"jwt {header['alg']}"))
+        if not in_block(m.start()):
+            spans += encoded_keys(m[0], m.start())
+    for m in JWT.finditer(text):
+        if alg := signed_token(m):
+            spans.append(("jwt", *m.span(), f"jwt {alg}"))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def encoded_keys(run: str, at: int) -> list[tuple[str, int, int, str]]:
+    """Keys in a base64 run that begins at a place: the whole of it, or else its lines."""
+    if "\n" in run:
+        joined = "".join(run.split())
+        start = der_start(joined)
+        if start is not None and start < len(run.split("\n", 1)[0]):
+            return [("der", at + start, at + len(run), "der")]
+    spans = []
+    for m in LINE_RUN.finditer(run):
+        if m[0].startswith("AAAA") and (data := unbase64(m[0])) and (kind := ssh_key_type(data)):
+            spans.append(("ssh", at + m.start(), at + m.end(), kind))
+        elif (start := der_start(m[0])) is not None:
+            spans.append(("der", at + m.start() + start, at + m.end(), "der"))
+    return spans
+
+
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id and its spans, counted in code points.
 
@@ -213,7 +284,8 @@ def redact(text: str | None) -> str | None:
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets in ``text`` replaced and ``n_chars``, if there, counted anew.
+    """``docs`` with secrets in ``text`` replaced and ``n_chars``, if there, counted anew where
+    something was replaced.
 
     Every row stays, texts without secrets as they are (null and empty ones too), and all
     columns, whatever their names.
@@ -223,8 +295,15 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     def redacted(texts):
         return texts.map(redact, na_action="ignore").astype(object)
 
-    out = docs.withColumn("text", redacted(F.col("text")))
+    new = "redacted"
+    while new in docs.columns:
+        new += "_"
+    out = docs.withColumn(new, redacted(F.col("text")))
+    columns = {"text": F.col(new)}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out
+        changed = ~F.col("text").eqNullSafe(F.col(new))
+        columns["n_chars"] = F.when(
+            changed, F.length(new).cast(docs.schema["n_chars"].dataType)
+        ).otherwise(F.col("n_chars"))
+    return out.select(*(columns[c].alias(c) if c in columns else F.col(f"`{c}`")
+                        for c in docs.columns))

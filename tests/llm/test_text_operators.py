@@ -7,6 +7,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -308,16 +309,20 @@ def test_quality_lines(spark, docs, texts):
 
 
 def test_common_lines_deplete(spark):
-    """A line of one host's documents goes there only, and copies of one text count once."""
+    """A line of one host's documents goes there only; copies count as documents, repeated rows
+    do not."""
     line = "Share this page 12 " + " ".join(f"menu{i}" for i in range(60))
     own = [" ".join(f"own{i}x{j}" for j in range(70)) for i in range(40)]
     rows = [(i, f"{line.replace('12', str(i))}\n" + (own[i] if i % 2 else "short"), "a")
             for i in range(40)]
     rows += [(100 + i, rows[0][1], "b") for i in range(40)]
+    rows += [(200, rows[1][1], "c")] * 40 + [(300 + i, rows[1][1], "d") for i in range(20)]
+    rows += [(None, rows[1][1], "e")] * 40
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r["doc_id"]: r["kept"] for r in quality_lines.judge_documents(docs).collect()}
     assert all(kept[i] == bool(i % 2) for i in range(40))
-    assert all(kept[100 + i] for i in range(40))
+    assert not any(kept[100 + i] for i in range(40))
+    assert kept[200] and kept[None] and all(kept[300 + i] for i in range(20))
 
 
 def der(tag: int, body: bytes) -> bytes:
@@ -349,6 +354,99 @@ def test_secrets(spark, docs, texts):
     assert Counter(secrets.redact_secrets(docs).collect()) == Counter(docs.collect())
 
 
+def base_secrets(text):
+    out = []
+    for m in re.finditer(
+        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        text,
+    ):
+        if len(m[2]) >= 6:
+            out.append(("assign", *m.span()))
+    for kind, pattern, least in (("access", r"AKIA[A-Z0-9]+", 20), ("hex", r"[0-9a-f]+", 24)):
+        out += [(kind, *m.span()) for m in re.finditer(pattern, text) if len(m[0]) >= least]
+    order = ("assign", "access", "hex")
+    return sorted(out, key=lambda s: (s[1], order.index(s[0])))
+
+
+def test_base_secrets_equal_brute_force(spark):
+    r = random.Random(4)
+    bits = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", '"', "'", ":", "=", "  ",
+            "AKIA", "A1B2C3D4E5F6A7B8", "deadbeef", "0123456789abcdef", "é", "🙂", "\n", "x", "-", "."]
+    texts = [None, ""] + ["".join(r.choices(bits, k=r.randint(1, 40))) for _ in range(400)]
+    docs = spark.createDataFrame(
+        [(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
+    found = {x["doc_id"]: x["spans"] for x in secrets.scan_secrets(docs).collect()}
+    for i, text in enumerate(texts):
+        base = [(s["kind"], s["start"], s["end"]) for s in found[i] if s["kind"] in secrets.BASE]
+        assert base == base_secrets(text or "")
+
+
+KEY = lambda: der(0x30, der(2, b"\x01") + der(0x30, der(2, b"\x11" * 60) + der(2, b"\x07" * 140)))
+
+
+def token_part(text):
+    return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+
+def test_secrets_in_other_spellings():
+    key = KEY()
+    one_line = base64.b64encode(key).decode()
+    wrapped = base64.encodebytes(key).decode().strip()
+    pem = f"-----BEGIN EC PRIVATE KEY-----\n{wrapped}\n-----END EC PRIVATE KEY-----"
+    signed = token_part('{ "alg": "ES256" }') + "." + token_part('{"sub": 1}') + ".c2ln"
+    for text, kind, want in (
+        (f"a {key.hex().upper()} b", "der", key.hex().upper()),
+        (f"key:\n{wrapped}\nend", "der", wrapped),
+        (f"key:\n{wrapped.replace(chr(10), chr(13) + chr(10) + '  ')}\nend", "der",
+         wrapped.replace("\n", "\r\n  ")),
+        ('{"k": "' + pem.replace("\n", "\\n") + '"}', "pem", pem.replace("\n", "\\n")),
+        (f"see {signed} there", "jwt", signed),
+        (f"cat /etc/keys/{one_line}", "der", one_line),
+        (f"-----BEGIN A-----\n{pem}", "pem", pem),
+    ):
+        spans = [text[a:b] for k, a, b, _ in secrets.find_secrets(text) if k == kind]
+        assert spans == [want], (kind, text[:80])
+        assert want not in secrets.redact(text)
+
+
+def test_what_has_no_structure_is_not_confirmed():
+    digest = hashlib.sha256(b"x").hexdigest()
+    key = base64.b64encode(KEY()).decode()
+    for text in (
+        digest, digest.upper(), f"token={digest}", f"password: {digest[:32]}",
+        token_part('{"alg": "none"}') + "." + token_part('{"sub": 1}') + ".",
+        token_part('{"alg": "none"}') + "." + token_part('{"sub": 1}') + ".c2ln",
+        token_part('{"alg": "HS256"}') + "." + token_part('{"sub": 1}'),
+        key[:-8], key[4:], "/" + key[:-4] + "AAAA" + key[-4:], "A" * 64,
+        "-----BEGIN X-----\n" + key[:40] + "\n-----END X-----",
+    ):
+        assert all(
+            evidence is None and kind in secrets.BASE
+            for kind, _, _, evidence in secrets.find_secrets(text)), text[:60]
+
+
+def test_der_of_any_depth_and_broken_der():
+    data = b"\x02\x01\x05"
+    for _ in range(3000):
+        data = b"\x30\x84" + len(data).to_bytes(4, "big") + data
+    assert secrets.is_der_key(data)
+    assert not secrets.is_der_key(data[:-1]) and not secrets.is_der_key(data + b"\0")
+    assert not secrets.der_fits(b"\x30\x03\x02\x02\x01")
+
+
+@pytest.mark.parametrize("text", [
+    "-----BEGIN A-----\n" * 100_000,
+    "-----BEGIN A-----\nMII\n-----END A-----\n" * 30_000,
+    "/MIIBAQ" * 100_000 + "=",
+    ("ABCDEFGHIJKLMNOPQRSTUV\n" * 60_000) + "!",
+    "eyA." * 200_000, "eyJhbGciOiJIUzI1NiJ9." * 50_000, "M" * 500_000,
+], ids=["begins", "blocks", "paths", "lines", "dots", "headers", "run"])
+def test_long_texts_are_scanned_in_time(text):
+    began = time.perf_counter()
+    secrets.find_secrets(text)
+    assert time.perf_counter() - began < 5
+
+
 def base_pii(text):
     kinds = (
         ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
