@@ -34,6 +34,11 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``whole``, so that no other name can clash with theirs."""
+    return F.struct(*(F.col(f"`{name.replace('`', '``')}`") for name in df.columns)).alias("whole")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostvigil.llm.common import pinned, words
+from hostvigil.llm.common import pinned, whole_row, words
 
 BUCKET_DOCS = 4096
 LEVELS = ("domain", "lang", "source")
@@ -164,13 +164,13 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, mixture: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mixture takes them, with all their columns."""
-    names = mixture.select(F.col("doc_id").alias("_mix_id"), F.col("row").alias("_mix_row"),
-                           F.col("copies").alias("_mix_copies")).distinct()
+    """The rows of ``docs`` as often as the mixture takes them, with all their columns, whatever
+    their names."""
+    names = mixture.select("doc_id", "row", "copies").distinct()
     row = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    joined = docs.join(
-        names, F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_id"))
-        & (row == F.col("_mix_row")))
-    repeated = joined.filter("_mix_copies > 0").withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
-    return repeated.select(*(docs[c] for c in docs.columns))
+    wrapped = docs.select(
+        whole_row(docs), F.col("doc_id").cast("long").alias("own_id"), row.alias("own_row"))
+    joined = wrapped.join(
+        names, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_row") == F.col("row")))
+    times = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    return joined.filter("copies > 0").select("whole", F.explode(times)).select("whole.*")

@@ -39,6 +39,7 @@ from hostvigil.llm.common import (
     slices,
     starts_of,
     text_key,
+    whole_row,
     word_hashes,
 )
 from hostvigil.llm.components import connected_components
@@ -368,6 +369,22 @@ def classed_rows(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     return out.unionByName(rest)
 
 
+def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """One text of each class of near duplicates, once, with all columns, whatever their names.
+
+    Rows with a null doc_id stay.
+    """
+    gone = classed_rows(docs, similarity).filter(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = gone.select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
+    wrapped = docs.select(
+        whole_row(docs), F.col("doc_id").cast("long").alias("id"),
+        text_key(F.col("text").cast("string")).alias("key"))
+    same = (F.col("id") == F.col("gone")) & (F.col("key") == F.col("gone_key"))
+    kept = wrapped.join(gone, same, "left_anti")
+    once = kept.filter("id is not null").dropDuplicates(["id", "key"])
+    return once.unionByName(kept.filter("id is null")).select("whole.*")
+
+
 def text_components(texts: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """(id, component) of texts linked because they share a sketch and are similar enough.
 
