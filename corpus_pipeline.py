@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostvigil.llm import mixing, order_minhash, packing, secrets, toxicity
-from hostvigil.llm.common import shared_folder, table, text_key
+from hostvigil.llm.common import shared_folder, table
 from hostvigil.llm.queries import MIX_WEIGHTS, TOKENIZER, source_domain
 
 #: The mixture's budget, as a share of the tokens that reach it. No document is repeated.
@@ -27,13 +27,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near duplicates, once; rows with a null doc_id stay."""
-    gone = order_minhash.classed_rows(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("key").alias("_gone_key")).distinct()
-    keyed = docs.withColumn("_key", text_key(F.col("text")))
-    same = (F.col("doc_id") == F.col("_gone")) & (F.col("_key") == F.col("_gone_key"))
-    kept = keyed.join(gone, same, "left_anti")
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id", "_key"])
-    return named.unionByName(kept.filter("doc_id is null")).drop("_key")
+    return order_minhash.drop_near_duplicates(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
