@@ -113,7 +113,7 @@ def mix(
     integer weights per level and name, 1 where it names none. The budget is ``total`` tokens, or
     ``share`` (0.75) of all tokens. ``row`` is a hash of the text. Null domains, languages and
     sources are written as an empty name. A text without tokens costs nothing and is taken as often
-    as the prefix reaches its place. Rows with the same doc_id and text have one place in the
+    as the prefix reaches its place; an epoch of which no token is taken is not begun. Rows with the same doc_id and text have one place in the
     order and are taken together. A null doc_id is an id like any other. No rows give no rows;
     other columns are not looked at.
     """
@@ -156,9 +156,11 @@ def mix(
     last = placed.filter("state = 'cut'").withColumn(
         "fits", F.col("before") + F.sum("n_tokens").over(inside) <= F.col("rest"))
     rest = placed.filter("state <> 'cut'").withColumn("fits", F.col("state") == "in")
+    # Whole epochs that use up the budget begin no further one, not even with empty texts.
+    begun = (F.col("rest") > 0) | (F.col("whole") == 0)
     return last.unionByName(rest).select(
         "doc_id", "row", *keys, "n_tokens",
-        (F.col("whole") + F.col("fits").cast("long")).alias("copies"),
+        (F.col("whole") + (F.col("fits") & begun).cast("long")).alias("copies"),
         F.col("budget").alias("leaf_budget"),
     )
 
