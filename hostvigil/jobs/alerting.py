@@ -170,6 +170,7 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
     parser.add_argument("--until", help="last day of arrival to read from a landing")
     parser.add_argument("--distinct", action="store_true",
                         help="leave out copies of readings that were landed more than once")
+    parser.add_argument("--compacted", help="folder of the landing's compacted days")
     parser.add_argument("--partials",
                         help="folder of aggregates kept between runs: with one landing for both "
                              "inputs, only its new days are read")
@@ -185,7 +186,8 @@ def _parser(rule: AlertRule, left: str, right: str) -> argparse.ArgumentParser:
 
 def _read(spark: SparkSession, path: str, topic: str, args: argparse.Namespace) -> DataFrame:
     if args.format == "landing":
-        return read_landed_topic(spark, path, topic, args.since, args.until, args.distinct)
+        return read_landed_topic(
+            spark, path, topic, args.since, args.until, args.distinct, args.compacted)
     return read_landed(spark, path, TOPICS[topic], args.format)
 
 
@@ -196,8 +198,10 @@ def main(
     parser = _parser(rule, left, right)
     args = parser.parse_args(argv)
     flags = vars(args)
-    if args.format != "landing" and (args.since or args.until or args.distinct or args.partials):
-        parser.error("--since, --until, --distinct and --partials need --format landing")
+    landing_only = args.since or args.until or args.distinct or args.partials or args.compacted
+    if args.format != "landing" and landing_only:
+        parser.error("--since, --until, --distinct, --compacted and --partials need --format "
+                     "landing")
     paths = flags[f"{left}_csv"], flags[f"{right}_csv"]
     if args.partials and (
         paths[0] != paths[1] or args.since or args.until or args.distinct or args.preview

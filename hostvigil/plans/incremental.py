@@ -22,6 +22,7 @@ from hostvigil.operators.split import readings_of
 from hostvigil.operators.windows import keep_reachable
 from hostvigil.plans.alerts import format_alerts, label_windows, window_matched
 from hostvigil.schemas import LANDED, METRICS
+from hostvigil.sources.landed import file_lists
 
 DAY = "ingest_date"
 
@@ -42,23 +43,6 @@ def read_partials(spark: SparkSession, path: str, rule: AlertRule) -> DataFrame:
     return spark.read.schema(partial_schema(rule)).parquet(path)
 
 
-def _file_lists(spark: SparkSession, landing: str, rule: AlertRule) -> DataFrame:
-    """Per day of arrival, which files of the rule's topics there are, as (day, source)."""
-    # No file is opened: neither the content nor anything that needs it is asked for.
-    files = spark.read.format("binaryFile").load(landing)
-    topics = F.col("topic").isin(rule.left.topic, rule.right.topic)
-    name = F.element_at(F.split("path", "/"), -1)
-    return (
-        files.filter(topics)
-        .select(F.col(DAY).cast("date").alias(DAY), name.alias("name"), "length")
-        .groupBy(DAY)
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-             # Names are unique, so sums of hashes tell lists apart that sizes do not.
-             F.sum(F.xxhash64("name").cast("decimal(38,0)")).alias("names"))
-        .select(DAY, F.concat_ws("/", "files", "bytes", "names").alias("source"))
-    )
-
-
 def changed_days(
     spark: SparkSession, landing: str, partials: str, rule: AlertRule
 ) -> list[tuple[date, str]]:
@@ -66,11 +50,11 @@ def changed_days(
 
     Returned to the driver with their file lists' digests: one short row per such day.
     """
-    lists = _file_lists(spark, landing, rule)
+    lists = file_lists(spark, landing, (rule.left.topic, rule.right.topic), by=(DAY,))
     known = _known(spark, partials, rule)
     if known is not None:
         lists = lists.join(known, [DAY, "source"], "left_anti")
-    return sorted((row[DAY], row.source) for row in lists.collect())
+    return sorted((row[DAY], row.source) for row in lists.select(DAY, "source").collect())
 
 
 def _known(spark: SparkSession, partials: str, rule: AlertRule) -> DataFrame | None:

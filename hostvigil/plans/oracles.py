@@ -294,6 +294,7 @@ ORACLES: dict[str, str] = {
     "alerts_single_file": _alerts(NET_DISK),
     "landed_deduplicated": _distinct_roundtrip(),
     "landed_distinct": _distinct_roundtrip(),
+    "landed_compacted": _roundtrip(),
     "incremental_cpu_mem_alerts": _alerts(CPU_MEM),
     "incremental_net_disk_alerts": _alerts(NET_DISK),
     "stream_landing": _roundtrip(),

@@ -19,6 +19,7 @@ from hostvigil.operators.preview import first_rows
 from hostvigil.operators.quarantine import count_problems, mark_bad_times, quarantined, usable
 from hostvigil.operators.split import from_records, split_topic, to_records
 from hostvigil.plans.alerts import alerts, format_alerts, metric_windows
+from hostvigil.plans.compaction import compact_days
 from hostvigil.plans.incremental import add_new_days, partial_alerts, read_partials
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
@@ -432,6 +433,25 @@ def landed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def landed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records landed over three days of which two are compacted, read topic by topic."""
+    folder = scratch_dir(spark, "compacted")
+    for part in range(3):
+        records = _by_instalment(spark, sf_dir, F.lit(f"2024-05-0{part + 1}"), 3, part)
+        landed = from_records(
+            records.withColumn("ingest_date", F.to_date("timestamp")), keep=("ingest_date",))
+        landed.write.mode("append").partitionBy("ingest_date", "topic").parquet(f"{folder}/table")
+    compact_days(spark, f"{folder}/table", f"{folder}/days", before="2024-05-03")
+    parts = [
+        _by_metric(
+            read_landed_topic(
+                spark, f"{folder}/table", topic, compacted=f"{folder}/days"
+            ).withColumn("topic", F.lit(topic)))
+        for topic in TOPICS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def incremental_query(rule: AlertRule) -> Query:
     """A job over a landing that grows by a third of the events a day, aggregated day by day."""
 
@@ -543,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "alerts_single_file": alerts_single_file,
     "landed_deduplicated": landed_deduplicated,
     "landed_distinct": landed_distinct,
+    "landed_compacted": landed_compacted,
     "incremental_cpu_mem_alerts": incremental_query(CPU_MEM),
     "incremental_net_disk_alerts": incremental_query(NET_DISK),
     "stream_landing": stream_landing,

@@ -6,14 +6,16 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from hostvigil.config import CPU_MEM, NET_DISK
 from hostvigil.jobs import alerting
 from hostvigil.operators.repeats import drop_repeats
-from hostvigil.operators.split import split_topic, to_records
+from hostvigil.operators.split import from_records, split_topic, to_records
 from hostvigil.plans.alerts import alerts, label_windows, metric_windows
+from hostvigil.plans.compaction import compact_days
 from hostvigil.plans.incremental import (
     add_new_days,
     changed_days,
@@ -183,6 +185,67 @@ def test_a_job_that_keeps_partials(spark, tmp_path):
             alerting.main(CPU_MEM, "cpu", "mem", [*args, *wrong])
 
 
+# Compaction
+
+
+def files_of(path, day, topic="topic-cpu"):
+    return sorted((path / f"ingest_date={day}" / f"topic={topic}").glob("*.parquet"))
+
+
+def test_compacted_days_hold_the_same_rows_in_fewer_sorted_files(spark, tmp_path):
+    folder, table, days = str(tmp_path), str(tmp_path / "table"), tmp_path / "days"
+    for day in (1, 2, 3):
+        for seed in (3, 5, 7):
+            land(spark, folder, clock_rows(seed * day, 60, servers=9), day)
+    want = rows_of(read_landed_topic(spark, table, "topic-cpu"))
+    read = lambda: read_landed_topic(spark, table, "topic-cpu", compacted=str(days))
+    done = compact_days(spark, table, str(days), before="2024-05-03", file_bytes=4 << 10)
+    assert len(done) == 8 and {day for day, _ in done} == {date(2024, 5, 1), date(2024, 5, 2)}
+    assert rows_of(read()) == want
+    assert compact_days(spark, table, str(days), before="2024-05-03") == []
+
+    whole = files_of(days, "2024-05-01")
+    landed = files_of(tmp_path / "table", "2024-05-01")
+    assert len(whole) < len(landed)
+    ranges = []
+    for file in whole:
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("server_id")
+        for group in range(meta.num_row_groups):
+            stats = meta.row_group(group).column(at).statistics
+            ranges.append((stats.min, stats.max))
+    assert len(ranges) > 1
+    ranges.sort()
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+
+    # What is landed later on a compacted day is read from the landing until it is compacted.
+    land(spark, folder, clock_rows(11, 5), 2)
+    want = rows_of(read_landed_topic(spark, table, "topic-cpu"))
+    assert rows_of(read()) == want
+    assert not any("ingest_date=2024-05-02" in f and "/days/" in f for f in scanned(read()))
+    assert any("ingest_date=2024-05-01" in f and "/days/" in f for f in scanned(read()))
+    again = compact_days(spark, table, str(days), before="2024-05-03")
+    assert {day for day, _ in again} == {date(2024, 5, 2)}
+    assert rows_of(read()) == want
+
+
+def scanned(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_compaction_leaves_today_alone_and_takes_some_topics(spark, tmp_path):
+    table, days = str(tmp_path / "table"), str(tmp_path / "days")
+    rows = spark.createDataFrame(clock_rows(3, 9), WIDE)
+    from_records(to_records(rows).withColumn("ingest_date", F.current_date()), ("ingest_date",)
+                 ).write.partitionBy("ingest_date", "topic").parquet(table)
+    assert compact_days(spark, table, days) == []
+    done = compact_days(spark, table, days, before="2999-01-01", topics=("topic-net",))
+    assert [topic for _, topic in done] == ["topic-net"]
+    for topic in ("topic-net", "topic-disk"):
+        assert rows_of(read_landed_topic(spark, table, topic, compacted=days)) == rows_of(
+            split_topic(rows, topic))
+
+
 # Late readings and heartbeats
 
 
