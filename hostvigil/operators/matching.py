@@ -66,10 +66,13 @@ def group_readings(
     )
 
 
-def merge_groups(grouped: DataFrame, rule: AlertRule) -> DataFrame:
-    """Groups of readings that may share (server, time), merged to one row each."""
+def merge_groups(grouped: DataFrame, rule: AlertRule, by: tuple[str, ...] = ()) -> DataFrame:
+    """Groups of readings that may share (server, time), merged to one row each.
+
+    ``by`` names further columns to group by.
+    """
     merge = F.sum if rule.aggregate == "avg" else F.max
-    return grouped.groupBy("server_id", "ts").agg(
+    return grouped.groupBy("server_id", *by, "ts").agg(
         *(
             (F.sum if name.endswith("_rows") else merge)(name).alias(name)
             for side in ("left", "right")

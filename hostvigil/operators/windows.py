@@ -65,10 +65,24 @@ def _wall_clock(seconds: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds)
 
 
+def block_seconds(rule: AlertRule) -> int:
+    """How much of the day a block covers."""
+    return BLOCK_WINDOWS * rule.size_seconds
+
+
+def blocks_of(second: Column, rule: AlertRule) -> Column:
+    """The blocks in which windows of a second of the day start."""
+    length = block_seconds(rule)
+    into_block = F.pmod(second, F.lit(length))
+    own_block = second - into_block
+    # A reading's earliest window starts less than one size before it.
+    return F.when(
+        into_block < rule.size_seconds, F.array(own_block, own_block - length)
+    ).otherwise(F.array(own_block))
+
+
 def window_clock_times(matched: DataFrame, rule: AlertRule) -> DataFrame:
     """Windows of readings whose ``ts`` is time-of-day text; unreadable times are dropped."""
-    size, slide = rule.size_seconds, rule.slide_seconds
-    block_length = BLOCK_WINDOWS * size
     read = second_of_day(F.col("ts"))
     # Unreadable times have no block, so they end at the explode. A filter for them would be
     # pushed below the matching and read every reading's time instead of every matched key's.
@@ -76,22 +90,22 @@ def window_clock_times(matched: DataFrame, rule: AlertRule) -> DataFrame:
         matched, rule, F.col("server_id"), read.isNotNull().alias("readable"),
         F.coalesce(read, F.lit(0)).alias("second"),
     )
-    second = F.col("second")
-    into_block = F.pmod(second, F.lit(block_length))
-    own_block = second - into_block
-    blocks = (
-        F.when(~F.col("readable"), F.array().cast("array<bigint>"))
-        # A reading's earliest window starts less than one size before it.
-        .when(into_block < size, F.array(own_block, own_block - block_length))
-        .otherwise(F.array(own_block))
+    blocks = F.when(F.col("readable"), blocks_of(F.col("second"), rule)).otherwise(
+        F.array().cast("array<bigint>")
     )
     placed = weighed.withColumn("block", F.explode(blocks)).repartition("server_id", "block")
+    return windows_in_blocks(placed, rule)
+
 
+def windows_in_blocks(placed: DataFrame, rule: AlertRule) -> DataFrame:
+    """Windows of weighed readings (server_id, block, second, ...) that lie in all blocks in which
+    their windows start; no shuffle if they are dealt by server and block."""
+    size, slide = rule.size_seconds, rule.slide_seconds
+    second, start = F.col("second"), F.col("start")
     latest = second - F.pmod(second, F.lit(slide))
     starts = F.array(*(latest - step * slide for step in range(-(-size // slide))))
-    start = F.col("start")
     kept = (start > second - size) & (
-        start - F.pmod(start, F.lit(block_length)) == F.col("block")
+        start - F.pmod(start, F.lit(block_seconds(rule))) == F.col("block")
     )
     if rule.cutoff is not None:
         kept &= F.pmod(start, F.lit(DAY_SECONDS)) >= clock_seconds(rule.cutoff)
@@ -112,7 +126,7 @@ def _tumbling(timestamp: str, seconds: int) -> Column:
 def window_slices(matched: DataFrame, rule: AlertRule) -> DataFrame:
     """Windows of readings whose ``ts`` is a real timestamp, in batch."""
     size, slide = rule.size_seconds, rule.slide_seconds
-    block_length = BLOCK_WINDOWS * size
+    block_length = block_seconds(rule)
     length = F.make_dt_interval(secs=F.lit(size))
     back = F.make_dt_interval(secs=F.lit(block_length))
     slices = (

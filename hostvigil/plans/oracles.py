@@ -297,6 +297,8 @@ ORACLES: dict[str, str] = {
     "landed_compacted": _roundtrip(),
     "incremental_cpu_mem_alerts": _alerts(CPU_MEM),
     "incremental_net_disk_alerts": _alerts(NET_DISK),
+    "layout_cpu_mem_alerts": _alerts(CPU_MEM),
+    "layout_net_disk_alerts": _alerts(NET_DISK),
     "stream_landing": _roundtrip(),
     "stream_cpu_mem_alerts": _alerts(CPU_MEM, stamped=True),
     "stream_net_disk_alerts": _alerts(NET_DISK, stamped=True),

@@ -21,6 +21,7 @@ from hostvigil.operators.split import from_records, split_topic, to_records
 from hostvigil.plans.alerts import alerts, format_alerts, metric_windows
 from hostvigil.plans.compaction import compact_days
 from hostvigil.plans.incremental import add_new_days, partial_alerts, read_partials
+from hostvigil.plans.layout import lay_out, layout_alerts, open_layout
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
 from hostvigil.sinks.tables import publish_single_csv, replace_table, write_table
@@ -470,6 +471,30 @@ def incremental_query(rule: AlertRule) -> Query:
     return run
 
 
+def layout_query(rule: AlertRule) -> Query:
+    """A job over three days of partial aggregates laid out in buckets, a day at a time."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "layout")
+        name = f"layout_{folder.rpartition('-')[2]}"
+        open_layout(spark, name, f"{folder}/buckets", rule, buckets=_tasks(spark))
+        for part in range(3):
+            records = _by_instalment(spark, sf_dir, F.lit(f"2024-05-0{part + 1}"), 3, part)
+            landed = from_records(
+                records.withColumn("ingest_date", F.to_date("timestamp")), keep=("ingest_date",))
+            landed.write.mode("append").partitionBy("ingest_date", "topic").parquet(
+                f"{folder}/table")
+            days = add_new_days(spark, f"{folder}/table", f"{folder}/partials", rule)
+            lay_out(read_partials(spark, f"{folder}/partials", rule), name, rule, days)
+        return layout_alerts(spark, name, rule)
+
+    return run
+
+
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # Streams
 
 
@@ -566,6 +591,8 @@ QUERIES: dict[str, Query] = {
     "landed_compacted": landed_compacted,
     "incremental_cpu_mem_alerts": incremental_query(CPU_MEM),
     "incremental_net_disk_alerts": incremental_query(NET_DISK),
+    "layout_cpu_mem_alerts": layout_query(CPU_MEM),
+    "layout_net_disk_alerts": layout_query(NET_DISK),
     "stream_landing": stream_landing,
     "stream_cpu_mem_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, CPU_MEM),
     "stream_net_disk_alerts": lambda spark, sf_dir: stream_alerts(spark, sf_dir, NET_DISK),

@@ -78,6 +78,12 @@ def publish_single_csv(df: DataFrame, path: str) -> bool:
     return done
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it, if they are missing."""
+    fs, (folder,) = _paths(spark, path)
+    fs.mkdirs(folder)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a folder written by this run."""
     fs, (folder,) = _paths(spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
@@ -23,6 +24,7 @@ from hostvigil.plans.incremental import (
     partial_alerts,
     read_partials,
 )
+from hostvigil.plans.layout import lay_out, layout_alerts, layout_windows, open_layout
 from hostvigil.schemas import CPU_MEM_ALERT, LANDED, WIDE
 from hostvigil.sinks.tables import replace_table, write_table
 from hostvigil.sources.landed import read_alerts, read_landed_topic
@@ -185,6 +187,42 @@ def test_a_job_that_keeps_partials(spark, tmp_path):
             alerting.main(CPU_MEM, "cpu", "mem", [*args, *wrong])
 
 
+# Layout
+
+
+@RULES
+def test_a_layout_gives_alerts_without_a_shuffle(spark, tmp_path, rule):
+    folder, table, partials = str(tmp_path), str(tmp_path / "table"), str(tmp_path / "partials")
+    name, path = f"layout_{rule.name}", str(tmp_path / "buckets")
+    open_layout(spark, name, path, rule, buckets=5)
+    edge = [("21:00:05", "s1", 80.0, 90.0, 9e3, 0.0, 2e3), ("00:00:10", "s1", 1.0, 2.0, 3.0, 0.0, 4.0),
+            ("bad", "s1", 1.0, 2.0, 3.0, 0.0, 4.0), ("23:59:50", "s1", 5.0, 6.0, 7.0, 0.0, 8.0)]
+    seen = []
+    for day, rows in ((1, clock_rows(3, 60) + edge), (2, clock_rows(5, 30)), (1, clock_rows(7, 20))):
+        land(spark, folder, rows, day)
+        seen += rows
+        days = add_new_days(spark, table, partials, rule)
+        lay_out(read_partials(spark, partials, rule), name, rule, days)
+        want = alerts(*pair(spark.createDataFrame(seen, WIDE), rule), rule)
+        assert rows_of(layout_alerts(spark, name, rule)) == rows_of(want)
+    lay_out(read_partials(spark, partials, rule), name, rule, [])
+    assert rows_of(layout_alerts(spark, name, rule)) == rows_of(want)
+
+    windows = layout_windows(spark, name, rule)
+    assert windows.rdd.getNumPartitions() == 5
+    assert "Exchange" not in windows._jdf.queryExecution().executedPlan().toString()
+    for day in (1, 2):
+        assert len(list((tmp_path / "buckets" / f"ingest_date=2024-05-0{day}").glob("*.parquet"))) <= 5
+
+    # Another session knows the folder only; the number of buckets is the table's own.
+    spark.sql(f"DROP TABLE {name}")
+    open_layout(spark, f"{name}_again", path, rule, buckets=5)
+    assert rows_of(layout_alerts(spark, f"{name}_again", rule)) == rows_of(want)
+    with pytest.raises(ValueError, match="blocks of"):
+        layout_windows(spark, f"{name}_again", replace(rule, size_seconds=60))
+    spark.sql(f"DROP TABLE {name}_again")
+
+
 # Compaction
 
 
