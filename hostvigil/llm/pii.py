@@ -2,9 +2,9 @@
 
 Four kinds are reported on their pattern (``email``, ``ip``, ``card``, ``phone``). Three more are
 candidates: ``account`` (digits in the shape of a card that fail its check), ``email_masked``
-(``name (at) host``) and ``person`` (a title and a capitalised word). Five labelers vote yes, no or
-nothing on every span: format, gazetteer, context words, digit shape and edges. Expectation
-maximisation finds how reliable each is, from the number of spans with each combination of votes.
+(``name (at) host``) and ``person`` (a title and a capitalised word). Six labelers vote yes, no or
+nothing on every span, none of them by its kind alone: how digits are grouped, gazetteers, words
+before, words after, digit shape and edges. Expectation maximisation finds how reliable each is, from the number of spans with each combination of votes.
 The resulting probabilities label the spans on which the final classifier, naive Bayes over the
 span's features, is trained. A candidate is reported if the classifier finds it likelier than not.
 
@@ -42,45 +42,82 @@ PERSON = (
 CUES = "mail|contact|tel|phone|call|fon|ruf|card|kart|tarjeta|carte|ip|host|name|from|von|de"
 COUNTER_CUES = "version|order|invoice|isbn|page|seite|total|sum|id|no|nr|build|rev"
 TOP_LEVELS = "com|org|net|edu|gov|info|io|de|fr|es|uk|eu"
-FOUND = "kind string, value string, start int, end int, before string, after string, ok boolean"
-LABELERS = ("format", "gazetteer", "context", "shape", "edges")
+#: Words after a span that make a number an amount or a name someone spoken of.
+AMOUNTS = "eur|euro|euros|usd|kg|km|mm|cm|mb|gb|ms|bytes|items|pages|percent|st[uü]ck"
+SPOKEN = "said|wrote|called|lives|was|born|sagt|schrieb|wohnt|dit|dijo|vive"
+#: Family names and given names that are common where the titles above are used.
+NAMES = (
+    "smith|jones|brown|taylor|johnson|williams|miller|davis|wilson|anna|john|mary|james|david|"
+    "müller|schmidt|schneider|fischer|weber|meyer|wagner|becker|garcía|lópez|martínez|pérez|"
+    "gonzález|rodríguez|martin|bernard|dubois|durand|petit|moreau|laurent|simon|michel"
+)
+LABELERS = ("grouping", "gazetteer", "context", "follow", "shape", "edges")
+#: Matches whose places are summed up at a time.
+RUN = 256
 WORD_BUCKETS = 128
 
 
-def matches(text: Column, pattern: str, possible: Column, kind, ok) -> Column:
-    """Every match with its place, and 32 characters before and 8 after it.
+def pieces(text: Column, pattern: str, possible: Column) -> Column:
+    """Every match with the text before it since the last one and the text after it up to the next.
 
-    ``kind`` and ``ok`` make columns of a match's text. ``possible`` spares texts that cannot
-    match the search.
+    ``possible`` spares texts that cannot match the search.
     """
-    pieces = F.split(text, pattern, -1)
+    between = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # Piece, match, piece after; zipping keeps the searches out of the lambda below.
-    around = F.zip_with(F.arrays_zip(pieces.alias("a"), values.alias("b")),
-                        F.slice(pieces, 2, F.greatest(F.size(values), F.lit(1))),
+    # Piece, match, piece after; zipping keeps the searches out of the lambdas.
+    around = F.zip_with(F.arrays_zip(between.alias("a"), values.alias("b")),
+                        F.slice(between, 2, F.greatest(F.size(values), F.lit(1))),
                         lambda x, y: F.struct(x["a"].alias("a"), x["b"].alias("b"), y.alias("c")))
-    kind_of_all = f"array<struct<{_fields()}>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind_of_all).alias("out"))
+    matched = F.filter(around, lambda x: x["b"].isNotNull())
+    return F.when(possible, matched).otherwise(
+        F.array().cast("array<struct<a:string,b:string,c:string>>"))
 
-    def add(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["a"])
-        end = begin + F.length(x["b"])
-        one = F.struct(
-            kind(x["b"]).alias("kind"), x["b"].alias("value"), begin.alias("start"),
-            end.alias("end"), F.right(x["a"], F.lit(32)).alias("before"),
-            F.left(x["c"], F.lit(8)).alias("after"), ok(x["b"]).alias("ok"),
-        )
-        return F.struct(end.alias("at"), F.array_append(acc["out"], one).alias("out"))
 
-    matched = F.filter(around, lambda x: x["b"].isNotNull())
-    found = F.aggregate(matched, start, add, lambda acc: acc["out"])
-    return F.when(possible, F.filter(found, lambda s: s["ok"])).otherwise(
-        F.array().cast(kind_of_all)
-    )
+def _length(match: Column) -> Column:
+    return F.length(match["a"]) + F.length(match["b"])
+
+
+def _sum(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
 
 
-def _fields() -> str:
-    return ",".join(f"{f.split()[0]}:{f.split()[1]}" for f in FOUND.split(", "))
+def _upto(run: Column, n: Column) -> Column:
+    """The characters that the first ``n`` matches of a run take up."""
+    return F.aggregate(F.slice(run, F.lit(1), n), F.lit(0), lambda total, x: total + _length(x))
+
+
+def placed(out: DataFrame, name: str, kind, ok) -> DataFrame:
+    """Turns the column of pieces into matches with their places, 32 characters before and 16 after.
+
+    ``kind`` and ``ok`` make columns of a match's text. Places are running sums of lengths, in two
+    steps: within runs of matches, and over the runs. A fold that carries its result along would
+    copy it at every step, which costs the square of the number of matches. Every step is a column
+    of its own that the next one uses twice, so that it is not computed anew for each element.
+    """
+    size = F.size(name)
+    runs = F.when(size > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((size - 1) / RUN).cast("int")),
+        lambda k: F.slice(F.col(name), k * RUN + 1, F.least(F.lit(RUN), size - k * RUN)),
+    )).otherwise(F.array(F.col(name)))
+    out = out.withColumn("runs", runs)
+    out = out.withColumn("sums", F.transform(
+        "runs", lambda run: F.aggregate(run, F.lit(0), lambda total, x: total + _length(x))))
+    bases = F.transform("sums", lambda _, k: _sum(F.slice(F.col("sums"), F.lit(1), k)))
+    out = out.withColumn("bases", bases)
+
+    def match(run: Column, base: Column, x: Column, i: Column) -> Column:
+        begin = base + _upto(run, i) + F.length(x["a"])
+        return F.struct(
+            kind(x["b"]).alias("kind"), x["b"].alias("value"), begin.alias("start"),
+            (begin + F.length(x["b"])).alias("end"), F.right(x["a"], F.lit(32)).alias("before"),
+            F.left(x["c"], F.lit(16)).alias("after"), ok(x["b"]).alias("ok"),
+        )
+
+    found = F.flatten(F.transform(
+        F.arrays_zip(F.col("runs"), F.col("bases")),
+        lambda r: F.transform(r["runs"], lambda x, i: match(r["runs"], r["bases"], x, i)),
+    ))
+    return out.withColumn(name, F.filter(found, lambda s: s["ok"])).drop("runs", "sums", "bases")
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
@@ -106,8 +143,10 @@ def found_spans(docs: DataFrame) -> DataFrame:
     ]
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    for i, (pattern, possible, kind, ok) in enumerate(specs):
-        out = out.withColumn(f"found{i}", matches(text, pattern, possible, kind, ok))
+    for i, (pattern, possible, _, _) in enumerate(specs):
+        out = out.withColumn(f"found{i}", pieces(text, pattern, possible))
+    for i, (_, _, kind, ok) in enumerate(specs):
+        out = placed(out, f"found{i}", kind, ok)
     every = F.concat(*(F.col(f"found{i}") for i in range(len(specs))))
     return out.select("doc_id", every.alias("spans"))
 
@@ -119,9 +158,14 @@ def votes(span: Column) -> dict[str, Column]:
     digits = F.translate(value, "+ ().-", "")
     numeric = kind.isin("card", "phone", "account")
     words = F.lower(before)
+    follow = F.lower(after)
+    fours = r"^[0-9]{4}(?:[ -]?[0-9]{4}){2,3}(?:[ -]?[0-9]{1,3})?$"
+    named = rf" (?:{NAMES})$"
     return {
-        "format": F.when(kind.isin(*BASE), 1).when(kind == "account", 0).otherwise(-1),
-        "gazetteer": F.when(kind == "email", F.when(
+        "grouping": F.when(kind.isin("card", "account"), F.when(value.rlike(fours), 1).otherwise(0))
+        .when(kind == "phone", F.when(value.rlike(r"[0-9][ ().-]+[0-9]"), 1).otherwise(-1))
+        .otherwise(-1),
+        "gazetteer": F.when(kind.isin("email", "email_masked"), F.when(
             F.lower(value).rlike(rf"\.(?:{TOP_LEVELS})$"), 1).otherwise(0))
         .when(kind == "ip", F.when(value.rlike(r"^(?:0|10|127|255|192\.168|169\.254)\."), 0)
               .otherwise(1))
@@ -129,9 +173,11 @@ def votes(span: Column) -> dict[str, Column]:
               .otherwise(0))
         .when(kind == "phone", F.when(value.rlike(r"^\+(?:1|3[0-9]|4[0-9]|5[0-9]|[67-9])"), 1)
               .otherwise(0))
-        .when(kind == "person", 1).otherwise(-1),
+        .when(F.lower(value).rlike(named), 1).otherwise(-1),
         "context": F.when(words.rlike(rf"\b(?:{CUES})\b[^\p{{L}}]*$"), 1)
         .when(words.rlike(rf"\b(?:{COUNTER_CUES})\b[^\p{{L}}]*$"), 0).otherwise(-1),
+        "follow": F.when(numeric & follow.rlike(rf"^[^\p{{L}}]*(?:{AMOUNTS})\b"), 0)
+        .when((kind == "person") & follow.rlike(rf"^[^\p{{L}}]*(?:{SPOKEN})\b"), 1).otherwise(-1),
         "shape": F.when(~numeric, -1).when(digits.rlike(r"([0-9])\1{5}|012345|123456"), 0)
         .when(digits.rlike(r"000$"), 0).otherwise(1),
         "edges": F.when(before.rlike(r"[\p{L}\p{N}]$") | after.rlike(r"^[\p{L}\p{N}]"), 0)
@@ -142,7 +188,10 @@ def votes(span: Column) -> dict[str, Column]:
 def features(span: Column) -> Column:
     """What the final classifier sees; fixed values and WORD_BUCKETS hashes of the word before."""
     last = F.regexp_extract(F.lower(span["before"]), r"(\p{L}++)[^\p{L}]*+$", 1)
+    said = votes(span)
     return F.array(
+        *(F.concat(F.lit(f"{name}="), span["kind"], F.lit(":"), said[name].cast("string"))
+          for name in ("context", "follow", "grouping", "shape")),
         F.concat(F.lit("kind="), span["kind"]),
         F.concat(F.lit("size="), span["kind"], F.lit(":"),
                  F.least(F.length(span["value"]), F.lit(40)).cast("string")),
@@ -213,7 +262,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     each = found.select(F.explode("spans").alias("span"))
     voted = each.select("span", F.concat_ws(",", *(v.cast("string") for v in
                                                   votes(F.col("span")).values())).alias("votes"))
-    # At most 7 kinds times 3 to the power of 5 rows.
+    # At most 7 kinds times 3 to the power of 6 rows.
     patterns = [
         (r["kind"], tuple(int(v) for v in r["votes"].split(",")), r["n"])
         for r in voted.groupBy("span.kind", "votes").agg(F.count(F.lit(1)).alias("n"))
