@@ -6,6 +6,11 @@ within the whole budget is, in at least one block, within the block's share of i
 to its dimensions. Each block is range-joined under its share and the union of what the blocks
 find is verified by the cosine of the original vectors in double precision.
 
+Vectors of one length are joined with each other, every length under a rotation of its own.
+Coordinates are computed in double precision by sums in a fixed order, so a vector has the same ones
+in every task, and one function decides whether a block holds a pair: what an earlier block found
+and what it did not is the same question everywhere.
+
 A block's range join works by cells, one around each of some pivots. A vector is at home in the
 cell of its nearest pivot and is also sent to every cell of a lower number whose border with the
 home cell, a hyperplane, is within the block's radius: a pair across a border has to cross it. So
@@ -31,8 +36,8 @@ from hostvigil.llm.components import connected_components
 
 #: Vectors in a chunk of a cell.
 CHUNK = 1500
-#: Room for rounding in single precision; candidates are verified in double.
-SLACK = 1e-4
+#: Room for rounding; candidates are verified by their cosine.
+SLACK = 1e-9
 PART = "first long, second long, links_a long, links_b long"
 
 
@@ -48,28 +53,56 @@ def blocks_of(dims: int, width: int) -> list[tuple[int, int]]:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length one, whatever their magnitude."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
+
+
+def turned(exact: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """Rotated vectors. Not by a matrix product, whose rounding depends on the rows beside."""
+    return np.einsum("ij,jk->ik", exact, turn)
+
+
+def gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of pairs."""
+    return np.einsum("ij,ij->i", p - q, p - q)
+
+
+def packed(vector: np.ndarray) -> bytes:
+    """A vector in single precision if that holds all of it, else in double."""
+    single = vector.astype("<f4")
+    return (single if (single == vector).all() else vector.astype("<f8")).tobytes()
+
 
+def unpacked(vectors: list[bytes], dims: int) -> np.ndarray:
+    return np.stack([np.frombuffer(v, "<f4" if len(v) == 4 * dims else "<f8").astype(np.float64)
+                     for v in vectors])
 
-def compare(rows: pd.DataFrame, turn: np.ndarray, blocks: list, cosine: float) -> pd.DataFrame:
+
+def compare(rows: pd.DataFrame, width: int, seed: int, cosine: float) -> pd.DataFrame:
     """Links among the vectors of one chunk of a cell, or between two chunks.
 
     Returns rows (id, null, number of links, 0) and rows (a, b, 0, 0) for connecting links.
     """
     rows = rows.drop_duplicates(["side", "vec_id"])
     ids, weights = rows["vec_id"].to_numpy(), rows["weight"].to_numpy()
-    block = int(rows["block"].iloc[0])
-    exact = unit(np.frombuffer(b"".join(rows["vector"]), "<f4").reshape(len(rows), -1)
-                 .astype(np.float64))
-    turned = (exact @ turn).astype(np.float32)
+    block, dims = int(rows["block"].iloc[0]), int(rows["dims"].iloc[0])
+    blocks = blocks_of(dims, width)
+    exact = unit(unpacked(list(rows["vector"]), dims))
+    turn = turned(exact, rotation(dims, seed))
     budget = 2 - 2 * cosine
-    dims = turned.shape[1]
     side = rows["side"].to_numpy()
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+
+    def within(p: np.ndarray, q: np.ndarray, at: int) -> np.ndarray:
+        """Whether a block holds pairs."""
+        s, e = blocks[at]
+        return gaps(turn[p, s:e], turn[q, s:e]) <= budget * (e - s) / dims + SLACK
+
     low, high = blocks[block]
-    x, y = turned[left][:, low:high], turned[right][:, low:high]
+    x, y = turn[left][:, low:high], turn[right][:, low:high]
     squares = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T)
-    a, b = np.nonzero(squares <= budget * (high - low) / dims + SLACK)
+    a, b = np.nonzero(squares <= budget * (high - low) / dims + 2 * SLACK)
     i, j = left[a], right[b]
     once = i < j if (side == 2).any() else np.ones(len(i), bool)
     i, j = i[once], j[once]
@@ -84,11 +117,9 @@ def compare(rows: pd.DataFrame, turn: np.ndarray, blocks: list, cosine: float) -
 
     for at in range(0, len(i), 200_000):
         p, q = i[at : at + 200_000], j[at : at + 200_000]
-        fresh = np.ones(len(p), bool)
+        fresh = within(p, q, block)
         for earlier in range(block):  # found there already
-            s, e = blocks[earlier]
-            gap = ((turned[p, s:e] - turned[q, s:e]) ** 2).sum(1)
-            fresh &= gap > budget * (e - s) / dims + SLACK
+            fresh &= ~within(p, q, earlier)
         p, q = p[fresh], q[fresh]
         near = np.einsum("ij,ij->i", exact[p], exact[q]) >= cosine
         p, q = p[near], q[near]
@@ -112,64 +143,76 @@ def similar_vectors(
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
     ``n_links`` counts the other rows at or above the cosine. ``component_id`` is the least vec_id
-    that links reach, ``kept`` says that it is the row's own. Vectors that are null, empty, zero or
-    hold a null or non-finite component have no links, and neither have those of another length
-    than the most frequent one. Rows with a null vec_id count as no vector and come back with no
-    links and a null component. Rows that repeat an id count as vectors of their own in ``n_links``.
-    No rows give no rows; other columns than vec_id and embedding are not looked at.
+    that links reach, ``kept`` says that it is the row's own. Vectors link with vectors of their own
+    length only. Vectors that are null, empty, zero or hold a null or non-finite component have no
+    links. Rows with a null vec_id count as no vector and come back with no links and a null
+    component. Rows that repeat an id count as vectors of their own in ``n_links``. No rows give no
+    rows; other columns than vec_id and embedding are not looked at.
+
+    The driver gets up to ``pivots`` vectors of every length that occurs.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                          F.col("embedding").cast("array<float>").alias("e"))
+                          F.col("embedding").cast("array<double>").alias("e"))
     finite = F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x)
                                  & (F.abs(x) < float("inf"))), F.lit(False))
     good = finite & F.exists("e", lambda x: x != 0) & F.col("vec_id").isNotNull()
-    usable = rows.filter(good)
-    lengths = usable.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if lengths is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                           F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = lengths["n"]
-    usable = usable.filter(F.size("e") == dims)
     # -0.0 and 0.0 are one number; equal vectors become one row.
+    whole = F.transform("e", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     distinct = pinned(
-        usable.select("vec_id", F.transform("e", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)
-                                            .cast("float")).alias("e"))
+        rows.filter(good).select("vec_id", whole.alias("e"))
         .groupBy("e").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     )
-    sample = distinct.orderBy(F.xxhash64("rep"), "rep").select("e").limit(pivots).collect()
-    turn = rotation(dims, seed)
-    blocks = blocks_of(dims, width)
-    centres = unit(np.array([r["e"] for r in sample], np.float64)) @ turn
+    dims = F.size("e")
+    hashed = F.xxhash64("rep")
+    sample = (
+        distinct.groupBy(dims.alias("dims"), F.pmod(hashed, F.lit(pivots)).alias("part"))
+        .agg(F.min(F.struct(hashed.alias("hash"), "rep", "e")).alias("one"))
+        .orderBy("dims", "part").select("dims", "one.e").collect()
+    )
+    centres = {n: unit(np.array([r["e"] for r in sample if r["dims"] == n], np.float64))
+               for n in {r["dims"] for r in sample}}
+    sent = vectors.sparkSession.sparkContext.broadcast(centres)
     budget = 2 - 2 * cosine
 
     def cells(batches):
         for batch in batches:
-            exact = np.stack(batch["e"].to_numpy()).astype(np.float32)
-            turned = unit(exact.astype(np.float64)) @ turn
-            for block, (low, high) in enumerate(blocks):
-                c = centres[:, low:high]
-                gaps = ((turned[:, None, low:high] - c[None]) ** 2).sum(2)
-                home = gaps.argmin(1)
-                apart = np.sqrt(((c[home][:, None] - c[None]) ** 2).sum(2))
-                nearest = gaps[np.arange(len(home)), home][:, None]
-                radius = np.sqrt(budget * (high - low) / dims) + SLACK
-                reached = (gaps - nearest) <= 2 * radius * apart + SLACK
-                reached &= np.arange(len(c))[None] < home[:, None]
-                reached[np.arange(len(home)), home] = True
-                row, cell = np.nonzero(reached)
-                yield pd.DataFrame({
-                    "block": np.full(len(row), block, np.int32), "cell": cell.astype(np.int32),
-                    "home": cell == home[row], "vec_id": batch["rep"].to_numpy()[row],
-                    "weight": batch["weight"].to_numpy()[row],
-                    "vector": [exact[k].astype("<f4").tobytes() for k in row.tolist()],
-                })
+            sizes = batch["e"].map(len).to_numpy()
+            for n in np.unique(sizes).tolist():
+                part = batch[sizes == n]
+                yield from _cells(part, n, sent.value[n])
+
+    def _cells(batch, n, pivots_of):
+        turn = rotation(n, seed)
+        own = np.stack(batch["e"].to_numpy()).astype(np.float64)
+        vectors_of = [packed(v) for v in own]
+        spun, centre = turned(unit(own), turn), turned(pivots_of, turn)
+        for block, (low, high) in enumerate(blocks_of(n, width)):
+            c = centre[:, low:high]
+            far = ((spun[:, None, low:high] - c[None]) ** 2).sum(2)
+            home = far.argmin(1)
+            apart = np.sqrt(((c[home][:, None] - c[None]) ** 2).sum(2))
+            nearest = far[np.arange(len(home)), home][:, None]
+            # Beyond what ``compare`` takes for within, by more than rounding.
+            radius = np.sqrt(budget * (high - low) / n + 4 * SLACK)
+            reached = (far - nearest) <= 2 * radius * apart + SLACK
+            reached &= np.arange(len(c))[None] < home[:, None]
+            reached[np.arange(len(home)), home] = True
+            row, cell = np.nonzero(reached)
+            yield pd.DataFrame({
+                "dims": np.full(len(row), n, np.int32),
+                "block": np.full(len(row), block, np.int32), "cell": cell.astype(np.int32),
+                "home": cell == home[row], "vec_id": batch["rep"].to_numpy()[row],
+                "weight": batch["weight"].to_numpy()[row],
+                "vector": [vectors_of[k] for k in row.tolist()],
+            })
 
     dealt = distinct.mapInPandas(
-        cells, "block int, cell int, home boolean, vec_id long, weight long, vector binary"
+        cells, "dims int, block int, cell int, home boolean, vec_id long, weight long, "
+        "vector binary"
     )
     dealt = pinned(dealt)
-    sizes = dealt.groupBy("block", "cell").agg(
+    keys = ["dims", "block", "cell"]
+    sizes = dealt.groupBy(*keys).agg(
         F.ceil(F.count_if("home") / CHUNK).cast("int").alias("homes"),
         F.ceil(F.count_if(~F.col("home")) / CHUNK).cast("int").alias("guests"),
     )
@@ -197,11 +240,11 @@ def similar_vectors(
         upto(lambda k: unit_of(own, k, True, 0), F.lit(0), last_guest),
     )).otherwise(upto(lambda k: unit_of(k, own, True, 1), F.lit(0), last_home))
     met = (
-        dealt.join(sizes, ["block", "cell"]).withColumn("chunk", chunk)
+        dealt.join(sizes, keys).withColumn("chunk", chunk)
         .withColumn("unit", F.explode(units))
-        .select("block", "cell", "vec_id", "weight", "vector", "unit.*")
-        .groupBy("block", "cell", "i", "j", "guests")
-        .applyInPandas(lambda part: compare(part, turn, blocks, cosine), PART)
+        .select(*keys, "vec_id", "weight", "vector", "unit.*")
+        .groupBy(*keys, "i", "j", "guests")
+        .applyInPandas(lambda part: compare(part, width, seed, cosine), PART)
     )
     met = pinned(met)
     counts = met.filter("second is null").groupBy(F.col("first").alias("rep")).agg(
@@ -216,10 +259,8 @@ def similar_vectors(
                 (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
                 F.coalesce("component", "rep").alias("component"))
     )
-    whole = F.transform("e", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x).cast("float"))
-    known = good & (F.size("e") == dims)
     return (
-        rows.withColumn("key", F.when(known, whole)).join(by_vector, "key", "left")
+        rows.withColumn("key", F.when(good, whole)).join(by_vector, "key", "left")
         .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                 F.coalesce("component", "vec_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

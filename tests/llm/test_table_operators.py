@@ -70,6 +70,69 @@ def test_subspace_join(spark, monkeypatch, chunk):
     assert subspace_join.similar_vectors(table.limit(0)).count() == 0
 
 
+def linked(vectors, cosine=0.9):
+    """Pairs at or above the cosine, from exactly scaled vectors of one length each."""
+    out = []
+    for i, a in enumerate(vectors):
+        for j, b in enumerate(vectors[:i]):
+            if len(a) == len(b):
+                x, y = (np.array(v) / np.abs(v).max() for v in (a, b))
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
+                    out.append((i, j))
+    return out
+
+
+def same_as_pairs(spark, vectors, **options):
+    table = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(vectors)],
+        "vec_id long, embedding array<double>")
+    found = {x["vec_id"]: x for x in subspace_join.similar_vectors(table, **options).collect()}
+    pairs = linked(vectors)
+    label = components_of(len(vectors), pairs)
+    for i in range(len(vectors)):
+        n = sum(i in pair for pair in pairs)
+        assert (found[i]["n_links"], found[i]["component_id"]) == (n, label[i]), i
+    return pairs
+
+
+@pytest.mark.parametrize("chunk", [1500, 5])
+def test_vectors_of_any_length_and_magnitude(spark, monkeypatch, chunk):
+    monkeypatch.setattr(subspace_join, "CHUNK", chunk)
+    r = np.random.default_rng(6)
+    vectors = []
+    for n in (1, 2, 3, 7, 20, 33):
+        for _ in range(4):
+            base = r.normal(size=n)
+            vectors += [base + r.normal(size=n) * s for s in (0, 0.1, 0.3)]
+    # The same directions at magnitudes that single precision does not hold.
+    vectors += [v * m for v, m in zip(vectors[:40], [1e300, 1e-300, 1e38, 5e-320] * 10, strict=True)]
+    vectors += [-vectors[5], vectors[5] * -3.0]
+    assert same_as_pairs(spark, vectors, width=5, pivots=4)
+
+
+def test_pairs_at_the_edges_of_blocks(spark):
+    """Pairs whose every block is a rounding error within or beyond its share of the budget."""
+    r = np.random.default_rng(7)
+    turn = subspace_join.rotation(20, 11)
+    vectors = []
+    for _ in range(60):
+        x, d = np.zeros(20), np.zeros(20)
+        off = r.choice([-1e-5, -1e-8, -2e-9, -1e-9, -1e-10, 0, 1e-10, 1e-9, 2e-9, 1e-8], 4)
+        off -= max(0, off.sum()) / 4 + 1e-9
+        for k in range(4):
+            a, b = r.normal(size=5), r.normal(size=5)
+            a /= np.linalg.norm(a) * 2
+            b -= a * (a @ b) / (a @ a)
+            share = 0.05 + off[k]
+            x[5 * k : 5 * k + 5] = a
+            alpha = -share / 2 / (a @ a)
+            d[5 * k : 5 * k + 5] = alpha * a + b / np.linalg.norm(b) * np.sqrt(
+                share - alpha * alpha * (a @ a))
+        vectors += [turn @ x, turn @ (x + d)]
+    pairs = same_as_pairs(spark, vectors, width=5, pivots=6)
+    assert len(pairs) >= 55
+
+
 def test_url_filter(spark):
     urls = [
         "http://www.Example.com/en/1", "https://example.com/en/2?x=/fr/", "http://a.net/fr/",
