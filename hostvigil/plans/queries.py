@@ -24,7 +24,7 @@ from hostvigil.plans.incremental import add_new_days, partial_alerts, read_parti
 from hostvigil.plans.layout import lay_out, layout_alerts, open_layout
 from hostvigil.schemas import CPU_MEM_ALERT, NET_DISK_ALERT, TOPICS, WIDE
 from hostvigil.session import scratch_dir
-from hostvigil.sinks.tables import publish_single_csv, replace_table, write_table
+from hostvigil.sinks.tables import drop_table, publish_single_csv, replace_table, write_table
 from hostvigil.sources.events import wide_from_events
 from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
@@ -279,6 +279,7 @@ def job_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rule in (CPU_MEM, NET_DISK):
         out = scratch_dir(spark, "reported")
         report = run_alert_job(*_pair(damaged, rule), rule, out, full_counts=True)
+        drop_table(spark, out)
         rows.append((
             rule.name, report.left_records, report.right_records, report.left_bad_times,
             report.right_bad_times, report.joined_records, report.earliest, report.windows,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hostvigil.functions import finite_number, is_number_text
+from hostvigil.functions import is_finite, is_number_text
 from hostvigil.schemas import WIDE
 
 # What begins a header line, and the blanks trimmed off the start of a line.
@@ -43,20 +43,25 @@ def _is_record() -> Column:
 
 def _check(rows: DataFrame) -> DataFrame:
     """Add ``problem``, complete ``raw`` for rows that have one, and null what is not finite."""
+    # Cast in a step of its own: both the check and the value use it, and it runs once.
+    cast = rows.withColumns(
+        {f"{name}_value": F.trim(F.col(name)).try_cast("double") for name in _METRICS}
+    )
     all_numbers = F.lit(True)
     for name in _METRICS:
         # The cast reads nearly all; the pattern knows further spellings of not-a-number.
-        text = F.col(name)
-        is_number = F.trim(text).try_cast("double").isNotNull() | is_number_text(text)
+        is_number = F.col(f"{name}_value").isNotNull() | is_number_text(F.col(name))
         all_numbers &= F.coalesce(is_number, F.lit(False))
     problem = F.when(F.col("raw").isNotNull(), "field_count").when(~all_numbers, "not_a_number")
     line = F.concat_ws(",", *(F.coalesce(name, F.lit("")) for name in WIDE.names))
-    return rows.select(
+    marked = cast.withColumn("problem", problem)
+    values = (F.col(f"{name}_value") for name in _METRICS)
+    return marked.select(
         _time().alias("ts"),
         "server_id",
-        *(finite_number(F.col(name)).alias(name) for name in _METRICS),
-        problem.alias("problem"),
-        F.when(problem.isNotNull(), F.coalesce("raw", line)).alias("raw"),
+        *(F.when(is_finite(v), v).alias(name) for name, v in zip(_METRICS, values, strict=True)),
+        "problem",
+        F.when(F.col("problem").isNotNull(), F.coalesce("raw", line)).alias("raw"),
     )
 
 

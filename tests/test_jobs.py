@@ -199,3 +199,15 @@ def test_every_job_has_a_command_line():
             cwd=ROOT, capture_output=True, text=True, timeout=60,
         )
         assert done.returncode == 0 and "usage" in done.stdout
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[3,2,1024]"])
+def test_clusters_need_a_shared_folder(master):
+    conf = {"spark.sql.warehouse.dir": "/warehouse"}
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session, "x")
+    conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert scratch_dir(session, "x").startswith("hdfs:///shared/hostvigil/x-")
+    session.sparkContext.master, conf["spark.checkpoint.dir"] = "local[4]", None
+    assert scratch_dir(session, "x").startswith("/warehouse/_scratch/")
