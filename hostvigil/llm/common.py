@@ -42,11 +42,15 @@ def whole_row(df: DataFrame) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    A session without that setting gets one beside its warehouse, on the same file system.
+    A session in one process may go without that setting and gets a folder beside its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-            ).rstrip("/")
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return folder.rstrip("/")
 
 
 def pinned(df: DataFrame) -> DataFrame:
