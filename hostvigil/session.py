@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -38,14 +39,15 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name for written intermediates and streaming checkpoints.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a session in one process
-    may go without that setting and use a folder beside its warehouse: on a cluster that could be a
-    disk of the driver's own.
+    It lies in the shared folder named by ``spark.checkpoint.dir``, or else beside the session's
+    warehouse. On a cluster a warehouse on a local disk will not do, as every machine has its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
         master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        alone = master.startswith("local") and not master.startswith("local-cluster")
+        if not alone and urlsplit(warehouse).scheme in ("", "file"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        shared = warehouse.rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/hostvigil/{name}-{uuid.uuid4().hex}"

@@ -193,7 +193,7 @@ def test_scratch_lies_in_the_shared_folder():
 
 
 def test_every_job_has_a_command_line():
-    for job in ("cpu_mem", "net_disk", "publish", "land"):
+    for job in ("cpu_mem", "net_disk", "publish", "land", "compact"):
         done = subprocess.run(
             [sys.executable, "-m", f"hostvigil.jobs.{job}", "--help"],
             cwd=ROOT, capture_output=True, text=True, timeout=60,
