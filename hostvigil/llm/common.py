@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +43,17 @@ def whole_row(df: DataFrame) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    A session in one process may go without that setting and gets a folder beside its warehouse.
+    A session without that setting gets one beside its warehouse, unless that is a local disk and
+    the executors are elsewhere.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
         master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        alone = master.startswith("local") and not master.startswith("local-cluster")
+        if not alone and urlsplit(warehouse).scheme in ("", "file"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        folder = warehouse.rstrip("/") + "/_checkpoints"
     return folder.rstrip("/")
 
 
