@@ -25,15 +25,24 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hostvigil.llm.common import pinned
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What an entry of the unigram table costs per letter, in the unit of the words' costs.
 LETTER_COST = math.log(27)
+TAGS = re.compile(r"<[^<>]*>")
+#: Host names and what follows them in a url; begun only where no name goes on.
+NAMES = re.compile(r"(?<![a-z0-9-])[a-z0-9-]+(?:\.[a-z0-9-]+)+(?:/[^\s<>]*)?")
+RUNS = re.compile("[a-z]+")
+#: Different words that a task adds up before it sends them.
+AT_ONCE = 300_000
 #: (verdict, host, path): a rule holds for its host and subdomains and for paths that begin so.
 RULES = (
     ("allow", "com", "/"),
@@ -69,17 +78,46 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return out
 
 
-def letter_runs(text: Column) -> Column:
-    """The runs of letters in a lower-case text."""
-    return F.filter(F.split(text, r"[^a-z]+", -1), lambda w: w != "")
+def shown_words(host: str, html: str | None) -> list[str]:
+    """The words that a page shows, but for urls, host names and the labels of its own host."""
+    text = NAMES.sub(" ", TAGS.sub(" ", (html or "").lower()))
+    own = set(RUNS.findall(host))
+    return [word for word in RUNS.findall(text) if word not in own]
+
 
+def counted_words(pages: DataFrame) -> DataFrame:
+    """(word, n, shown): how often words of pages (host, path, html) occur, and how often shown.
 
-def shown_words(url: Column, html: Column) -> Column:
-    """The words that a page shows, but for urls, host names and the labels of its own host."""
-    shown = F.regexp_replace(F.lower(F.coalesce(html, F.lit(""))), r"<[^<>]*>", " ")
-    named = F.regexp_replace(shown, r"[^\s<>]*(://|[a-z0-9-]\.[a-z]{2,})[^\s<>]*", " ")
-    own = F.split(host_of(url), r"[^a-z]+", -1)
-    return F.filter(letter_runs(named), lambda w: ~F.array_contains(own, w))
+    A task adds up what it reads before it sends anything, as far as its memory is meant to go.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shown, named = Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            found = [*shown, *(w for w in named if w not in shown)]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()),
+                 pa.array([shown[w] + named[w] for w in found], pa.int64()),
+                 pa.array([shown[w] for w in found], pa.int64())],
+                ["word", "n", "shown"])
+            shown.clear()
+            named.clear()
+            return out
+
+        for batch in batches:
+            for host, path, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                shown.update(shown_words(host, html))
+                for name in re.split("[./]", f"{host}/{path.lower()}"):
+                    if re.search("[-_+]", name):
+                        named.update(RUNS.findall(name))
+                if len(shown) + len(named) > AT_ONCE:
+                    yield flush()
+        yield flush()
+
+    counted = pages.select("host", "path", "html").mapInArrow(
+        count, "word string, n long, shown long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"))
 
 
 def word_counts(pages: DataFrame, spam_words: Sequence[str], rarest: float) -> dict[str, int]:
@@ -89,17 +127,13 @@ def word_counts(pages: DataFrame, spam_words: Sequence[str], rarest: float) -> d
     found in names only is left out if shown words or spam words read it. Labels that a hundredth
     of all hosts have, which can be a hundred times the labels of a host at most, are words.
     """
-    url, html = F.col("url"), F.col("html")
-    names = F.split(F.lower(F.concat_ws("/", host_of(url), path_of(url))), "[./]")
-    named = F.array_join(F.filter(names, lambda name: name.rlike("[-_+]")), " ")
-    found = pages.select(F.explode(shown_words(url, html)).alias("word"), F.lit(1).alias("shown"))
-    found = found.unionByName(
-        pages.select(F.explode(letter_runs(named)).alias("word"), F.lit(0).alias("shown")))
-    hosts = pages.select(host_of(url).alias("host")).distinct()
+    url = F.col("url")
+    named = pages.select(host_of(url).alias("host"), path_of(url).alias("path"), "html")
+    hosts = named.select("host").distinct()
     labels = hosts.select(F.explode(F.array_distinct(F.split("host", "[.]"))).alias("label"))
     shared = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("label").rlike("^[a-z]+$") & (F.col("n") * 100 >= F.lit(hosts.count())))
-    counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("shown").alias("shown"))
+    counted = pinned(counted_words(named))
     floor = rarest * (counted.agg(F.sum("n")).first()[0] or 0)
     rows = counted.filter((F.col("n") >= floor) | F.col("word").isin(*spam_words)).collect()
     spam = set(spam_words)
@@ -247,14 +281,27 @@ def beside_rule(host: Column, path: Column, rule: Column) -> tuple[Column, Colum
     return F.coalesce(rest, host), F.coalesce(left, path)
 
 
-def teachable(pages: DataFrame, spam_words: Sequence[str]) -> DataFrame:
-    """Per page its host, what its url holds besides a rule's place, how many words and spam words
-    it shows, and the rules' verdict if they judge all urls of the host alike."""
-    spam = F.array(*map(F.lit, spam_words))
-    measured = pages.withColumn("shown", shown_words(F.col("url"), F.col("html"))).select(
-        "host", "rest", "left", "verdict", F.size("shown").alias("n_words"),
-        F.size(F.filter("shown", lambda w: F.array_contains(spam, w))).alias("n_spam"),
-    )
+def teachable(pages: DataFrame, counts: dict[str, int], spam_words: Sequence[str]) -> DataFrame:
+    """Per page its host, the words that its url holds besides a rule's place, how many words and
+    spam words it shows, and the rules' verdict if they judge all urls of the host alike."""
+    sent = pages.sparkSession.sparkContext.broadcast((counts, frozenset(spam_words)))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, spam = sent.value
+        segmenter = Segmenter(table)
+        for batch in batches:
+            host, rest, left, _, html = (c.to_pylist() for c in batch.columns)
+            words = [shown_words(h, x) for h, x in zip(host, html, strict=True)]
+            tokens = [sorted(set(segmenter.tokens(a, b)))
+                      for a, b in zip(rest, left, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(3), pa.array(tokens, pa.list_(pa.string())),
+                 pa.array(map(len, words), pa.int64()),
+                 pa.array([sum(w in spam for w in x) for x in words], pa.int64())],
+                ["host", "verdict", "tokens", "n_words", "n_spam"])
+
+    measured = pinned(pages.select("host", "rest", "left", "verdict", "html").mapInArrow(
+        measure, "host string, verdict string, tokens array<string>, n_words long, n_spam long"))
     alike = measured.groupBy("host").agg(
         F.min("verdict").alias("least"), F.max("verdict").alias("most"),
         F.count_if(F.col("verdict").isNull()).alias("free"),
@@ -271,16 +318,14 @@ def learnt(
 
     How likely either label is before any word is taken from urls without a rule.
     """
-    pages = teachable(texts, spam_words)
+    pages = teachable(texts, counts, spam_words)
     totals = pages.agg(F.sum("n_spam").alias("s"), F.sum("n_words").alias("w"),
                        F.count_distinct("host").alias("hosts"))
     marked = F.array(*(F.lit(mark + word) for word in spam_words for mark in ("h:", "p:")))
     shown = F.col("n_spam") * F.col("w") > excess * F.col("s") * F.col("n_words")
     label = F.when(F.col("taught") == "block", True).when(F.col("taught") == "allow", False)
-    taught = tokenised(
-        pages.select("host", "rest", "left", "verdict", "taught", "n_words", "n_spam"), counts)
-    labelled = taught.crossJoin(F.broadcast(totals)).select(  # one row of sums
-        "host", "hosts", F.array_distinct("tokens").alias("tokens"),
+    labelled = pages.crossJoin(F.broadcast(totals)).select(  # one row of sums
+        "host", "hosts", "tokens",
         F.coalesce(label, shown | F.arrays_overlap("tokens", marked), F.lit(False)).alias("spam"),
         F.col("verdict").isNull().alias("open"),
     )
@@ -327,7 +372,7 @@ def filter_urls(
     counts = word_counts(parsed.select("url", "html"), spam_words, rarest)
     rest, left = beside_rule(F.col("host"), F.col("path"), F.col("rule"))
     model = learnt(
-        parsed.select("host", rest.alias("rest"), left.alias("left"), "verdict", "url", "html"),
+        parsed.select("host", rest.alias("rest"), left.alias("left"), "verdict", "html"),
         counts, spam_words, excess, common,
     )
     judged = tokenised(parsed.drop("url", "html"), counts)
