@@ -114,6 +114,12 @@ def _alerts(rule: Job, stamped: bool = False) -> str:
         FROM rounded"""
 
 
+def _with_thresholds(rule: Job, left: float, right: float) -> Job:
+    return rule._replace(
+        left=rule.left._replace(threshold=left), right=rule.right._replace(threshold=right)
+    )
+
+
 def _split(topic: str) -> str:
     columns = ", ".join(
         f"{name}::{kind} AS {name}" for name, kind in TOPICS[topic].items()
@@ -290,9 +296,13 @@ ORACLES: dict[str, str] = {
     "alerts_preview": f"SELECT * FROM ({_alerts(CPU_MEM)}) ORDER BY ALL LIMIT 20",
     "alerts_csv_roundtrip": _alerts(CPU_MEM),
     "net_disk_alerts_csv_roundtrip": _alerts(NET_DISK),
+    "cpu_mem_command_line": _alerts(_with_thresholds(CPU_MEM, 60.5, 45.0)),
+    "net_disk_command_line": _alerts(_with_thresholds(NET_DISK, 5000.25, 45.0)),
     "alerts_published": _alerts(NET_DISK),
     "alerts_single_file": _alerts(NET_DISK),
     "landed_deduplicated": _distinct_roundtrip(),
+    "message_counts": """
+        SELECT (event_id % 2)::INT AS run, 4 * count(*) AS messages FROM events GROUP BY ALL""",
     "landed_distinct": _distinct_roundtrip(),
     "landed_compacted": _roundtrip(),
     "incremental_cpu_mem_alerts": _alerts(CPU_MEM),

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from hostvigil.config import CPU_MEM, NET_DISK, AlertRule
 from hostvigil.functions import clock_of, encode_record, time_of_day
+from hostvigil.jobs.alerting import main as run_from_command_line
 from hostvigil.jobs.alerting import run_alert_job
 from hostvigil.operators.counts import count_by_topic, pair_summary
 from hostvigil.operators.matching import joined_rows, match_readings, merged_value, weigh
@@ -30,7 +31,7 @@ from hostvigil.sources.landed import read_alerts, read_landed, read_landed_topic
 from hostvigil.sources.wide_csv import read_wide_csv
 from hostvigil.streaming.continuous import continuous_alerts, start_alerts
 from hostvigil.streaming.heartbeat import drain_and_close, open_beats
-from hostvigil.streaming.landing import start_landing
+from hostvigil.streaming.landing import MessageCounter, start_landing
 from hostvigil.streaming.late import (
     add_corrections,
     corrected_windows,
@@ -43,6 +44,13 @@ from hostvigil.streaming.late import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Thresholds of the jobs run from their command lines; the flag is that of the second input.
+FILE_THRESHOLDS = {
+    "cpu_threshold": 60.5, "mem_threshold": 1, "net_in_threshold": 5000.25, "disk_io_threshold": 1,
+}
+FLAG_THRESHOLD = 45.0
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -363,6 +371,29 @@ def csv_roundtrip(rule: AlertRule, schema: StructType) -> Query:
     return run
 
 
+def command_line_query(rule: AlertRule, left: str, right: str, schema: StructType) -> Query:
+    """A whole job from its command line: CSV inputs, one threshold from a file and one from a flag,
+    the result read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "command-line")
+        wide = _wide(spark, sf_dir)
+        for side in (rule.left, rule.right):
+            write_table(split_topic(wide, side.topic), f"{folder}/{side.topic}", "csv")
+        lines = [f"{name}: {value}" for name, value in FILE_THRESHOLDS.items()]
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(
+            f"{folder}/thresholds")
+        run_from_command_line(rule, left, right, [
+            f"--{left}_csv", f"{folder}/{rule.left.topic}",
+            f"--{right}_csv", f"{folder}/{rule.right.topic}",
+            "--thresholds", f"{folder}/thresholds", f"--{right}_threshold", str(FLAG_THRESHOLD),
+            "--out", f"{folder}/alerts",
+        ])
+        return read_alerts(spark, f"{folder}/alerts", schema)
+
+    return run
+
+
 def alerts_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The network and disk alerts published as one folder of sorted parts, twice over, and read
     back."""
@@ -419,6 +450,23 @@ def landed_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that each of two runs of the landing reads, counted as its batches report them."""
+    folder = scratch_dir(spark, "counted")
+    counter = MessageCounter()
+    spark.streams.addListener(counter)
+    rows = []
+    try:
+        for part in range(2):
+            _by_instalment(spark, sf_dir, F.lit("2024-05-01"), 2, part).write.mode(
+                "append").parquet(f"{folder}/inbox")
+            rows.append((part, counter.wait(start_landing(
+                _stream_of(spark, f"{folder}/inbox"), f"{folder}/table", f"{folder}/checkpoint"))))
+    finally:
+        spark.streams.removeListener(counter)
+    return spark.createDataFrame(rows, "run int, messages long")
+
+
 def landed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records landed twice, copies and all, and read without the copies."""
     folder = scratch_dir(spark, "landed-twice")
@@ -585,9 +633,12 @@ QUERIES: dict[str, Query] = {
     "alerts_preview": alerts_preview,
     "alerts_csv_roundtrip": csv_roundtrip(CPU_MEM, CPU_MEM_ALERT),
     "net_disk_alerts_csv_roundtrip": csv_roundtrip(NET_DISK, NET_DISK_ALERT),
+    "cpu_mem_command_line": command_line_query(CPU_MEM, "cpu", "mem", CPU_MEM_ALERT),
+    "net_disk_command_line": command_line_query(NET_DISK, "net", "disk", NET_DISK_ALERT),
     "alerts_published": alerts_published,
     "alerts_single_file": alerts_single_file,
     "landed_deduplicated": landed_deduplicated,
+    "message_counts": message_counts,
     "landed_distinct": landed_distinct,
     "landed_compacted": landed_compacted,
     "incremental_cpu_mem_alerts": incremental_query(CPU_MEM),

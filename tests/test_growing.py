@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections import Counter
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -29,7 +31,13 @@ from hostvigil.schemas import CPU_MEM_ALERT, LANDED, WIDE
 from hostvigil.sinks.tables import replace_table, write_table
 from hostvigil.sources.landed import read_alerts, read_landed_topic
 from hostvigil.streaming.continuous import continuous_alerts, start_alerts
-from hostvigil.streaming.heartbeat import SilenceWatch, beat, drain_and_close, open_beats
+from hostvigil.streaming.heartbeat import (
+    SilenceWatch,
+    await_closing,
+    beat,
+    drain_and_close,
+    open_beats,
+)
 from hostvigil.streaming.landing import MessageCounter, start_landing
 from hostvigil.streaming.late import (
     add_corrections,
@@ -385,6 +393,31 @@ def test_beats_count_for_nothing(spark, tmp_path):
     assert rows_of(spark.read.parquet(out)) == rows_of(alerts(*pair(wide, CPU_MEM), CPU_MEM))
 
 
+def test_a_running_query_closes_windows_when_nothing_comes(spark, tmp_path):
+    inbox, beats, out, check = (str(tmp_path / x) for x in ("inbox", "beats", "out", "check"))
+    wide = spark.createDataFrame(stamped_rows(range(0, 60, 5)), STAMPED)
+    wide.write.parquet(inbox)
+    want = rows_of(alerts(*pair(wide, CPU_MEM), CPU_MEM))
+    result = continuous_alerts(
+        *as_stream(spark, inbox, CPU_MEM), CPU_MEM, beats=open_beats(spark, beats))
+    query = start_alerts(result, out, check)
+    waiting = threading.Thread(
+        target=await_closing, args=(spark, query, beats), daemon=True,
+        kwargs={"idle_seconds": 2, "poll_seconds": 0.5})
+    waiting.start()
+    try:
+        until = time.monotonic() + 90
+        found = Counter()
+        while found != want and time.monotonic() < until:
+            time.sleep(2)
+            found = rows_of(spark.read.schema(result.schema).parquet(out))
+        assert found == want
+    finally:
+        query.stop()
+    waiting.join(30)
+    assert not waiting.is_alive()
+
+
 def test_silence_is_that_of_the_source_silent_longest():
     def report(batch, *rows):
         sources = [SimpleNamespace(description=f"FileSource[/{'beats' if i == 2 else 'in'}]",
