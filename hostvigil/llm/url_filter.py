@@ -41,6 +41,8 @@ TAGS = re.compile(r"<[^<>]*>")
 #: Host names and what follows them in a url; begun only where no name goes on.
 NAMES = re.compile(r"(?<![a-z0-9-])[a-z0-9-]+(?:\.[a-z0-9-]+)+(?:/[^\s<>]*)?")
 RUNS = re.compile("[a-z]+")
+#: Parts that the pages of a host are dealt into.
+SALTS = 64
 #: Different words that a task adds up before it sends them.
 AT_ONCE = 300_000
 #: (verdict, host, path): a rule holds for its host and subdomains and for paths that begin so.
@@ -306,8 +308,14 @@ def teachable(pages: DataFrame, counts: dict[str, int], spam_words: Sequence[str
         F.min("verdict").alias("least"), F.max("verdict").alias("most"),
         F.count_if(F.col("verdict").isNull()).alias("free"),
     ).filter((F.col("least") == F.col("most")) & (F.col("free") == 0))
-    judged = alike.select(F.col("host").alias("of"), F.col("least").alias("taught"))
-    return measured.join(judged, F.col("host") == F.col("of"), "left").drop("of")
+    # A host's pages are dealt to several tasks; its verdict goes to each of them.
+    judged = alike.select(
+        F.col("host").alias("of"), F.col("least").alias("taught"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of_salt"))
+    salted = measured.withColumn(
+        "salt", F.pmod(F.xxhash64("tokens", "n_words", "n_spam"), F.lit(SALTS)))
+    same = (F.col("host") == F.col("of")) & (F.col("salt") == F.col("of_salt"))
+    return salted.join(judged, same, "left").drop("of", "of_salt", "salt")
 
 
 def learnt(
