@@ -59,11 +59,13 @@ class Chunk:
         """The union of the slices' sets, by pair and document, with multiplicities."""
         if not self.keys:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        keys = np.concatenate(self.keys)
         self.keys.clear()
+        order = np.argsort(keys, kind="stable").astype(np.uint32)
+        keys = keys[order]
+        counts = np.concatenate(self.counts)[order]
         self.counts.clear()
-        order = np.argsort(keys, kind="stable")
-        return keys[order], counts[order]
+        return keys, counts
 
     def sets(self, most: int) -> list[tuple[np.ndarray, pa.Array, pa.Array]]:
         """(pairs, document sets, planes) for about ``most`` document numbers at a time."""

@@ -36,11 +36,13 @@ from hostvigil.llm.pair_bitmaps import (
     total,
 )
 
-#: Pieces of text that a task remembers; beyond it the memory is emptied.
-REMEMBERED = 400_000
+#: Pieces of text that a task remembers; beyond it only the third seen most often is kept.
+REMEMBERED = 200_000
+#: Pieces that are tokenised as one text.
+JOINED = 64
 #: Bytes of text aligned at a time, and (pair, document) numbers that close a chunk.
-SLICE_BYTES = 1 << 21
-CHUNK_NUMBERS = 6_000_000
+SLICE_BYTES = 1 << 20
+CHUNK_NUMBERS = 2_500_000
 
 _MAPPED = (
     "chunk long, slot int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
@@ -106,15 +108,20 @@ def piece_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     A cut needs a character before the blank that is surely not white space: visible ASCII, or of
     the two- and three-byte ranges without any. Elsewhere pieces just grow longer.
     """
-    p1, p2, p3 = (np.concatenate([np.zeros(k, np.uint8), data[:-k or None]])[: len(data)]
-                  for k in (1, 2, 3))
+    at = np.flatnonzero(data == 0x20)
+    cut = np.zeros(len(data), bool)
+    cut[at[visible_before(data, at)]] = True
+    cut[text_starts] = True
+    return np.flatnonzero(cut)
+
+
+def visible_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is surely not white space."""
+    p1, p2, p3 = (np.where(at >= k, data[np.maximum(at - k, 0)], 0) for k in (1, 2, 3))
     inner = p1 >= 0x80
     visible = (p1 > 0x20) & (p1 < 0x7F)
     visible |= inner & (p2 >= 0xC3) & (p2 <= 0xDF)
-    visible |= inner & (p2 >= 0x80) & (p2 < 0xC0) & (p3 >= 0xE4) & (p3 <= 0xEE)
-    cut = (data == 0x20) & visible
-    cut[text_starts] = True
-    return np.flatnonzero(cut)
+    return visible | (inner & (p2 >= 0x80) & (p2 < 0xC0) & (p3 >= 0xE4) & (p3 <= 0xEE))
 
 
 class Aligner:
@@ -125,26 +132,50 @@ class Aligner:
         self.sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (first, second)]
         self.vocabulary = [np.frombuffer(b"".join(t.bytes), np.uint8) for t in (first, second)]
         self.at = [starts_of(x) for x in self.sizes]
+        # Every id as text, followed by what may follow it; see ``_shown``.
+        self.names = pa.array(
+            [f"{k}{end}" for t, marks in ((first, ",|"), (second, ",;"))
+             for k in range(len(t.bytes)) for end in marks],
+            pa.large_string(),
+        )
         self.forget()
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
+        self.uses = np.zeros(0, np.int64)
         self.valid = np.zeros(0, bool)
         self.counts = np.zeros((0, 4), np.int64)  # tokens of either side, groups, links
         self.link_starts = np.zeros(0, np.int64)
         self.links = np.zeros(0, np.int64)
-        self.groups: list[str] = []
+        self.shown_starts = np.zeros(0, np.int64)
+        self.shown = np.zeros(0, np.int32)
+
+    def keep(self, most: int) -> None:
+        """Forget all but the pieces seen most often; what was seen long ago counts less and less."""
+        kept = np.sort(np.argpartition(self.uses, -most)[-most:])
+        names = list(self.places)  # in the order of their numbers
+        self.places = {names[k]: n for n, k in enumerate(kept.tolist())}
+        links, shown = self.counts[kept, 3], self.counts[kept, 0] + self.counts[kept, 1]
+        self.links = self.links[ranges(self.link_starts[kept], links)]
+        self.shown = self.shown[ranges(self.shown_starts[kept], shown)]
+        self.link_starts, self.shown_starts = starts_of(links), starts_of(shown)
+        self.counts, self.valid = self.counts[kept], self.valid[kept]
+        self.uses = self.uses[kept] // 2
 
     def learn(self, pieces: list[str]) -> None:
         raw = [x.encode() for x in pieces]
         data = np.frombuffer(b"".join(raw), np.uint8)
         lengths = np.array([len(x) for x in raw], np.int64)
+        joinable = visible_before(data, np.cumsum(lengths))
+        if not joinable.all():
+            order = np.argsort(~joinable, kind="stable")
+            pieces = [pieces[k] for k in order.tolist()]
+            data = data[ranges(starts_of(lengths)[order], lengths[order])]
+            lengths = lengths[order]
         valid = np.ones(len(pieces), bool)
         flat, tokens = [], []
-        for k, tokenizer in enumerate((self.first, self.second)):
-            ids = tokenizer.encode(pieces)
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            all_ids = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+        for k in (0, 1):
+            all_ids, n = self._encoded(k, pieces, lengths, int(joinable.sum()))
             flat.append(all_ids)
             tokens.append(n)
             valid &= self._spells(k, all_ids, n, data, lengths)
@@ -165,13 +196,48 @@ class Aligner:
         n_groups = np.diff(last, prepend=0)
         self.places.update(zip(pieces, range(len(self.places), len(self.places) + len(pieces)),
                                strict=True))
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
         self.valid = np.concatenate([self.valid, valid])
         self.counts = np.concatenate(
             [self.counts, np.stack([tokens[0], tokens[1], n_groups, n_links], 1)])
         self.link_starts = np.concatenate(
             [self.link_starts, len(self.links) + starts_of(n_links)])
         self.links = np.concatenate([self.links, links])
-        self.groups += _group_texts(a, b, group_a, group_b, n_groups)
+        n_shown = tokens[0] + tokens[1]
+        self.shown_starts = np.concatenate(
+            [self.shown_starts, len(self.shown) + starts_of(n_shown)])
+        self.shown = np.concatenate(
+            [self.shown, _shown(a, b, group_a, group_b, 2 * len(self.first.bytes))])
+
+    def _encoded(
+        self, k: int, pieces: list[str], lengths: np.ndarray, joinable: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces by one tokenizer, and how many each has.
+
+        The first ``joinable`` pieces end visibly, so a text of several is cut where they are; where
+        tokens do not end with the pieces all the same, these are encoded one by one.
+        """
+        tokenizer, sizes = (self.first, self.second)[k], self.sizes[k]
+        flat, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def add(ids: list[list[int]]) -> None:
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(counts[-1].sum())))
+
+        begins = range(0, joinable, JOINED)
+        texts = ["".join(pieces[at : min(at + JOINED, joinable)]) for at in begins]
+        for at, ids in zip(begins, tokenizer.encode(texts), strict=True):
+            stop = min(at + JOINED, joinable)
+            ids = np.array(ids, np.int64)
+            ends, wanted = np.cumsum(sizes[ids]), np.cumsum(lengths[at:stop])
+            last = np.searchsorted(ends, wanted, "right")
+            if len(ends) and last[-1] == len(ends) and last[0] and (ends[last - 1] == wanted).all():
+                flat.append(ids)
+                counts.append(np.diff(last, prepend=0))
+            else:
+                add(tokenizer.encode(pieces[at:stop]))
+        add(tokenizer.encode(pieces[joinable:]))
+        return np.concatenate(flat), np.concatenate(counts)
 
     def _spells(self, k: int, ids: np.ndarray, n: np.ndarray, data: np.ndarray,
                 lengths: np.ndarray) -> np.ndarray:
@@ -194,28 +260,31 @@ class Aligner:
         coded = pieces.dictionary_encode()
         different = coded.dictionary.to_pylist()
         new = [x for x in different if x not in self.places]
-        if len(self.places) + len(new) > REMEMBERED and self.places:
-            self.forget()
-            new = different
+        most = REMEMBERED // 3
+        if len(self.places) + len(new) > REMEMBERED and len(self.places) > most > 0:
+            self.keep(most)
+            new = [x for x in different if x not in self.places]
         if new:
             self.learn(new)
         places = np.fromiter(map(self.places.__getitem__, different), np.int64, len(different))
-        return places[coded.indices.to_numpy()]
+        indices = coded.indices.to_numpy()
+        self.uses[places] += np.bincount(indices, minlength=len(places))
+        return places[indices]
 
 
-def _group_texts(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray,
-                 n_groups: np.ndarray) -> list[str]:
-    """Every piece's groups as text, from where each group ends among the tokens."""
-    names_a, names_b = (list(map(str, x.tolist())) for x in (a, b))
-    texts, p, q = [], 0, 0
-    for u, v in zip(ends_a.tolist(), ends_b.tolist(), strict=True):
-        texts.append(f"{','.join(names_a[p:u])}|{','.join(names_b[q:v])}")
-        p, q = u, v
-    joined, at = [], 0
-    for n in n_groups.tolist():
-        joined.append(";".join(texts[at : at + n]))
-        at += n
-    return joined
+def _shown(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, base: int
+           ) -> np.ndarray:
+    """Both sides' tokens group by group, each as a place among an aligner's ``names``.
+
+    ``ends_a`` and ``ends_b`` say where each group ends among the tokens of either side. The last
+    token of a side in a group is followed by ``|`` or ``;``, the others by a comma.
+    """
+    of_a = np.searchsorted(ends_a, np.arange(len(a)), "right")
+    of_b = np.searchsorted(ends_b, np.arange(len(b)), "right")
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[ends_a - 1] = last_b[ends_b - 1] = 1
+    order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")
+    return np.concatenate([2 * a + last_a, base + 2 * b + last_b])[order].astype(np.int32)
 
 
 def align_documents(docs: DataFrame, first_file: str, second_file: str) -> DataFrame:
@@ -259,6 +328,7 @@ def map_documents(docs: DataFrame, first_file: str, second_file: str) -> DataFra
                                    texts.take(pa.array(np.arange(at, at + n))),
                                    base + number, used, chunk)
                     used += n
+                release_memory()
         if used:
             yield from _postings(base + number, chunk)
         aligner.forget()
@@ -294,12 +364,20 @@ def _aligned(aligner: Aligner, doc_ids: pa.Array, texts: pa.Array, chunk_id: int
     n_links = aligner.counts[codes, 3]
     chunk.add(aligner.links[ranges(aligner.link_starts[codes], n_links)],
               np.repeat(of + used, n_links))
-    digests, ends = [], np.searchsorted(of, np.arange(n), "right").tolist()
-    group_of, numbers, at = aligner.groups, codes.tolist(), 0
-    for end in ends:
-        text = ";".join([group_of[c] for c in numbers[at:end]])
-        digests.append(hashlib.sha256(text.encode()).hexdigest() if end > at else "")
-        at = end
+    n_shown = aligner.counts[codes, 0] + aligner.counts[codes, 1]
+    named = aligner.names.take(
+        pa.array(aligner.shown[ranges(aligner.shown_starts[codes], n_shown)]))
+    # The names lie one after another in one buffer, so a document's groups are a part of it.
+    upto = np.concatenate([[0], np.cumsum(n_shown)])[
+        np.searchsorted(of, np.arange(n + 1), "left")]
+    places, buffer = [0] * (n + 1), memoryview(b"")
+    if len(named):
+        places = np.frombuffer(named.buffers()[1], np.int64)[upto].tolist()
+        buffer = memoryview(named.buffers()[2])
+    digests = [
+        hashlib.sha256(buffer[low : high - 1]).hexdigest() if high > low else ""
+        for low, high in zip(places, places[1:], strict=False)
+    ]
     nothing = pa.nulls(n)
     return pa.RecordBatch.from_arrays(
         [
