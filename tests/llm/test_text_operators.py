@@ -610,6 +610,27 @@ def test_toxicity_learns(spark):
     assert {x["doc_id"]: x for x in rescored} == scored
 
 
+def test_toxicity_learns_from_every_label(spark):
+    n = 7000
+    ids = spark.range(n).select("id").orderBy(F.xxhash64("id", F.lit(17)), "id")
+    late = {x["id"] for x in ids.collect()[5000:]}  # far from the first by a hash of the id
+    r = random.Random(4)
+    rows, labels = [], []
+    for i in range(n):
+        text, toxic = [f"w{r.randrange(200)}" for _ in range(6)], i % 5 == 0
+        if toxic:
+            text[r.randrange(6)] = "scoundrel" if i in late else "idiot"
+        rows.append((i, " ".join(text), "en"))
+        labels.append((i, int(toxic)))
+    rows += [(n, "w1 w2 scoundrel w3 w4", "en"), (n + 1, "w1 w2 w5 w3 w4", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {x["doc_id"]: x for x in toxicity.score_documents(docs, model).collect()}
+    assert found[n]["toxic"] and found[n]["score"] >= 0.5 > found[n + 1]["score"]
+    held = [i for i in range(n) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((found[i]["score"] >= 0.5) == bool(labels[i][1]) for i in held) > 0.98 * len(held)
+
+
 def test_scores_do_not_depend_on_batches():
     rng = np.random.default_rng(3)
     lengths = rng.integers(0, 60, 500)
