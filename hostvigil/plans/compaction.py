@@ -41,13 +41,15 @@ def compact_days(
     before: str | None = None,
     topics: Iterable[str] = tuple(TOPICS),
     file_bytes: int = 256 << 20,
+    file_rows: int = 2_000_000,
 ) -> list[tuple[date, str]]:
     """Compact all days of arrival before a day (``yyyy-MM-dd``, else today) that have changed;
     returns (day, topic) of what was rewritten.
 
     Rows are dealt by ranges of (day, topic, server, time), so a day of a busy server is spread over
-    files as well, and a file's row groups hold few servers each. Partitions are replaced whole:
-    a run that fails is repeated.
+    files as well, and a file's row groups hold few servers each. A file has about ``file_rows`` rows
+    at most, however well they were compressed, as the task that writes it sorts them. Partitions
+    are replaced whole: a run that fails is repeated.
     """
     last = F.current_date() if before is None else F.lit(date.fromisoformat(before))
     changed = _changed(spark, landing, compacted, topics).filter(F.col("ingest_date") < last)
@@ -62,10 +64,11 @@ def compact_days(
     )
     marked = landed.withColumn("source", sources[F.concat_ws("/", *_BY)])
     order = [*_BY, "server_id", "ts"]
-    files = -(-sum(row.bytes for row in rows) // file_bytes)
+    marked = marked.filter(F.col("source").isNotNull())
+    # The files' footers hold their numbers of rows.
+    files = max(-(-sum(row.bytes for row in rows) // file_bytes), -(-marked.count() // file_rows))
     (
-        marked.filter(F.col("source").isNotNull())
-        .repartitionByRange(files, *order)
+        marked.repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -279,6 +279,16 @@ def scanned(df):
     return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
 
 
+def test_compaction_sorts_a_bounded_number_of_rows_a_task(spark, tmp_path):
+    folder, table, days = str(tmp_path), str(tmp_path / "table"), tmp_path / "days"
+    land(spark, folder, clock_rows(3, 400, servers=9), 1)
+    want = rows_of(read_landed_topic(spark, table, "topic-cpu"))
+    compact_days(spark, table, str(days), before="2024-05-03", file_rows=200)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in days.rglob("*.parquet")]
+    assert max(sizes) < 400 < sum(sizes)
+    assert rows_of(read_landed_topic(spark, table, "topic-cpu", compacted=str(days))) == want
+
+
 def test_compaction_leaves_today_alone_and_takes_some_topics(spark, tmp_path):
     table, days = str(tmp_path / "table"), str(tmp_path / "days")
     rows = spark.createDataFrame(clock_rows(3, 9), WIDE)
