@@ -34,8 +34,10 @@ from hostvigil.llm.common import (
     flat_lists,
     pinned,
     ranges,
+    release_memory,
     slices,
     starts_of,
+    stored,
     text_key,
     word_hashes,
 )
@@ -98,6 +100,7 @@ def anchors(docs: DataFrame, span: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), lists], ["doc_id", "key", "anchors"]
             )
+        release_memory()
 
     return docs.select("doc_id", "key", word_hashes(F.col("text")).alias("words")).mapInArrow(
         find, "doc_id long, key long, anchors array<long>"
@@ -147,6 +150,7 @@ def units(docs: DataFrame, span: int) -> DataFrame:
                      pa.array(out[6], pa.binary()).cast(pa.string())],
                     ["doc_id", "key", "anchor", "is_hot", "start", "windows", "text"],
                 )
+        release_memory()
 
     return docs.select(
         "doc_id", "key", "text", word_hashes(F.col("text")), "wanted", "hot"
@@ -358,7 +362,7 @@ def remove_repeats(docs: DataFrame, span: int = 20, hot: int = 32768) -> DataFra
         F.collect_set(F.struct("anchor", (F.col("n") > hot).cast("long").alias("hot")))
         .alias("found")
     ).select("doc_id", "key", F.col("found.anchor").alias("wanted"), F.col("found.hot").alias("hot"))
-    cut = pinned(units(rows.dropna(subset=["doc_id"]).join(wanted, ["doc_id", "key"]), span))
+    cut = stored(units(rows.dropna(subset=["doc_id"]).join(wanted, ["doc_id", "key"]), span))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     cold = (
         cut.filter("not is_hot").withColumn("shard", shard)
@@ -398,6 +402,7 @@ def remove_repeats(docs: DataFrame, span: int = 20, hot: int = 32768) -> DataFra
                  pa.array(texts, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "removed", "text"],
             )
+        release_memory()
 
     return joined.select("doc_id", "text", "spans").mapInArrow(
         strip, "doc_id long, n_words long, removed array<struct<start:int,length:int>>, text string"

@@ -11,6 +11,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -19,6 +20,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hostvigil.llm import (
+    common,
     order_minhash,
     packing,
     pii,
@@ -631,6 +633,19 @@ def test_toxicity_learns_from_every_label(spark):
     assert sum((found[i]["score"] >= 0.5) == bool(labels[i][1]) for i in held) > 0.98 * len(held)
 
 
+def test_passages_cut_out_take_little_of_the_shared_folder(spark):
+    r = random.Random(6)
+    shared = " ".join(f"shared{r.randrange(10**6)}" for _ in range(400))
+    texts = [f"{shared} own{i} {r.random()}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = Path(common.shared_folder(spark).removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    before = size()
+    found = {x["doc_id"]: x for x in substring_dedup.remove_repeats(docs).collect()}
+    assert found[0]["removed"] == [] and found[7]["text"].startswith("own7 ")
+    assert size() - before < sum(map(len, texts)) / 2
+
+
 def test_scores_do_not_depend_on_batches():
     rng = np.random.default_rng(3)
     lengths = rng.integers(0, 60, 500)
