@@ -67,9 +67,12 @@ def pinned(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The same in columns and compressed, which takes less of the shared folder."""
+    """The same in columns and compressed, which takes less of the shared folder.
+
+    Groups of rows are small, as every task of an executor holds one before it is written.
+    """
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

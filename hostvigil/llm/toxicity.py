@@ -370,6 +370,24 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(1))
 
 
+def holders(rows: DataFrame) -> np.ndarray:
+    """How many texts of label 1 and of label 0 hold each row of the two tables."""
+    mask = (1 << TABLE_BITS) - 1
+    places = F.concat(
+        F.transform("words", lambda h: h.bitwiseAND(mask)),
+        F.transform("words", lambda h: F.shiftright(h, TABLE_BITS).bitwiseAND(mask) + mask + 1),
+    )
+    held = (
+        rows.select("toxic", F.explode(F.array_distinct(places)).alias("place"))
+        .groupBy("place").agg(F.count_if(F.col("toxic") == 1).alias("hot"),
+                              F.count_if(F.col("toxic") == 0).alias("cold"))
+        .toArrow()
+    )  # a row per table row at most
+    counts = np.zeros((2, 2 << TABLE_BITS))
+    counts[:, held["place"].to_numpy()] = held["hot"].to_numpy(), held["cold"].to_numpy()
+    return counts.reshape(2, 2, 1 << TABLE_BITS)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit to all labelled rows outside folds 0 and 1; all of fold 1 calibrates the thresholds.
 
@@ -398,21 +416,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         F.coalesce(F.sum(F.size("words")), F.lit(0)),
     ).first()
     zeros = n - ones
-    mask = (1 << TABLE_BITS) - 1
-    places = F.concat(
-        F.transform("words", lambda h: h.bitwiseAND(mask)),
-        F.transform("words", lambda h: F.shiftright(h, TABLE_BITS).bitwiseAND(mask) + mask + 1),
-    )
-    held = (
-        fitted.select("toxic", F.explode(F.array_distinct(places)).alias("place"))
-        .groupBy("place").agg(F.count_if(F.col("toxic") == 1).alias("hot"),
-                              F.count_if(F.col("toxic") == 0).alias("cold"))
-        .toArrow()
-    )  # a row per table row at most
-    counts = np.zeros((2, 2 << TABLE_BITS))
-    counts[:, held["place"].to_numpy()] = held["hot"].to_numpy(), held["cold"].to_numpy()
-    hot, cold = counts.reshape(2, 2, 1 << TABLE_BITS)
-    model = new_model(log_odds(hot, cold, ones, zeros), ones, zeros)
+    odds = np.zeros((2, 1 << TABLE_BITS), np.float32)
     if ones and zeros:
         shards = max(-(-n // SHARD_ROWS), -(-words // SHARD_WORDS))
         shard = F.pmod(F.xxhash64("doc_id", "key", F.lit(17)), F.lit(shards)).cast("int")
@@ -420,6 +424,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             fitted.select(shard.alias("shard"), "doc_id", "key", "lang", "toxic", "words")
             .repartition(shards, "shard")
         )
+        hot, cold = holders(dealt)
+        odds = log_odds(hot, cold, ones, zeros)
+    model = new_model(odds, ones, zeros)
+    if ones and zeros:
         for turn in range(ROUNDS):
             model = averaged(dealt, model, turn, ones, zeros, shards)
         settle(model, ones, zeros)
