@@ -3,14 +3,42 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from hostvigil.operators.repeats import drop_stream_repeats
 from hostvigil.operators.split import from_records
+from hostvigil.session import PREFERRED
+
+_STORE = "spark.sql.streaming.stateStore"
+#: State on executors' disks, in memory that all stores of an executor share. Spark's own default
+#: holds every key in the heap, some 270 bytes each and twice over once a second batch has come.
+STATE_ON_DISK = {
+    f"{_STORE}.providerClass": PREFERRED[f"{_STORE}.providerClass"],
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    # Counting all keys reads each one before it is written; progress reports then show no total.
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started meanwhile keep their state on disk, unless the session says otherwise.
+
+    A query keeps the settings it was started with; a checkpoint keeps its kind of store.
+    """
+    added = [key for key in STATE_ON_DISK if spark.conf.get(key, None) is None]
+    for key in added:
+        spark.conf.set(key, STATE_ON_DISK[key])
+    try:
+        yield
+    finally:
+        for key in added:
+            spark.conf.unset(key)
 
 
 def start_landing(
@@ -31,7 +59,8 @@ def start_landing(
 
     Records published again are landed again, unless ``distinct_within`` names a time (such as
     ``1 day``): a record equal to one taken in at most that long ago is then left out. The state
-    for it lies in the checkpoint, so a landing begun without it needs a new one to use it.
+    for it lies in the checkpoint, so a landing begun without it needs a new one to use it. It is
+    kept on disk, unless the session names another kind of store.
     """
     stamped = "timestamp" in records.columns
     arrived = F.to_date("timestamp") if stamped else F.current_date()
@@ -45,9 +74,9 @@ def start_landing(
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    with _state_on_disk(records.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 class MessageCounter(StreamingQueryListener):

@@ -38,7 +38,7 @@ from hostvigil.streaming.heartbeat import (
     drain_and_close,
     open_beats,
 )
-from hostvigil.streaming.landing import MessageCounter, start_landing
+from hostvigil.streaming.landing import STATE_ON_DISK, MessageCounter, start_landing
 from hostvigil.streaming.late import (
     add_corrections,
     corrected_windows,
@@ -101,6 +101,24 @@ def test_copies_within_the_time_are_left_out_across_restarts(spark, tmp_path):
     assert refused.count() == 1
 
 
+def test_state_lies_on_disk_unless_the_session_says_otherwise(spark, tmp_path):
+    rows = clock_rows(3, 20)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    in_heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    for given in (None, in_heap):
+        plain = spark.newSession()
+        if given:
+            plain.conf.set(provider, given)
+        before = {key: plain.conf.get(key, None) for key in STATE_ON_DISK}
+        folder = tmp_path / str(given)
+        for day in (1, 2):
+            land(plain, str(folder), rows, day, distinct_within="1 day")
+        assert {key: plain.conf.get(key, None) for key in STATE_ON_DISK} == before
+        assert any((folder / "check/state").rglob("*.zip")) == (given is None)
+        want = split_topic(plain.createDataFrame(rows, WIDE), "topic-net").distinct()
+        assert rows_of(read_landed_topic(plain, f"{folder}/table", "topic-net")) == rows_of(want)
+
+
 def test_copies_are_landed_by_default(spark, tmp_path):
     rows = clock_rows(3, 6)
     for day in (1, 2):
