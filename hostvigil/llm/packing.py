@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 import sys
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,11 @@ SCHEMA = (
 REMEMBERED = 1_200_000
 #: Words encoded at a time: the tokenizer's results take some 2 KB a word until they are read.
 AT_ONCE = 4096
+#: Words encoded as one text, each followed by a bar: a text costs the tokenizer as much as a word.
+JOINED = 64
+BAR = "|"
+#: Bytes of text whose different words are looked up together.
+LOOKED_UP = 1 << 22
 
 
 class WordIds:
@@ -69,8 +74,32 @@ class WordIds:
             lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
         return np.concatenate(flat), np.concatenate(lengths)
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode`, for texts without blanks or bars, many of them in one text."""
+        bar = self.tokenizer.encode(BAR, add_special_tokens=False).ids
+        if len(bar) != 1:
+            return self.encode(words)
+        flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at : at + AT_ONCE]
+            ids, _ = self.encode([
+                f" {BAR} ".join([*some[i : i + JOINED], ""]) for i in range(0, len(some), JOINED)])
+            ends = np.flatnonzero(ids == bar[0])
+            if len(ends) == len(some):
+                flat.append(np.delete(ids, ends))
+                lengths.append(np.diff(ends, prepend=-1) - 1)
+            else:  # the bar's id is that of something else as well
+                ids, counts = self.encode(some)
+                flat.append(ids)
+                lengths.append(counts)
+        return np.concatenate(flat), np.concatenate(lengths)
+
     def remember(self, new: list[str]) -> None:
-        ids, lengths = self.encode(new)
+        barred = [w for w in new if BAR in w]
+        plain = [w for w in new if BAR not in w] if barred else new
+        new = plain + barred
+        ids, lengths = map(
+            np.concatenate, zip(self.encode_words(plain), self.encode(barred), strict=True))
         at, total = len(self.places), int(lengths.sum())
         if at + len(new) > len(self.starts):
             more = max(len(self.starts), len(new))
@@ -97,12 +126,15 @@ class WordIds:
         split = pc.ascii_split_whitespace(apart)
         all_words = split.flatten().dictionary_encode()
         different = all_words.dictionary.to_pylist()
-        new = [w for w in different if w not in self.places]
-        if len(self.places) + len(new) > REMEMBERED:
+        places = np.fromiter(
+            map(self.places.get, different, repeat(-1)), np.int64, len(different))
+        unknown = np.flatnonzero(places < 0)
+        if len(self.places) + len(unknown) > REMEMBERED:
             self.forget()
-            new = different
+            unknown = np.arange(len(different))
+        new = [different[i] for i in unknown.tolist()]
         self.remember(new)
-        places = np.fromiter(map(self.places.__getitem__, different), np.int64, len(different))
+        places[unknown] = np.fromiter(map(self.places.__getitem__, new), np.int64, len(new))
         places = places[all_words.indices.to_numpy()]
         lengths = self.lengths[places]
         flat = self.ids[ranges(self.starts[places], lengths)]
@@ -187,29 +219,36 @@ def pack_documents(
         base = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         tokens = made = 0
+        step = max(1, buffer_tokens // 2)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = pc.fill_null(batch.column(1), "")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-            for low, high in slices(sizes, buffer_tokens // 2):
+            ranges_of_rows = slices(sizes, step)
+            for first, last in slices(sizes, max(1, LOOKED_UP // step) * step):
                 # Taken, not sliced: casts of slices keep offsets that later steps misread.
-                flat, counts = word_ids(texts.take(pa.array(np.arange(low, high))))
+                flat, counts = word_ids(texts.take(pa.array(np.arange(first, last))))
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1
-                for doc_id, begin, n in zip(
-                    doc_ids[low:high], starts_of(counts).tolist(), counts.tolist(), strict=True
-                ):
-                    for start in range(0, n, capacity):
-                        stop = min(start + capacity, n)
-                        held.append((doc_id, start, flat[begin + start : begin + stop], n))
-                    tokens += n
-                if tokens >= buffer_tokens:
-                    placed, left = place([len(h[2]) for h in held], capacity, quadratic)
-                    yield _rows(held, placed, base + made)
-                    made += tokens // capacity
-                    held = [(held[i][0], held[i][1] + a, held[i][2][a : a + n].copy(), held[i][3])
-                            for i, a, n in left]
-                    tokens = sum(len(h[2]) for h in held)
+                begins = starts_of(counts).tolist()
+                counts = counts.tolist()
+                # Ranges of so many steps end where ranges of one step do.
+                for low, high in ranges_of_rows:
+                    if not first <= low < last:
+                        continue
+                    for row in range(low, high):
+                        begin, n = begins[row - first], counts[row - first]
+                        for start in range(0, n, capacity):
+                            stop = min(start + capacity, n)
+                            held.append((doc_ids[row], start, flat[begin + start : begin + stop], n))
+                        tokens += n
+                    if tokens >= buffer_tokens:
+                        placed, left = place([len(h[2]) for h in held], capacity, quadratic)
+                        yield _rows(held, placed, base + made)
+                        made += tokens // capacity
+                        held = [(held[i][0], held[i][1] + a, held[i][2][a : a + n].copy(), held[i][3])
+                                for i, a, n in left]
+                        tokens = sum(len(h[2]) for h in held)
         placed, left = place([len(h[2]) for h in held], capacity, quadratic)
         full = tokens // capacity
         placed += [(i, a, n, full + s, o) for i, a, n, s, o in powers_of_two(left)]

@@ -283,6 +283,29 @@ def test_word_ids_equal_the_tokenizer():
     assert by_word(texts)[1].tolist() == whole(texts)[1].tolist()
 
 
+def test_words_are_encoded_jointly(monkeypatch):
+    """Words with and without bars, which join them, and one text for many new words."""
+    source = open(queries.TOKENIZER, encoding="utf-8").read()
+    by_word, whole = packing.WordIds(source, True), packing.WordIds(source, False)
+    r = random.Random(7)
+    words = ["|", "||", "a|b", "|'s", "'s", "é|", *(
+        "".join(r.choice("abé'.|Σ\u0301\u0338=9中") for _ in range(r.randint(1, 9)))
+        for _ in range(3000))]
+    asked = []
+    encode = packing.WordIds.encode
+    monkeypatch.setattr(packing.WordIds, "encode", lambda self, texts: (
+        asked.append(len(texts)), encode(self, texts))[1])
+    for texts in (words, [" ".join(words)]):
+        assert by_word(texts)[0].tolist() == whole(texts)[0].tolist()
+        assert by_word(texts)[1].tolist() == whole(texts)[1].tolist()
+        by_word.forget()
+    plain = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'u' * (i // 100)}"
+             for i in range(1000)]
+    asked.clear()
+    assert by_word(plain)[0].tolist() == encode(whole, plain)[0].tolist()
+    assert sum(asked) <= 1000 / packing.JOINED + 1
+
+
 def test_costs_are_balanced():
     lengths = [random.Random(1).randint(1, 2048) for _ in range(400)]
     placed, left = packing.place(lengths, 2048, 1 / 2048)
