@@ -119,6 +119,23 @@ def test_state_lies_on_disk_unless_the_session_says_otherwise(spark, tmp_path):
         assert rows_of(read_landed_topic(plain, f"{folder}/table", "topic-net")) == rows_of(want)
 
 
+def test_a_checkpoint_keeps_its_kind_of_state(spark, tmp_path):
+    rows = clock_rows(3, 20)
+    state = "spark.sql.streaming.stateStore"
+    stores = "org.apache.spark.sql.execution.streaming.state"
+    for kind in ("HDFSBacked", "RocksDB"):
+        folder = tmp_path / kind
+        older, plain = spark.newSession(), spark.newSession()
+        older.conf.set(f"{state}.providerClass", f"{stores}.{kind}StateStoreProvider")
+        older.conf.set(f"{state}.rocksdb.boundedMemoryUsage", "false")
+        older.conf.set(f"{state}.rocksdb.trackTotalNumberOfRows", "true")
+        for day, session in enumerate((older, plain, plain), 1):
+            land(session, str(folder), rows, day, distinct_within="1 day")
+        assert any((folder / "check/state").rglob("*.zip")) == (kind == "RocksDB")
+        want = split_topic(plain.createDataFrame(rows, WIDE), "topic-net").distinct()
+        assert rows_of(read_landed_topic(plain, f"{folder}/table", "topic-net")) == rows_of(want)
+
+
 def test_copies_are_landed_by_default(spark, tmp_path):
     rows = clock_rows(3, 6)
     for day in (1, 2):
