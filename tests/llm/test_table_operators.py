@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hostvigil.llm import mixing, subspace_join, url_filter
+from hostvigil.llm.common import pinned
 from hostvigil.llm.components import connected_components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -133,6 +134,51 @@ def test_pairs_at_the_edges_of_blocks(spark):
     assert len(pairs) >= 55
 
 
+def test_links_between_packs_and_partitions(spark, monkeypatch):
+    """Groups of near and of equal vectors that lie in several packs of several partitions."""
+    monkeypatch.setattr(subspace_join, "CHUNK", 20)
+    monkeypatch.setattr(subspace_join, "PACK_BYTES", 2_000, raising=False)
+    monkeypatch.setattr(subspace_join, "PARTITION_BYTES", 6_000, raising=False)
+    r = np.random.default_rng(8)
+    vectors = []
+    for n in (24, 12):
+        for size in (60, 20, 3, 2, 2, 1, 1, 1):
+            base = r.normal(size=n)
+            vectors += [base + r.normal(size=n) * s for s in r.choice([0, 0.1, 0.2, 0.3], size)]
+        vectors += list(r.normal(size=(60, n)))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        # Not single precision, single precision, and both.
+        assert same_as_pairs(spark, vectors)
+        rounded = [v.astype(np.float32).astype(float) for v in vectors]
+        assert same_as_pairs(spark, rounded, width=3)
+        assert same_as_pairs(spark, rounded[::2] + vectors[1::2], pivots=5)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_disk_of_the_vector_join_is_a_few_times_its_input(spark, tmp_path):
+    """Shuffles, spills and checkpoints together; 3,000 vectors as on disk."""
+    r = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(3000, 64)))]
+    path = f"{tmp_path}/embeddings.parquet"
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(path)
+    size = sum(p.stat().st_size for p in Path(path).glob("*.parquet"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    pinned(spark.range(1))  # the folder of checkpoints exists from now on
+    folders = [str(f) for f in blocks.diskBlockManager().localDirs()]
+    folders.append(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+
+    def files():
+        return {p: p.stat().st_size for f in folders for p in Path(f).rglob("*") if p.is_file()}
+
+    before = files()
+    assert subspace_join.similar_vectors(spark.read.parquet(path)).count() == 3000
+    written = sum(n for p, n in files().items() if p not in before)
+    assert size < written < 4 * size
+
+
 def test_url_filter(spark):
     urls = [
         "http://www.Example.com/en/1", "https://example.com/en/2?x=/fr/", "http://a.net/fr/",
