@@ -43,7 +43,7 @@ from hostvigil.llm.components import connected_components
 #: Vectors in a chunk of a cell.
 CHUNK = 1500
 #: Bytes of vectors in a pack, and in a partition of packs.
-PACK_BYTES, PARTITION_BYTES = 16 << 20, 64 << 20
+PACK_BYTES, PARTITION_BYTES = 4 << 20, 64 << 20
 #: Rows of a chunk that are multiplied at once; candidates that are verified together.
 ROWS, CANDIDATES = 256, 200_000
 #: Room for rounding in distances from borders; candidates are verified by their cosine.
@@ -292,26 +292,29 @@ class Comparer:
         ``links`` are those within the partition. ``labels`` are the same for what they connect:
         the least id there.
         """
-        kinds: dict[tuple[int, int], list[list[bytes]]] = {}
+        held: dict[tuple[int, int], list[tuple[bytes, bytes, bytes]]] = {}
+        packs: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
+
+        def close(dims: int, size: int) -> None:
+            parts = zip(*held.pop((dims, size)), strict=True)
+            packs.setdefault(dims, []).append(tuple(b"".join(x) for x in parts))
+
         for batch in batches:
             vectors = batch["vector"].to_pylist()
             ids, weights = (batch[c].to_numpy().astype("<i8") for c in ("rep", "weight"))
-            kind = np.stack([batch["dims"].to_numpy(), np.fromiter(map(len, vectors), np.int64)], 1)
-            for dims, size in np.unique(kind, axis=0).tolist():
-                rows = np.flatnonzero((kind == (dims, size)).all(axis=1))
-                held = kinds.setdefault((dims, size), [[], [], []])
-                for column, values in zip(held, (
-                        ids[rows].tobytes(), weights[rows].tobytes(),
-                        b"".join([vectors[k] for k in rows.tolist()])), strict=True):
-                    column.append(values)
-        packs: dict[int, list[tuple[np.ndarray, np.ndarray, bytes]]] = {}
-        for dims, size in list(kinds):
-            ids, weights, vectors = (b"".join(x) for x in kinds.pop((dims, size)))
-            step = max(1, most // size)
-            packs.setdefault(dims, []).extend(
-                (ids[8 * at : 8 * (at + step)], weights[8 * at : 8 * (at + step)],
-                 vectors[size * at : size * (at + step)])
-                for at in range(0, len(ids) // 8, step))
+            kinds = np.stack([batch["dims"].to_numpy(), np.fromiter(map(len, vectors), np.int64)], 1)
+            for dims, size in np.unique(kinds, axis=0).tolist():
+                rows = np.flatnonzero((kinds == (dims, size)).all(axis=1))
+                step = max(1, most // size // 4)
+                for at in range(0, len(rows), step):
+                    some = rows[at : at + step]
+                    held.setdefault((dims, size), []).append((
+                        ids[some].tobytes(), weights[some].tobytes(),
+                        b"".join([vectors[k] for k in some.tolist()])))
+                    if sum(len(x[2]) for x in held[dims, size]) > most - step * size:
+                        close(dims, size)
+        for dims, size in list(held):
+            close(dims, size)
         for dims, all_of in packs.items():
             ids = np.frombuffer(b"".join(x[0] for x in all_of), "<i8")
             ends = np.cumsum([len(x[0]) // 8 for x in all_of])
@@ -391,7 +394,7 @@ def similar_vectors(
     size = rows.agg(F.sum(F.when(F.size("e") > 0, F.size("e").cast("long")))).first()[0] or 0
     size *= 4 if single else 8
     # Tasks enough for all cores, from partitions that are not too small.
-    spread = min(math.ceil(math.sqrt(6 * spark.sparkContext.defaultParallelism)), size >> 19)
+    spread = min(math.ceil(math.sqrt(12 * spark.sparkContext.defaultParallelism)), size >> 20)
     partitions = max(1, spread, math.ceil(size / PARTITION_BYTES))
     distinct = (
         rows.mapInArrow(with_vectors, "vec_id long, dims int, vector binary")
